@@ -28,7 +28,7 @@ def _test_sizes(counts: DataFrame, fraction: float) -> DataFrame:
     total = counts.agg(F.sum("n").alias("t")).scalar()
     train = total - F.ceil(total * F.lit(fraction))
     shared = counts.withColumn("quota", F.col("n") * train / total).withColumn("base", F.floor("quota"))
-    left = shared.agg((F.first(train) - F.sum("base")).alias("l")).scalar()
+    left = train - shared.agg(F.sum("base").alias("b")).scalar()
     order = W.orderBy(F.desc(F.col("quota") - F.col("base")), "__class")
     extra = F.when(F.row_number().over(order) <= left, 1).otherwise(0)
     return shared.select("__class", (F.col("n") - F.col("base") - extra).alias("n_test"))
@@ -50,7 +50,8 @@ def exact_split(
     rows = _with_hash(df, key, seed).withColumn(
         "__class", F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(""))
     )
-    ranges = rows.groupBy("__class", BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    narrow = rows.select("__class", BUCKET, "__h", F.col(key).alias("__key"))
+    ranges = narrow.groupBy("__class", BUCKET).agg(F.count(F.lit(1)).alias("n"))
     sizes = _test_sizes(ranges.groupBy("__class").agg(F.sum("n").alias("n")), fraction)
     w = W.partitionBy("__class").orderBy(BUCKET)
     cut = (
@@ -59,9 +60,7 @@ def exact_split(
         .where((F.col("past") - F.col("n") < F.col("n_test")) & (F.col("n_test") <= F.col("past")))
         .select("__class", BUCKET, (F.col("n_test") - F.col("past") + F.col("n")).alias("rank"))
     )
-    near = rows.select("__class", BUCKET, "__h", F.col(key).alias("__key")).join(
-        F.broadcast(cut), ["__class", BUCKET]
-    )
+    near = narrow.join(F.broadcast(cut), ["__class", BUCKET])
     spot = F.row_number().over(W.partitionBy("__class").orderBy("__h", "__key"))
     last = (
         near.withColumn("at", spot)

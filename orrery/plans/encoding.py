@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orrery.operators import encode as E, split as X
 from orrery.operators.evaluate import regression_metrics_by, summarize_folds
 from orrery.plans.registry import Tables, query, rounded
+from orrery.sources.storage import written
 
 
 @query(
@@ -135,6 +136,8 @@ def stratified_split(spark, sf):
 def validation_split(spark, sf):
     rows = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus")
     train, _ = X.split_frames(rows, "o_orderkey", by="o_orderstatus")
+    # A split reads its input several times, so the first one is written down.
+    train = written(train, "train")
     return X.validation_split(train, "o_orderkey", by="o_orderstatus")
 
 
@@ -186,5 +189,3 @@ def cv_metrics(spark, sf):
     )
     folds = regression_metrics_by(rows, "fold", "y", "p")
     return rounded(summarize_folds(folds, ["rmse", "mae", "r2"]), 4, "mean", "std")
-
-
