@@ -6,12 +6,17 @@ from pyspark.sql import Column, functions as F
 
 # Whitespace as Unicode defines it; the regex class `\s` alone is ASCII-only in Java and RE2.
 SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-STRIP_PATTERN = rf"^[{SPACE}]+|[{SPACE}]+$"
+# The same characters as a set, for trimming.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(x: Column) -> Column:
     """Remove leading and trailing whitespace, including the non-ASCII kinds."""
-    return F.regexp_replace(x, STRIP_PATTERN, "")
+    return F.btrim(x, F.lit(SPACE_CHARS))
 
 
 def preview(x: Column, width: int) -> Column:

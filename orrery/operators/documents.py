@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orrery.functions.text import SPACE, preview, strip
 from orrery.operators.ordered import BUCKET, running
@@ -14,8 +14,6 @@ ARTICLE_PATTERN = rf"(?s)^(\p{{Nd}}+)-modda[.{SPACE}]*$"
 MISSING = "N/A"
 SHORT_NAME = 10  # a section name below this length goes on in the next line
 
-LINE_BLOCK = 4096  # lines of one document that are scanned in one task
-
 
 def split_lines(texts: DataFrame, doc: str, text: str) -> DataFrame:
     """Trimmed lines, numbered from 0, each with the line after it."""
@@ -103,11 +101,11 @@ def _sections(texts: DataFrame, ids: list[str], text: str) -> DataFrame:
 def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) -> DataFrame:
     """Articles with their section and chapter, in document order.
 
-    With `page`, a document is many rows with consecutive page numbers and an article may run
-    over pages; the document is never put together. The headings of a document are carried
-    down block by block, so a huge document is many tasks."""
+    Without `page` a row is a whole document, so a window by document holds no more than
+    one text. With `page`, a document is many rows with consecutive page numbers and an article
+    may run over pages: the document is never put together, and its headings are carried
+    down page by page, so a document with a third of all pages is many tasks."""
     ids = [doc] + ([page] if page else [])
-    order = ([page] if page else []) + ["line_no"]
     parts = _sections(texts, ids, text)
     if page:
         firsts = texts.select(
@@ -118,37 +116,44 @@ def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) ->
             .withColumn("next_line", F.coalesce("next_line", "__first"))
             .drop("__first")
         )
-        parts = parts.withColumn(BUCKET, F.col(page))
-    else:
-        parts = parts.where("line_no >= 0").withColumn(BUCKET, F.floor(F.col("line_no") / LINE_BLOCK))
-    kind, line = heading_kind(F.col("line")), F.col("line")
-    parts = parts.withColumn("kind", kind)
+    line = F.col("line")
+    parts = parts.withColumn("kind", heading_kind(line))
     parts = parts.withColumn("label", heading_label(line, F.col("kind"))).withColumn(
         "name", heading_name(line, F.col("next_line"), F.col("kind"))
     ).drop("line", "next_line")
-    head = F.struct("label", "name")
-    scanned = running(
-        parts,
-        order,
-        keys=[doc],
-        sums={"block": F.when(F.col("kind").isNotNull(), 1).otherwise(0)},
-        lasts={
-            "open_kind": F.col("kind"),
-            "section": F.when(F.col("kind") == "section", head),
-            "chapter": F.when(F.col("kind") == "chapter", head),
-        },
-    ).where("open_kind = 'article'")
+    kind, head = F.col("kind"), F.struct("label", "name")
     if page:
+        order = [page, "line_no"]
+        scanned = running(
+            parts.withColumn(BUCKET, F.col(page)),
+            order,
+            keys=[doc],
+            sums={"block": F.when(kind.isNotNull(), 1).otherwise(0)},
+            lasts={
+                "open_kind": kind,
+                "section": F.when(kind == "section", head),
+                "chapter": F.when(kind == "chapter", head),
+            },
+        ).where("open_kind = 'article'")
         pieces = F.array_sort(F.collect_list(F.struct(page, "line_no", "body")))
-        text_of = F.array_join(
-            F.filter(F.transform(pieces, lambda r: r["body"]), lambda b: b != ""), " "
-        )
-        start = F.min(F.when(F.col("kind").isNotNull(), F.struct(page, "line_no", "label", "section", "chapter")))
+        text_of = F.array_join(F.filter(F.transform(pieces, lambda r: r["body"]), lambda b: b != ""), " ")
+        start = F.min(F.when(kind.isNotNull(), F.struct(page, "line_no", "label", "section", "chapter")))
         scanned = (
             scanned.groupBy(doc, "block")
             .agg(start.alias("s"), text_of.alias("body"))
             .select(doc, "s.*", "body")
         )
+    else:
+        over = W.partitionBy(doc).orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
+        scanned = (
+            parts.where("kind IS NOT NULL")
+            .select(
+                "*",
+                F.last(F.when(kind == "section", head), ignorenulls=True).over(over).alias("section"),
+                F.last(F.when(kind == "chapter", head), ignorenulls=True).over(over).alias("chapter"),
+            )
+            .where("kind = 'article'")
+        )
 
     def shown(c: str) -> Column:
         return F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(MISSING)).otherwise(F.col(c))

@@ -30,13 +30,16 @@ def range_bounds(
     One job; at most `buckets - 1` numbers per column reach the driver. They only
     balance the buckets: every result below is exact for any cut points."""
     n = buckets or default_buckets(df.sparkSession)
-    probs = [i / n for i in range(1, n)]
-    row = df.agg(
-        *[
-            F.percentile_approx(finite(F.col(c)), probs, 10 * n).alias(f"b{i}")
-            for i, c in enumerate(cols)
-        ]
-    ).first()
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    x = {c: finite(F.col(c)) for c in cols}
+    cuts = [
+        F.when(
+            F.count(x[c]) > 0,
+            F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(x[c], min(max(200, 8 * n), 65535)), probs),
+        ).alias(f"b{i}")
+        for i, c in enumerate(cols)
+    ]
+    row = df.agg(*cuts).first()
     return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}
 
 
@@ -148,41 +151,45 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(marks[c]).alias("bucket"))
-                    for c in cols
+                    F.struct(F.lit(i).alias("c"), F.col(c).alias("value"), F.col(marks[c]).alias("bucket"))
+                    for i, c in enumerate(cols)
                 ]
             )
         )
     ).where(F.col("value").isNotNull())
 
-    per_bucket = values.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    in_order = W.partitionBy("column").orderBy("bucket")
+    per_bucket = values.groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    in_order = W.partitionBy("c").orderBy("bucket")
     ranged = per_bucket.select(
-        "column",
+        "c",
         "bucket",
         (F.sum("n").over(in_order) - F.col("n")).alias("first"),
         F.sum("n").over(in_order).alias("past"),
-        F.sum("n").over(W.partitionBy("column")).alias("total"),
+        F.sum("n").over(W.partitionBy("c")).alias("total"),
     )
-    wanted = (
+    ranks = (
         ranged.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("at", (F.col("total") - 1) * F.col("prob"))
-        .withColumn("rank", F.explode(F.array(F.floor("at"), F.ceil("at"))))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
         .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("past")))
-        .select("column", "bucket", "prob", "at", (F.col("rank") - F.col("first")).alias("rank"))
-        .distinct()
     )
-    # At most 2 * columns * probs rows, so the small side is bounded.
-    near = values.join(F.broadcast(wanted.select("column", "bucket").distinct()), ["column", "bucket"])
-    counts = near.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    by_value = W.partitionBy("column", "bucket").orderBy("value")
-    placed = counts.withColumn("past", F.sum("n").over(by_value))
-    hits = placed.join(F.broadcast(wanted), ["column", "bucket"]).where(
+    # At most 2 * columns * probs ranks in all, so the small side is bounded.
+    wanted = ranks.groupBy("c", "bucket").agg(
+        F.collect_list(F.struct("prob", "at", (F.col("rank") - F.col("first")).alias("rank"))).alias("wanted")
+    )
+    counts = (
+        values.join(F.broadcast(wanted), ["c", "bucket"])
+        .groupBy("c", "bucket", "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("wanted").alias("wanted"))
+    )
+    placed = counts.withColumn("past", F.sum("n").over(W.partitionBy("c", "bucket").orderBy("value")))
+    hits = placed.select("c", "value", "n", "past", F.inline("wanted")).where(
         (F.col("rank") >= F.col("past") - F.col("n")) & (F.col("rank") < F.col("past"))
     )
     low, high = F.min("value"), F.max("value")
     share = F.first("at") - F.floor(F.first("at"))
-    return hits.groupBy("column", "prob").agg((low + (high - low) * share).alias("value"))
+    found = hits.groupBy("c", "prob").agg((low + (high - low) * share).alias("value"))
+    return found.select(F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("c") + 1).alias("column"), "prob", "value")
 
 
 def quantile_columns(quantiles: DataFrame, named: Mapping[str, float]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from orrery.functions.numeric import finite
 from orrery.operators.ordered import exact_quantiles, quantile_columns
@@ -143,75 +143,66 @@ def nunique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.distinct().groupBy("column").agg(F.count("value").alias("n_distinct"))
 
 
-def _range(df: DataFrame, x: Column) -> Column:
+def _range(df: DataFrame, x: Column) -> Row:
+    """Minimum, maximum, count and deviation of an expression, from one job."""
     return df.agg(
-        F.struct(
-            F.min(x).alias("lo"),
-            F.max(x).alias("hi"),
-            F.count(x).alias("n"),
-            F.min(F.when(x > 0, 1).otherwise(0)).alias("positive"),
-        ).alias("s")
-    ).scalar()
+        F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")
+    ).first()
 
 
-def _equal_width(df: DataFrame, x: Column, span: Column, bins: Column) -> DataFrame:
+def _equal_width(df: DataFrame, x: Column, span: Row, bins: int) -> DataFrame:
     """Count rows per bin, bins without rows included; the last bin is closed."""
-    lo = F.when(span["hi"] == span["lo"], span["lo"] - 0.5).otherwise(span["lo"])
-    hi = F.when(span["hi"] == span["lo"], span["hi"] + 0.5).otherwise(span["hi"])
-    rows = df.select(x.alias("x"), lo.alias("lo"), hi.alias("hi"), bins.cast("int").alias("bins")).where(
-        F.col("x").isNotNull()
-    )
-    width = (F.col("hi") - F.col("lo")) / F.col("bins")
-    guess = F.least(
-        F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")), F.col("bins") - 1
-    )
-    rows = rows.withColumn("width", width).withColumn("guess", guess)
+    lo, hi = (span["lo"], span["hi"]) if span["n"] else (0.0, 1.0)
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
+    rows = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    value, last = F.col("x"), bins - 1
+    guess = F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(last))
     # The quotient can round across an edge; the edge itself decides.
     exact = (
-        F.when(F.col("x") < F.col("lo") + F.col("guess") * F.col("width"), F.col("guess") - 1)
-        .when(
-            (F.col("guess") < F.col("bins") - 1)
-            & (F.col("x") >= F.col("lo") + (F.col("guess") + 1) * F.col("width")),
-            F.col("guess") + 1,
-        )
+        F.when(value < lo + F.col("guess") * width, F.col("guess") - 1)
+        .when((F.col("guess") < last) & (value >= lo + (F.col("guess") + 1) * width), F.col("guess") + 1)
         .otherwise(F.col("guess"))
     )
-    counted = rows.groupBy(exact.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    axis = df.sparkSession.range(1).select(
-        lo.alias("lo"), ((hi - lo) / bins.cast("int")).alias("width"), bins.cast("int").alias("bins")
-    )
-    axis = axis.select("lo", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
+    counted = rows.withColumn("guess", guess).groupBy(exact.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    axis = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return axis.join(counted, "bin", "left").select(
-        "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("left_edge"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("right_edge"),
+        F.col("bin").cast("int").alias("bin"),
+        (F.lit(lo) + F.col("bin") * width).alias("left_edge"),
+        (F.lit(lo) + (F.col("bin") + 1) * width).alias("right_edge"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
+def _auto_bins(df: DataFrame, col: str, span: Row) -> int:
+    """Bins of the narrower of the Sturges and Freedman-Diaconis widths (Sturges alone
+    when the quartiles coincide)."""
+    size = span["hi"] - span["lo"] if span["n"] else 0.0
+    if size == 0:
+        return 1
+    quartiles = exact_quantiles(df, [col], [0.25, 0.75])
+    iqr = quartiles.agg((F.max("value") - F.min("value")).alias("iqr")).first()["iqr"]
+    sturges = size / (math.log2(span["n"]) + 1.0)
+    spread = 2.0 * iqr / span["n"] ** (1.0 / 3.0)
+    return math.ceil(size / (min(spread, sturges) if spread > 0 else sturges))
+
+
 def histogram(df: DataFrame, col: str, bins: int | str = 30) -> DataFrame:
-    """Equal-width counts. `bins="auto"` takes the narrower of the Sturges and
-    Freedman-Diaconis widths (Sturges alone when the quartiles coincide)."""
+    """Equal-width counts; `bins="auto"` chooses the number of bins from the data."""
     x = finite(F.col(col))
     span = _range(df, x)
-    if bins != "auto":
-        return _equal_width(df, x, span, F.lit(int(bins)))
-    quartiles = exact_quantiles(df, [col], [0.25, 0.75])
-    iqr = quartiles.agg((F.max("value") - F.min("value")).alias("iqr")).scalar()
-    size = span["hi"] - span["lo"]
-    sturges = size / (F.log2(span["n"].cast("double")) + 1.0)
-    spread = 2.0 * iqr / F.pow(span["n"].cast("double"), F.lit(1.0 / 3.0))
-    width = F.when(spread > 0, F.least(spread, sturges)).otherwise(sturges)
-    count = F.when(width > 0, F.ceil(size / width)).otherwise(F.lit(1))
-    return _equal_width(df, x, span, count)
+    return _equal_width(df, x, span, _auto_bins(df, col, span) if bins == "auto" else int(bins))
 
 
 def histogram_log1p(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Histogram of `log1p(x)` when every value is positive, else of `x`."""
     raw = finite(F.col(col))
-    positive = _range(df, raw)["positive"] == 1
-    x = F.when(positive, F.log1p(raw)).otherwise(raw)
-    return _equal_width(df, x, _range(df, x), F.lit(bins))
+    span = _range(df, raw)
+    if not span["n"] or span["lo"] <= 0:
+        return _equal_width(df, raw, span, bins)
+    x = F.log1p(raw)
+    return _equal_width(df, x, _range(df, x), bins)
 
 
 def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
@@ -219,9 +210,7 @@ def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     Scott's bandwidth. Values are counted first; each task then adds up its kernel sums for
     the whole grid, so only `points` partial sums per task are shuffled."""
     x = finite(F.col(col))
-    stats = df.agg(
-        F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")
-    ).first()
+    stats = _range(df, x)
     if not stats["n"] or not stats["sd"]:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
     width = stats["sd"] * stats["n"] ** -0.2

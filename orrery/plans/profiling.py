@@ -132,7 +132,9 @@ def histogram_auto(spark, sf):
     return rounded(P.histogram(Tables(spark, sf).orders, "o_totalprice", "auto"), 6, "left_edge", "right_edge")
 
 
-@query(histogram_sql("events", "ln(1 + value)", "30"))
+@query(
+    histogram_sql("events", "CASE WHEN (SELECT min(value) FROM events) > 0 THEN ln(1 + value) ELSE value END", "30")
+)
 def histogram_log1p(spark, sf):
     return rounded(P.histogram_log1p(Tables(spark, sf).events, "value"), 6, "left_edge", "right_edge")
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orrery.functions.text import STRIP_PATTERN
+from orrery.functions.text import SPACE_CHARS
 from orrery.operators import documents as D, retrieve as R
 from orrery.plans.registry import Tables, query, rounded
+from orrery.sources.storage import written
 
 
 def re2(pattern: str) -> str:
@@ -15,7 +16,8 @@ def re2(pattern: str) -> str:
 
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '{STRIP_PATTERN}', '', 'g')"
+    chars = " || ".join(f"chr({ord(c)})" for c in SPACE_CHARS)
+    return f"trim({x}, {chars})"
 
 
 # The texts have no headings, so heading lines are derived from the line numbers.
@@ -171,8 +173,9 @@ _HITS = f"""{_ARTICLES}, {_REFS},
 
 
 def _hits(t: Tables) -> DataFrame:
-    """Ranked articles of the questions, with their text."""
-    found = _articles(t)
+    """Ranked articles of the questions, with their text. The articles are a written table,
+    read once by their references and once for the texts of the hits."""
+    found = written(_articles(t), "articles")
     refs = R.query_refs(questions(t), "question")
     ranked = R.metadata_lookup(refs, found, ["doc_id", "line_no"])
     return ranked.join(found, ["doc_id", "line_no"])

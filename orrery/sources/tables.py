@@ -15,9 +15,16 @@ def scan_csv(
     schema: T.StructType | str | None = None,
     header: bool = True,
     missing: str = "",
+    line_breaks: bool = False,
 ) -> DataFrame:
-    """A CSV table; without a schema the types are inferred, at the cost of a second read."""
-    reader = spark.read.option("header", header).option("nullValue", missing).option("escape", '"')
+    """A CSV table; without a schema the types are inferred, at the cost of a second read.
+    `line_breaks` allows them inside quoted values, but then a file is one task."""
+    reader = (
+        spark.read.option("header", header)
+        .option("nullValue", missing)
+        .option("escape", '"')
+        .option("multiLine", line_breaks)
+    )
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
