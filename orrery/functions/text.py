@@ -30,7 +30,7 @@ def pad_cell(x: Column, width: int) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """Shortest decimal text of a double: plain from 1e-4 up to 1e16, else with a
+    """Decimal text of a double (digits as Java prints them): plain from 1e-4 up to 1e16, else with a
     two-digit exponent. Spark's own cast leaves plain notation at 1e-3 and 1e7."""
     raw = x.cast("double").cast("string")
     parts = r"^(-?)(\d)\.(\d+)E(-?)(\d+)$"
