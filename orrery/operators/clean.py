@@ -37,8 +37,8 @@ def drop_category(df: DataFrame, col: str, value: str) -> DataFrame:
 
 
 def _fill(df: DataFrame, cols: Sequence[str], stats: DataFrame) -> DataFrame:
-    one = stats.select(F.struct(*[F.col(c) for c in cols]).alias("s")).scalar()
-    return df.withColumns({c: F.coalesce(finite(F.col(c)), one.getField(c)) for c in cols})
+    one = stats.first()
+    return df.withColumns({c: F.coalesce(finite(F.col(c)), F.lit(one[c]).cast("double")) for c in cols})
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:

@@ -58,15 +58,9 @@ def result_lines(
     kinds = dict(df.dtypes)
     row = F.concat_ws(" | ", *[pad_cell(cell_text(F.col(c), kinds[c]), width) for c in df.columns])
     body = dense_index(df, order, "__i").select((F.col("__i") + 4).alias("line_no"), row.alias("line"))
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = df.count()
     header = " | ".join(f"{c:{width}}" for c in df.columns)
-    top = [F.struct(F.lit(i + 1).cast("bigint").alias("line_no"), F.lit(t).alias("line"))
-           for i, t in enumerate([title, rule, header, rule])]
-    end = [
-        F.struct((n + 5).alias("line_no"), F.lit(rule).alias("line")),
-        F.struct((n + 6).alias("line_no"), F.concat(F.lit("Total rows: "), n.cast("string")).alias("line")),
-    ]
-    frame = F.array(*top, *(end if total else []))
-    none = F.array(F.struct(F.lit(1).cast("bigint").alias("line_no"), F.lit(NO_ROWS).alias("line")))
-    around = df.sparkSession.range(1).select(F.inline(F.when(n > 0, frame).otherwise(none)))
-    return around.unionByName(body)
+    around = [(1, title), (2, rule), (3, header), (4, rule)] if n else [(1, NO_ROWS)]
+    if n and total:
+        around += [(n + 5, rule), (n + 6, f"Total rows: {n}")]
+    return df.sparkSession.createDataFrame(around, "line_no bigint, line string").unionByName(body)

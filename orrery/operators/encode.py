@@ -92,14 +92,11 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
     """`(x - mean) / std` with the population deviation of `fit_on`; a constant column
     is only centred."""
     base = fit_on if fit_on is not None else df
-    fields = []
-    for c in cols:
-        x = finite(F.col(c))
-        sd = F.stddev_pop(x)
-        fields += [F.avg(x).alias(f"m_{c}"), F.when(sd > 0, sd).otherwise(F.lit(1.0)).alias(f"s_{c}")]
-    s = base.agg(F.struct(*fields).alias("s")).scalar()
+    x = {c: finite(F.col(c)) for c in cols}
+    fields = [f for i, c in enumerate(cols) for f in (F.avg(x[c]).alias(f"m{i}"), F.stddev_pop(x[c]).alias(f"s{i}"))]
+    fit = base.agg(*fields).first()
     return df.withColumns(
-        {c: (finite(F.col(c)) - s.getField(f"m_{c}")) / s.getField(f"s_{c}") for c in cols}
+        {c: (x[c] - F.lit(fit[f"m{i}"])) / F.lit(fit[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
     )
 
 

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 from orrery.functions.numeric import flag
 from orrery.operators.ordered import BUCKET, bucket_by_range, running
 
 
-def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """MSE, RMSE, MAE and R2 in one row."""
+def _regression(label: str, prediction: str) -> list[Column]:
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     mse = F.avg((y - p) * (y - p))
-    return df.agg(
+    return [
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
         F.avg(F.abs(y - p)).alias("mae"),
         (1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))).alias("r2"),
-    )
+    ]
+
+
+def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """MSE, RMSE, MAE and R2 in one row."""
+    return df.agg(*_regression(label, prediction))
 
 
 def mape(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -105,45 +109,60 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     return per_class.drop("hits").unionByName(means.select(F.inline("rows")))
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1; a quotient by zero counts as 0."""
+def _binary(label: str, prediction: str) -> list[Column]:
     y, p = F.col(label) == 1, F.col(prediction) == 1
     tp, hits = F.count_if(y & p), F.count_if(y.eqNullSafe(p))
-    return df.agg(
+    return [
         _ratio(hits, F.count(F.lit(1))).alias("accuracy"),
         _ratio(tp, F.count_if(p)).alias("precision"),
         _ratio(tp, F.count_if(y)).alias("recall"),
         _ratio(2 * tp, F.count_if(y) + F.count_if(p)).alias("f1_score"),
-    )
+    ]
+
+
+def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Accuracy, precision, recall and F1 of class 1; a quotient by zero counts as 0."""
+    return df.agg(*_binary(label, prediction))
+
 
+def binary_metrics_by(df: DataFrame, by: str, label: str, prediction: str, score: str) -> DataFrame:
+    """The binary metrics, AUC and average precision per group, such as a fold."""
+    ranked = score_counts(df, label, score, by).groupBy(by).agg(_auc(), _ap())
+    return df.groupBy(by).agg(*_binary(label, prediction)).join(ranked, by)
 
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives at or above each distinct score. Equal scores are one row."""
-    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    tied = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.sum(flag(F.col(label) == 1)).alias("pos"), F.sum(1 - flag(F.col(label) == 1)).alias("neg")
+
+def score_counts(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+    """Positives and negatives at or above each distinct score, per group of `by`. Equal
+    scores are one row."""
+    keys = [by] if by else []
+    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        *keys, F.col(score).cast("double").alias("threshold"), flag(F.col(label) == 1).alias("y")
     )
-    source = scored.select(F.col(score).cast("double").alias("threshold"))
-    ranged = bucket_by_range(tied, "threshold", source=source)
+    tied = scored.groupBy(*keys, "threshold").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    ranged = bucket_by_range(tied, "threshold", source=scored)
     return running(
-        ranged, ["threshold"], sums={"tp": F.col("pos"), "fp": F.col("neg")}, descending=True
+        ranged, ["threshold"], keys=keys, sums={"tp": F.col("pos"), "fp": F.col("neg")}, descending=True
     ).drop(BUCKET)
 
 
-def _class_totals(df: DataFrame, label: str, score: str) -> Column:
+def _class_totals(df: DataFrame, label: str, score: str) -> Row:
+    """Positives and negatives with a score, from one job."""
     y = F.col(label)
-    return (
-        df.where(F.col(score).isNotNull() & y.isNotNull())
-        .agg(F.struct(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")).alias("t"))
-        .scalar()
-    )
+    rows = df.where(F.col(score).isNotNull() & y.isNotNull())
+    return rows.agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")).first()
+
+
+def _share(count: Column, total: int, empty: float | None) -> Column:
+    return count / F.lit(total) if total else F.lit(empty).cast("double")
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rates per distinct score, from the point (0, 0)."""
     t = _class_totals(df, label, score)
     points = score_counts(df, label, score).select(
-        "threshold", (F.col("fp") / t["neg"]).alias("fpr"), (F.col("tp") / t["pos"]).alias("tpr")
+        "threshold",
+        _share(F.col("fp"), t["neg"], None).alias("fpr"),
+        _share(F.col("tp"), t["pos"], None).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -151,12 +170,19 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return start.unionByName(points)
 
 
+def _auc() -> Column:
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
+    return F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")
+
+
+def _ap() -> Column:
+    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return F.coalesce(F.try_divide(steps, F.sum("pos")), F.lit(0.0)).alias("average_precision")
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
-    return score_counts(df, label, score).agg(
-        F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")
-    )
+    return score_counts(df, label, score).agg(_auc())
 
 
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -165,7 +191,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     points = score_counts(df, label, score).select(
         "threshold",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.when(t["pos"] > 0, F.col("tp") / t["pos"]).otherwise(F.lit(1.0)).alias("recall"),
+        _share(F.col("tp"), t["pos"], 1.0).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
@@ -175,10 +201,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """Precision summed over the steps of recall."""
-    step = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-    return score_counts(df, label, score).agg(
-        F.coalesce(F.try_divide(step, F.sum("pos")), F.lit(0.0)).alias("average_precision")
-    )
+    return score_counts(df, label, score).agg(_ap())
 
 
 def best_threshold(df: DataFrame, label: str, score: str, method: str = "f1") -> DataFrame:
@@ -208,26 +231,39 @@ def apply_threshold(df: DataFrame, score: str, threshold: float | Column, out: s
     return df.withColumn(out, flag(F.col(score) >= cut))
 
 
+def _ranked(table: DataFrame, digits: int) -> DataFrame:
+    shown = [F.round(c, digits).alias(c) for c in table.columns if c != "model"]
+    best = F.row_number().over(W.orderBy(F.desc("r2"), "model")) == 1  # one row per model
+    return table.select("model", *shown, best.alias("best")).orderBy(F.desc("r2"))
+
+
 def model_comparison(results: Mapping[str, DataFrame], digits: int = 4) -> DataFrame:
     """One rounded row per model, the best R2 first, which is marked."""
     table = None
     for name, metrics in results.items():
         row = metrics.select(F.lit(name).alias("model"), "*")
         table = row if table is None else table.unionByName(row)
-    top = table.agg(F.max_by("model", "r2").alias("m")).scalar()
-    shown = [F.round(c, digits).alias(c) for c in table.columns if c != "model"]
-    return table.select("model", *shown, (F.col("model") == top).alias("best")).orderBy(F.desc("r2"))
+    return _ranked(table, digits)
+
+
+def compare_predictions(df: DataFrame, label: str, predictions: Mapping[str, str], digits: int = 4) -> DataFrame:
+    """`model_comparison` of prediction columns of one table, in one pass."""
+    one = df.agg(
+        *[F.struct(F.lit(m).alias("model"), *_regression(label, p)).alias(f"m{i}") for i, (m, p) in enumerate(predictions.items())]
+    )
+    rows = one.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(predictions))])))
+    return _ranked(rows, digits)
 
 
 def pred_vs_actual(df: DataFrame, key: str, label: str, prediction: str) -> DataFrame:
     """Actual and predicted values, with the range of the identity line."""
-    span = df.agg(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi")).alias("s")).scalar()
+    span = df.agg(F.min(label).alias("lo"), F.max(label).alias("hi")).first()
     return df.select(
         key,
         F.col(label).alias("actual"),
         F.col(prediction).alias("predicted"),
-        span["lo"].alias("line_from"),
-        span["hi"].alias("line_to"),
+        F.lit(span["lo"]).alias("line_from"),
+        F.lit(span["hi"]).alias("line_to"),
     )
 
 
@@ -247,11 +283,4 @@ def summarize_folds(folds: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 def regression_metrics_by(df: DataFrame, by: str, label: str, prediction: str) -> DataFrame:
     """The regression metrics per group, such as a fold."""
-    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    mse = F.avg((y - p) * (y - p))
-    return df.groupBy(by).agg(
-        mse.alias("mse"),
-        F.sqrt(mse).alias("rmse"),
-        F.avg(F.abs(y - p)).alias("mae"),
-        (1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))).alias("r2"),
-    )
+    return df.groupBy(by).agg(*_regression(label, prediction))

@@ -40,15 +40,16 @@ def cut_equal_width(df: DataFrame, col: str, bins: int, out: str, fit_on: DataFr
     """Codes 0..bins-1 of equal-width, right-closed bins between minimum and maximum."""
     x = finite(F.col(col))
     base = fit_on if fit_on is not None else df
-    span = base.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("s")).scalar()
-    lo, step = span["lo"], (span["hi"] - span["lo"]) / float(bins)
-    code = F.lit(0)
-    for i in range(1, bins):
-        code = code + F.when(x > lo + float(i) * step, 1).otherwise(0)
+    span = base.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = span["lo"], span["hi"]
+    if lo is None:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    step, reach = (hi - lo) / bins, 0.001 * (hi - lo)
     # A constant column gets one bin around its value, in the middle of the axis.
-    code = F.when(span["lo"] == span["hi"], F.lit((bins - 1) // 2)).otherwise(code)
-    inside = (x >= lo - 0.001 * (span["hi"] - lo)) & (x <= span["hi"])
-    return df.withColumn(out, F.when(inside, code))
+    code = F.lit((bins - 1) // 2)
+    if step:
+        code = sum((F.when(x > lo + i * step, 1).otherwise(0) for i in range(1, bins)), F.lit(0))
+    return df.withColumn(out, F.when((x >= lo - reach) & (x <= hi), code))
 
 
 def log1p_features(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:

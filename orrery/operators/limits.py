@@ -1,0 +1,15 @@
+"""Checks that a column is small enough for what follows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+FEW = 1_000
+
+
+def few_values(df: DataFrame, col: str, limit: int = FEW) -> list:
+    """The distinct values of a class column, at most `limit` of them."""
+    rows = df.select(F.col(col).alias("v")).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has more than {limit} values; it is no class column")
+    return [r["v"] for r in rows]

@@ -21,6 +21,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from orrery.operators.evaluate import binary_metrics_by
+from orrery.operators.limits import few_values
+
 # The searched parameters.
 BOOSTED_GRID = {
     "maxDepth": [3, 5, 7],
@@ -155,16 +158,19 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Row weight n / (classes * rows of the class), as one value per class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.struct(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k")).alias("s")).scalar()
-    weights = counts.select(label, (total["n"] / (total["k"] * F.col("__n"))).alias(out))
-    return df.join(F.broadcast(weights), label)  # one row per class
+    few_values(df, label)
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
+    weight = F.lit(None).cast("double")
+    for name, n in counts.items():
+        weight = F.when(F.col(label).eqNullSafe(F.lit(name)), F.lit(total / (len(counts) * n))).otherwise(weight)
+    return df.withColumn(out, weight)
 
 
 def positive_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Row weight of the positive class, 1 for all others."""
-    scale = class_weights(df, label).select("scale_pos_weight").scalar()
-    return df.withColumn(out, F.when(F.col(label) == 1, scale).otherwise(F.lit(1.0)))
+    scale = class_weights(df, label).first()["scale_pos_weight"]
+    return df.withColumn(out, F.when(F.col(label) == 1, F.lit(scale)).otherwise(F.lit(1.0)))
 
 
 def _param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]:
@@ -260,6 +266,13 @@ def cross_predict(df: DataFrame, estimator: Estimator, fold: str, folds: int) ->
     return out
 
 
+def cross_validate(df: DataFrame, estimator: Estimator, fold: str, label: str = "label") -> DataFrame:
+    """Test metrics of a classifier per fold; `summarize_folds` gives their mean and spread."""
+    folds = df.agg(F.max(fold)).first()[0] + 1
+    scored = positive_probability(cross_predict(df, estimator, fold, folds))
+    return binary_metrics_by(scored.select(fold, label, "prediction", "score"), fold, label, "prediction", "score")
+
+
 def early_stopping(
     df: DataFrame, estimator: GBTClassifier, validation: str, tol: float = 0.001
 ) -> tuple[Model, int]:

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from orrery.functions.numeric import finite
 
 BUCKET = "__bucket"
+MAX_BUCKETS = 8192  # about what the quantile sketch can tell apart
 
 
 def default_buckets(spark: SparkSession) -> int:
     """Buckets for one ordered range: a few per shuffle partition."""
-    return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), MAX_BUCKETS)
 
 
 def range_bounds(
@@ -80,7 +81,8 @@ def running(
 
     `bucket` must grow with `order`; rows of one key spread over its buckets, so a
     hot key is no single task. `keys` must not be null and `order` must be unique
-    within a key. The window over bucket totals sees one row per bucket."""
+    within a key. The window over bucket totals sees one row per bucket; without keys there must
+    be few buckets, as `bucket_by_range` makes them."""
     sums, lasts = dict(sums or {}), dict(lasts or {})
     part = [*keys, bucket]
 

@@ -1,37 +1,109 @@
-"""Reproducible splits and folds that do not depend on how the data is laid out."""
+"""Reproducible splits and folds that do not depend on how the data is laid out.
+
+A split is a set of cut points in a total order of the rows: hash order, or the order of a
+column. The cut points are found by counting, a handful of values per class, and the rows
+are then marked by comparing with them: no row is shuffled or sorted for its mark."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orrery.functions.hashing import HASH_BITS, stable_hash, unit_hash
-from orrery.operators.ordered import BUCKET, bucket_by_range, running
+from orrery.operators.limits import few_values
+from orrery.operators.ordered import BUCKET, bucket_by_range
 
-RANGE_BITS = 12  # hash ranges per class; the hash is uniform, so they are even
+RANGE_BITS = 16  # hash ranges; the hash is uniform, so they are even
+CLASS = "__class"
+
+Cut = tuple  # values of the order columns at a wanted rank, or None before the first row
 
 
 def fast_split(df: DataFrame, key: str, fraction: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
-    """Mark about `fraction` of the rows, without any shuffle."""
+    """Mark about `fraction` of the rows, without any job."""
     return df.withColumn(out, unit_hash(F.col(key), seed) < fraction)
 
 
-def _with_hash(df: DataFrame, key: str, seed: int) -> DataFrame:
-    h = stable_hash(F.col(key), seed)
-    return df.withColumn("__h", h).withColumn(
-        BUCKET, F.shiftright(F.col("__h"), HASH_BITS - RANGE_BITS).cast("int")
+def _class_of(by: str | None) -> Column:
+    return F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(""))
+
+
+def _class_counts(df: DataFrame, by: str | None) -> dict[str, int]:
+    """Rows per class in class order; there may only be a few classes."""
+    if by is not None:
+        few_values(df, by)
+    counts = df.groupBy(_class_of(by).alias(CLASS)).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r[CLASS]: r["n"] for r in sorted(counts, key=lambda r: r[CLASS])}
+
+
+def rank_cuts(
+    rows: DataFrame, order: Sequence[str], wanted: Mapping[str, Sequence[int]]
+) -> dict[tuple[str, int], Cut | None]:
+    """Order values at the wanted ranks (1 is the first row) of each class.
+
+    `rows` has the class, a bucket that grows with the order, and the order columns. Rows are
+    counted per bucket; only the buckets that hold a wanted rank are sorted, each on its own."""
+    found: dict[tuple[str, int], Cut | None] = {(c, r): None for c, ranks in wanted.items() for r in ranks if r < 1}
+    ranks = [(c, r) for c, rs in wanted.items() for r in set(rs) if r >= 1]
+    if not ranks:
+        return found
+    targets = rows.sparkSession.createDataFrame(ranks, f"{CLASS} string, rank bigint")
+    per_bucket = rows.groupBy(CLASS, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    past = F.sum("n").over(W.partitionBy(CLASS).orderBy(BUCKET))
+    hits = (
+        per_bucket.withColumn("past", past)
+        .join(F.broadcast(targets), CLASS)  # a few ranks per class
+        .where((F.col("rank") > F.col("past") - F.col("n")) & (F.col("rank") <= F.col("past")))
+        .groupBy(CLASS, BUCKET)
+        .agg(F.collect_list(F.struct("rank", (F.col("rank") - F.col("past") + F.col("n")).alias("at"))).alias("ranks"))
     )
+    place = F.row_number().over(W.partitionBy(CLASS, BUCKET).orderBy(*order))
+    near = rows.join(F.broadcast(hits), [CLASS, BUCKET]).withColumn("place", place)
+    spots = near.select(CLASS, "place", *order, F.inline("ranks")).where(F.col("place") == F.col("at"))
+    for r in spots.collect():  # one row per wanted rank
+        found[r[CLASS], r["rank"]] = tuple(r[c] for c in order)
+    return found
+
+
+def _after(order: Sequence[Column], cut: Cut | None) -> Column:
+    """Whether a row comes after the cut in the order of its columns."""
+    if cut is None:
+        return F.lit(True)
+    later, same = F.lit(False), F.lit(True)
+    for column, value in zip(order, cut):
+        later = later | (same & (column > F.lit(value)))
+        same = same & (column == F.lit(value))
+    return later
+
+
+def _by_class(by: str | None, values: Mapping[str, Column], otherwise: Column) -> Column:
+    if by is None:
+        return values.get("", otherwise)
+    out = otherwise
+    for name, value in values.items():
+        out = F.when(_class_of(by) == name, value).otherwise(out)
+    return out
+
+
+def _hash_rows(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
+    h = stable_hash(F.col(key), seed)
+    rows = df.select(_class_of(by).alias(CLASS), h.alias("h"), F.col(key).alias("key"))
+    return rows.withColumn(BUCKET, F.shiftright("h", HASH_BITS - RANGE_BITS).cast("int"))
 
 
-def _test_sizes(counts: DataFrame, fraction: float) -> DataFrame:
-    """Test rows per class: the total is ceil(fraction * n); the training rows are shared
-    out by largest remainder, ties to the first class. One row per class."""
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    train = total - F.ceil(total * F.lit(fraction))
-    shared = counts.withColumn("quota", F.col("n") * train / total).withColumn("base", F.floor("quota"))
-    left = train - shared.agg(F.sum("base").alias("b")).scalar()
-    order = W.orderBy(F.desc(F.col("quota") - F.col("base")), "__class")
-    extra = F.when(F.row_number().over(order) <= left, 1).otherwise(0)
-    return shared.select("__class", (F.col("n") - F.col("base") - extra).alias("n_test"))
+def split_sizes(counts: Mapping[str, int], fraction: float) -> dict[str, int]:
+    """Test rows per class: ceil(fraction * n) in all; the training rows are shared out by
+    largest remainder, ties to the first class."""
+    total = sum(counts.values())
+    train = total - math.ceil(total * fraction)
+    quota = {c: n * train / total for c, n in counts.items()}
+    base = {c: math.floor(q) for c, q in quota.items()}
+    left = train - sum(base.values())
+    for c in sorted(quota, key=lambda c: (-(quota[c] - base[c]), c))[:left]:
+        base[c] += 1
+    return {c: counts[c] - base[c] for c in counts}
 
 
 def exact_split(
@@ -44,35 +116,13 @@ def exact_split(
 ) -> DataFrame:
     """Mark exactly ceil(fraction * n) rows, and in proportion within each class of `by`.
 
-    Rows are taken in hash order, so the split follows from key and seed alone. Only
-    the counts per hash range and the rows of the one range holding the cut are shuffled.
-    `key` must be unique; `by` must have few values."""
-    rows = _with_hash(df, key, seed).withColumn(
-        "__class", F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(""))
-    )
-    narrow = rows.select("__class", BUCKET, "__h", F.col(key).alias("__key"))
-    ranges = narrow.groupBy("__class", BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    sizes = _test_sizes(ranges.groupBy("__class").agg(F.sum("n").alias("n")), fraction)
-    w = W.partitionBy("__class").orderBy(BUCKET)
-    cut = (
-        ranges.withColumn("past", F.sum("n").over(w))
-        .join(sizes, "__class")
-        .where((F.col("past") - F.col("n") < F.col("n_test")) & (F.col("n_test") <= F.col("past")))
-        .select("__class", BUCKET, (F.col("n_test") - F.col("past") + F.col("n")).alias("rank"))
-    )
-    near = narrow.join(F.broadcast(cut), ["__class", BUCKET])
-    spot = F.row_number().over(W.partitionBy("__class").orderBy("__h", "__key"))
-    last = (
-        near.withColumn("at", spot)
-        .where(F.col("at") == F.col("rank"))
-        .select("__class", F.col("__h").alias("__last_h"), F.col("__key").alias("__last_key"))
-    )
-    # `cut` and `last` have one row per class.
-    below = (F.col("__h") < F.col("__last_h")) | (
-        (F.col("__h") == F.col("__last_h")) & (F.col(key) <= F.col("__last_key"))
-    )
-    marked = rows.join(F.broadcast(last), "__class", "left")
-    return marked.select(*[F.col(c) for c in df.columns], F.coalesce(below, F.lit(False)).alias(out))
+    The rows that come first in hash order are taken, so the split follows from key and seed
+    alone. `key` must be unique."""
+    sizes = split_sizes(_class_counts(df, by), fraction)
+    cuts = rank_cuts(_hash_rows(df, key, seed, by), ["h", "key"], {c: [n] for c, n in sizes.items()})
+    order = [stable_hash(F.col(key), seed), F.col(key)]
+    inside = {c: ~_after(order, cuts[c, n]) for c, n in sizes.items()}
+    return df.withColumn(out, _by_class(by, inside, F.lit(False)))
 
 
 def split_frames(
@@ -88,17 +138,29 @@ def validation_split(df: DataFrame, key: str, fraction: float = 0.2, seed: int =
     return exact_split(df, key, fraction, seed + 1, by, out="is_validation")
 
 
+def _folds(
+    df: DataFrame, rows: DataFrame, names: list[str], order: list[Column], by: str | None,
+    sizes: Mapping[str, list[int]], out: str,
+) -> DataFrame:
+    """Number the folds by how many fold ends a row comes after."""
+    ends = {c: [sum(s[: i + 1]) for i in range(len(s) - 1)] for c, s in sizes.items()}
+    cuts = rank_cuts(rows, names, ends)
+    number = {
+        c: sum((F.when(_after(order, cuts[c, e]), 1).otherwise(0) for e in es), F.lit(0)) for c, es in ends.items()
+    }
+    return df.withColumn(out, _by_class(by, number, F.lit(None).cast("int")))
+
+
+def _range_rows(df: DataFrame, order: str, by: str | None) -> DataFrame:
+    return bucket_by_range(df.select(_class_of(by).alias(CLASS), F.col(order).alias("key")), "key")
+
+
 def kfold_contiguous(df: DataFrame, order: str, k: int = 5, out: str = "fold") -> DataFrame:
     """Folds of consecutive rows in `order` (numeric, unique); the first `n % k` folds
     have one row more."""
-    rows = running(bucket_by_range(df, order), [order], sums={"__i": F.lit(1)})
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    size, extra = F.floor(n / F.lit(k)), n % F.lit(k)
-    i = F.col("__i") - 1
-    fold = F.when(i < extra * (size + 1), F.floor(i / (size + 1))).otherwise(
-        extra + F.floor((i - extra * (size + 1)) / F.greatest(size, F.lit(1)))
-    )
-    return rows.withColumn(out, fold.cast("int")).drop("__i", BUCKET)
+    n = df.count()
+    sizes = {"": [n // k + (1 if i < n % k else 0) for i in range(k)]}
+    return _folds(df, _range_rows(df, order, None), ["key"], [F.col(order)], None, sizes, out)
 
 
 def kfold_stratified(
@@ -109,27 +171,19 @@ def kfold_stratified(
     seed: int | None = None,
     out: str = "fold",
 ) -> DataFrame:
-    """Folds that share out each class evenly: in consecutive runs of `order`, or in hash
-    order of it when a seed is given. The classes, sorted, are dealt over the folds one row
-    at a time, which fixes how many rows of each class a fold gets."""
+    """Folds that share out each class evenly: in consecutive runs of `order` (unique), or in
+    hash order of it when a seed is given. The classes, sorted, are dealt over the folds one
+    row at a time, which fixes how many rows of each class a fold gets."""
+    counts = _class_counts(df, label)
+    sizes, before = {}, 0
+
+    def dealt(upto: int, fold: int) -> int:
+        return (upto - fold + k - 1) // k
+
+    for name, n in counts.items():
+        sizes[name] = [dealt(before + n, f) - dealt(before, f) for f in range(k)]
+        before += n
     if seed is None:
-        rows, sort = bucket_by_range(df, order), [order]
-    else:
-        rows, sort = _with_hash(df, order, seed), ["__h", order]
-    rows = running(rows, sort, keys=[label], sums={"__i": F.lit(1)})
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # One row per class.
-    starts = counts.withColumn("before", F.sum("n").over(W.orderBy(label)) - F.col("n"))
-
-    def dealt(upto: Column, fold: int) -> Column:
-        return F.floor((upto - fold + (k - 1)) / F.lit(k))
-
-    shares = [dealt(F.col("before") + F.col("n"), f) - dealt(F.col("before"), f) for f in range(k)]
-    ends, total = [], F.lit(0)
-    for share in shares:
-        total = total + share
-        ends.append(total)
-    edges = starts.select(label, F.array(*ends).alias("__ends"))
-    fold = F.size(F.filter("__ends", lambda e: e < F.col("__i")))
-    dealt_rows = rows.join(F.broadcast(edges), label)
-    return dealt_rows.select(*[F.col(c) for c in df.columns], fold.cast("int").alias(out))
+        return _folds(df, _range_rows(df, order, label), ["key"], [F.col(order)], label, sizes, out)
+    by_hash = [stable_hash(F.col(order), seed), F.col(order)]
+    return _folds(df, _hash_rows(df, order, seed, label), ["h", "key"], by_hash, label, sizes, out)

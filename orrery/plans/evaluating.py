@@ -149,6 +149,23 @@ def threshold_youden(spark, sf):
     return rounded(V.best_threshold(scored(Tables(spark, sf)), "y", "score", "youden"), 8, "value")
 
 
+@query(
+    f"""WITH r AS (SELECT event_id % 5 AS fold, y, score, CAST(score >= 30 AS INTEGER) AS p FROM {SCORED} t),
+    b AS (SELECT fold, avg(CAST(y = p AS INTEGER)) AS accuracy, sum(y * p) / sum(p) AS precision, sum(y * p) / sum(y) AS recall,
+    2 * sum(y * p) / (sum(p) + sum(y)) AS f1_score FROM r GROUP BY 1),
+    g AS (SELECT fold, score, sum(y) AS pos, sum(1 - y) AS neg FROM r GROUP BY 1, 2),
+    c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM g WINDOW w AS (PARTITION BY fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+    a AS (SELECT fold, sum(neg * (tp - pos / 2.0)) / (sum(pos)::DOUBLE * sum(neg)) AS roc_auc, sum(pos * tp / (tp + fp)::DOUBLE) / sum(pos) AS average_precision FROM c GROUP BY 1)
+    SELECT fold, round(accuracy, 8) AS accuracy, round(precision, 8) AS precision, round(recall, 8) AS recall, round(f1_score, 8) AS f1_score,
+    round(roc_auc, 8) AS roc_auc, round(average_precision, 8) AS average_precision FROM b JOIN a USING (fold)"""
+)
+def cv_fold_metrics(spark, sf):
+    """Classification metrics of every fold."""
+    rows = scored(Tables(spark, sf)).withColumn("fold", F.col("event_id") % 5)
+    out = V.binary_metrics_by(V.apply_threshold(rows, "score", 30.0), "fold", "y", "prediction", "score")
+    return rounded(out, 8, "accuracy", "precision", "recall", "f1_score", "roc_auc", "average_precision")
+
+
 @query(f"SELECT event_id, CAST(score >= 30 AS INTEGER) AS prediction FROM {SCORED} t")
 def apply_threshold(spark, sf):
     return V.apply_threshold(scored(Tables(spark, sf)), "score", 30.0).select("event_id", "prediction")
@@ -176,8 +193,7 @@ def model_comparison(spark, sf):
         (F.col("l_quantity") * 1500).alias("q"),
         F.lit(38000.0).alias("c"),
     )
-    table = V.model_comparison({n: V.regression_metrics(rows, "y", c) for n, c in COMPARED.items()})
-    return rounded(table, 1, "mse")
+    return rounded(V.compare_predictions(rows, "y", COMPARED), 1, "mse")
 
 
 @query(

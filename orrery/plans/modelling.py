@@ -9,8 +9,9 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from orrery.operators import encode as E, importance as I, models as M, split as X
-from orrery.operators.evaluate import binary_metrics, regression_metrics
+from orrery.operators.evaluate import binary_metrics, regression_metrics, summarize_folds
 from orrery.plans.registry import Tables, query, rounded
+from orrery.sources.bundles import load_bundle, save_bundle
 from orrery.sources.storage import work_folder, written
 from orrery.sources.tables import append_metrics
 
@@ -195,23 +196,41 @@ def importance_coef(spark, sf):
     return rounded(I.importance_coef(spark, M.fit_logistic(rows), names), 6, "importance")
 
 
-@query("SELECT count(*) AS n, count(*) AS equal FROM labels JOIN documents USING (doc_id)")
+@query(
+    """SELECT count(*) AS n, count(*) AS equal, count(*) FILTER (quality = 1) AS positive, CAST(8 AS BIGINT) AS features
+    FROM labels JOIN documents USING (doc_id)"""
+)
 def model_persist(spark, sf):
-    """Preparation and model saved, loaded and compared row by row with the originals."""
-    rows, prepare, _ = _prepared(spark, sf)
-    whole = PipelineModel([*prepare.stages, M.fit_logistic(rows)])
-    path = work_folder(spark, "model")
-    whole.write().save(path)
+    """Preparation, model, class counts and importances saved and loaded; the scores are
+    compared row by row with the originals."""
+    rows, prepare, names = _prepared(spark, sf)
+    fitted = M.fit_logistic(rows)
+    whole = PipelineModel([*prepare.stages, fitted])
+    path = work_folder(spark, "bundle")
+    side = {"classes": M.class_weights(rows, "label"), "importances": I.importance_coef(spark, fitted, names)}
+    save_bundle(path, whole, side)
+    again, tables = load_bundle(spark, path, list(side))
     source = rows.select("doc_id", "label", *NUMERIC, *CATEGORICAL)
     before = M.positive_probability(whole.transform(source)).select("doc_id", "score")
-    after = M.positive_probability(PipelineModel.load(path).transform(source)).select(
-        "doc_id", F.col("score").alias("again")
-    )
+    after = M.positive_probability(again.transform(source)).select("doc_id", F.col("score").alias("again"))
     return before.join(after, "doc_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") == F.col("again")).alias("equal")
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("score") == F.col("again")).alias("equal"),
+        F.lit(tables["classes"].first()["positive"]).cast("bigint").alias("positive"),
+        F.lit(tables["importances"].count()).cast("bigint").alias("features"),
     )
 
 
+@query()
+def cross_validate(spark, sf):
+    """Mean and spread of the metrics of a boosted classifier over three shuffled folds."""
+    rows, _, _ = _prepared(spark, sf)
+    folds = X.kfold_stratified(rows, "label", "doc_id", k=3, seed=42)
+    scores = M.cross_validate(folds, M.boosted_classifier(rounds=5, depth=3), "fold")
+    metrics = ["roc_auc", "f1_score", "precision", "recall", "accuracy", "average_precision"]
+    return rounded(summarize_folds(scores, metrics), 6, "mean", "std")
+
+
 @query()
 def pca(spark, sf):
     """Share of variance of the two main directions of the line numbers."""

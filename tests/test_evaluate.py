@@ -108,6 +108,13 @@ def test_model_comparison_marks_the_best(spark):
     assert [(r["model"], r["best"]) for r in got] == [("p", True), ("q", False)]
 
 
+def test_prediction_columns_compare_in_one_pass(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 2.0), (2.0, 2.5, 2.0), (4.0, 3.0, 2.0)], "y double, p double, q double")
+    one = {r["model"]: r for r in V.compare_predictions(df, "y", {"a": "p", "b": "q"}).collect()}
+    two = {r["model"]: r for r in V.model_comparison({"a": V.regression_metrics(df, "y", "p"), "b": V.regression_metrics(df, "y", "q")}).collect()}
+    assert one == two
+
+
 def test_fold_summary(spark):
     folds = spark.createDataFrame([(0, 1.0), (1, 3.0)], "fold int, r2 double")
     r = V.summarize_folds(folds, ["r2"]).first()

@@ -8,6 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from orrery.operators import encode as E, evaluate as V, importance as I, models as M, split as X
+from orrery.sources.bundles import load_bundle, save_bundle
 from orrery.sources.storage import work_folder
 
 
@@ -133,6 +134,28 @@ def test_draws_are_seeded_and_different():
     assert len(M.drawn_maps(lr, space, 100)) == 6
 
 
+def test_cross_validation_per_fold(classes):
+    df, _, _ = classes
+    folds = X.kfold_stratified(df, "label", "id", k=3, seed=1)
+    scores = {r["fold"]: r for r in M.cross_validate(folds, LogisticRegression(maxIter=20), "fold").collect()}
+    assert sorted(scores) == [0, 1, 2]
+    out = M.positive_probability(M.cross_predict(folds, LogisticRegression(maxIter=20), "fold", 3)).where("fold = 1")
+    assert scores[1]["roc_auc"] == pytest.approx(V.roc_auc(out, "label", "score").first()[0])
+    assert scores[1]["average_precision"] == pytest.approx(V.average_precision(out, "label", "score").first()[0])
+    assert scores[1]["f1_score"] == pytest.approx(V.binary_metrics(out, "label", "prediction").first()["f1_score"])
+
+
+def test_class_column_must_have_few_values(spark):
+    df = spark.range(2000).withColumn("label", F.col("id").cast("double"))
+    for use in (
+        lambda: X.exact_split(df, "id", by="label"),
+        lambda: X.kfold_stratified(df, "label", "id"),
+        lambda: M.balanced_weight(df, "label"),
+    ):
+        with pytest.raises(ValueError):
+            use()
+
+
 def test_cross_predict_covers_every_row(classes):
     df, _, _ = classes
     folds = X.kfold_stratified(df, "label", "id", k=3)
@@ -162,12 +185,14 @@ def test_saved_model_scores_the_same(spark, rows):
     prepare = E.column_transformer(df, ["x"], ["c"])
     model = PipelineModel([*prepare.stages, M.fit_logistic(prepare.transform(df))])
     path = work_folder(spark, "model")
-    model.write().save(path)
+    save_bundle(path, model, {"classes": M.class_weights(df, "label")})
+    again, tables = load_bundle(spark, path, ["classes"])
 
     def scores(m):
         return rows(M.batch_scoring(df, m).select("id", "approval_probability", "prediction", "confidence"))
 
-    assert scores(PipelineModel.load(path)) == scores(model)
+    assert scores(again) == scores(model)
+    assert tables["classes"].first()["total"] == 60
     assert {r[2] for r in scores(model)} == {"Approved", "Rejected"}
 
 
