@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F, types as T
 
 from orrery.functions.numeric import finite
 from orrery.operators.ordered import exact_quantiles, quantile_columns
@@ -305,11 +305,10 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(
         F.col(a).alias("a"), F.col(b).alias("b")
     ).agg(F.count(F.lit(1)).alias("n"))
-    by_a = cells.groupBy("a").agg(F.sum("n").alias("na"))
-    by_b = cells.groupBy("b").agg(F.sum("n").alias("nb"))
-    total = cells.agg(F.sum("n").alias("t")).scalar()
-    expected = F.col("na") * F.col("nb") / total
-    filled = cells.join(by_a, "a").join(by_b, "b").withColumn("e", expected)
+    total = cells.agg(F.sum("n").alias("t")).first()["t"]
+    sums = {f"n{c}": F.sum("n").over(W.partitionBy(c)) for c in ("a", "b")}  # over cells, not rows
+    expected = F.col("na").cast("double") * F.col("nb") / F.lit(total)
+    filled = cells.withColumns(sums).withColumn("e", expected)
     gap = F.pow(F.col("n") - F.col("e"), F.lit(2.0)) / F.col("e")
     return filled.agg(
         (F.sum(gap) + (F.sum("n") - F.sum("e"))).alias("statistic"),

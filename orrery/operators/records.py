@@ -39,21 +39,27 @@ def transcript(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -
     return numbered.select(conv, "message_no", "role", "text")
 
 
-def last_write_wins(calls: DataFrame, record: str, seq: str = "seq") -> DataFrame:
-    """The latest personal details, summary and hobbies of each record."""
+def _latest(calls: DataFrame, record: str, seq: str) -> DataFrame:
+    """The arguments of the latest call of each kind that overwrites: `p`, `s` and `h`."""
 
     def latest(tool: str) -> Column:
         return F.max_by("args", F.when(F.col("tool") == tool, F.col(seq)))
 
-    kept = calls.groupBy(record).agg(
+    return calls.groupBy(record).agg(
         latest("save_personal_info").alias("p"),
         latest("save_summary").alias("s"),
         latest("add_hobbies").alias("h"),
     )
-    details = [F.col("p")[f].alias(f) for f in TOOL_FIELDS["save_personal_info"]]
-    return kept.select(
-        record, *details, F.col("s")["summary"].alias("summary"), F.col("h")["hobbies"].alias("hobbies")
-    )
+
+
+def _details() -> list[Column]:
+    person = [F.col("p")[f].alias(f) for f in TOOL_FIELDS["save_personal_info"]]
+    return [*person, F.col("s")["summary"].alias("summary"), F.col("h")["hobbies"].alias("hobbies")]
+
+
+def last_write_wins(calls: DataFrame, record: str, seq: str = "seq") -> DataFrame:
+    """The latest personal details, summary and hobbies of each record."""
+    return _latest(calls, record, seq).select(record, *_details())
 
 
 def append_sections(calls: DataFrame, record: str, seq: str = "seq") -> DataFrame:
@@ -170,7 +176,7 @@ def _join_entries(rows: DataFrame, keys: list[str], order: str, text: str, sep:
 def render_record(calls: DataFrame, record: str, seq: str = "seq") -> DataFrame:
     """The record as text, section by section, empty sections left out. Skills are listed in
     text order."""
-    last = last_write_wins(calls, record, seq)
+    last = _latest(calls, record, seq).select(record, F.col("p").isNotNull().alias("has_person"), *_details())
 
     def f(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
@@ -206,10 +212,7 @@ def render_record(calls: DataFrame, record: str, seq: str = "seq") -> DataFrame:
         .groupBy(record)
         .agg(_joined("__block", "__t", ", ").alias("t_skills"))
     )
-    person_seen = calls.groupBy(record).agg(F.bool_or(F.col("tool") == "save_personal_info").alias("has_person"))
-    all_parts = (
-        last.join(person_seen, record).join(by_section, record, "left").join(skill_text, record, "left")
-    )
+    all_parts = last.join(by_section, record, "left").join(skill_text, record, "left")
     body = {
         "summary": F.concat(f("summary"), F.when(f("summary") != "", F.lit("\n")).otherwise("")),
         "experience": f("t_experience"),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orrery.functions.text import SPACE, preview
+from orrery.sources.storage import written
 
 # Shapes of the references, and results per question.
 CHAPTER_REF = rf"(?iu)([IVXLCDM]+)[{SPACE}]+bob"
@@ -100,29 +101,51 @@ QUERY_BYTES = 128 * 1024 * 1024  # query vectors that may be sent to every task
 BLOCK_ROWS = 20_000
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    """Vectors of one Arrow column, one row each."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    cells = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return cells.reshape(rows, -1) if rows else cells.reshape(0, 1)
+
+
 def _nearest(
     base: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the k nearest rows, equal distances by id. A matrix product finds the
-    candidates; their distances are then taken from the differences themselves."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and squared distances of the k nearest rows of each query, equal distances by id.
+
+    A matrix product finds a few more candidates than needed, and their distances are taken
+    from the differences. Where rounding could hide a nearer row, all near rows are compared."""
+    n = len(ids)
+    kk, kc = min(k, n), min(k + 8, n)
+    out_ids, out_dist = np.empty((len(queries), kk), dtype=ids.dtype), np.empty((len(queries), kk))
     base_sq = np.einsum("ij,ij->i", base, base)
     for start in range(0, len(queries), 256):
         chunk = queries[start : start + 256]
         chunk_sq = np.einsum("ij,ij->i", chunk, chunk)
         rough = base_sq[None, :] - 2.0 * (chunk @ base.T) + chunk_sq[:, None]
-        kk = min(k, len(ids))
-        bound = np.partition(rough, kk - 1, axis=1)[:, kk - 1]
-        slack = 1e-9 * (chunk_sq + (base_sq.max() if len(base_sq) else 0.0) + 1.0)
-        for i in range(len(chunk)):
-            near = np.flatnonzero(rough[i] <= bound[i] + slack[i])
-            gaps = base[near] - chunk[i]
-            dist = np.einsum("ij,ij->i", gaps, gaps)
-            best = np.lexsort((ids[near], dist))[:k]
-            yield start + i, ids[near][best], dist[best]
+        slack = 1e-9 * (chunk_sq + base_sq.max() + 1.0)
+        near = np.argpartition(rough, kc - 1, axis=1)[:, :kc]
+        gaps = base[near] - chunk[:, None, :]
+        dist = np.einsum("qcd,qcd->qc", gaps, gaps)
+        first = np.lexsort((ids[near], dist), axis=1)[:, :kk]
+        best_ids = np.take_along_axis(ids[near], first, axis=1)
+        best_dist = np.take_along_axis(dist, first, axis=1)
+        edge = np.take_along_axis(rough, near, axis=1).max(axis=1)
+        for i in np.flatnonzero(best_dist[:, -1] >= edge - slack) if kc < n else ():
+            close = np.flatnonzero(rough[i] <= best_dist[i, -1] + slack[i])
+            d = ((base[close] - chunk[i]) ** 2).sum(axis=1)
+            order = np.lexsort((ids[close], d))[:kk]
+            best_ids[i], best_dist[i] = ids[close][order], d[order]
+        out_ids[start : start + 256], out_dist[start : start + 256] = best_ids, best_dist
+    return out_ids, out_dist
+
 
+def _hits(query_ids: np.ndarray, ids: np.ndarray, dist: np.ndarray) -> dict[str, np.ndarray]:
+    return {"q": np.repeat(query_ids, ids.shape[1]), "b": ids.ravel(), "d": dist.ravel()}
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
+
+HITS = "q bigint, b bigint, d double"
 
 
 def vector_topk(
@@ -137,43 +160,46 @@ def vector_topk(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The exact k nearest base rows of each query by L2 distance, equal distances by id:
-    `(query id, rank, base id, distance)`. Ids are whole numbers.
+    `(query id, rank, base id, distance)`. Ids are whole numbers; rows without a vector are
+    left out.
 
     Each task keeps k rows per query of its part of the base; these are merged by query.
     Query vectors within `query_bytes` are sent to all tasks; a larger set is cut into
     blocks that meet the blocks of the base in a cogroup."""
-    base = base.select(F.col(base_id).cast("bigint").alias("b"), F.col(vector).alias("v"))
-    queries = queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(vector).alias("v"))
+    base = base.select(F.col(base_id).cast("bigint").alias("b"), F.col(vector).alias("v")).where("v IS NOT NULL")
+    queries = queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(vector).alias("v")).where(
+        "v IS NOT NULL"
+    )
     size = queries.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("cells")
     ).first()
-    schema = "q bigint, b bigint, d double"
 
     if size["cells"] * 8 <= query_bytes:
-        local = queries.toPandas()  # bounded by query_bytes
-        query_ids = local["q"].to_numpy()
-        query_matrix = _matrix(local["v"]) if len(local) else np.zeros((0, 1))
-        shared = base.sparkSession.sparkContext.broadcast((query_ids, query_matrix))
+        local = queries.toArrow()  # bounded by query_bytes
+        shared = base.sparkSession.sparkContext.broadcast(
+            (local.column("q").to_numpy(), _matrix(local.column("v"), len(local)))
+        )
 
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qid, qmat = shared.value
-            best: list[pd.DataFrame] = []
+            ids = dist = None
             for batch in batches:
                 if not len(batch) or not len(qid):
                     continue
-                hits = [
-                    pd.DataFrame({"q": qid[i], "b": ids, "d": dist})
-                    for i, ids, dist in _nearest(_matrix(batch["v"]), batch["b"].to_numpy(), qmat, k)
-                ]
-                merged = pd.concat([*best, *hits]).sort_values(["q", "d", "b"])
-                best = [merged.groupby("q", sort=False).head(k)]
-            yield from best
-
-        partial = base.mapInPandas(scan, schema)
+                new_ids, new_dist = _nearest(_matrix(batch.column("v"), len(batch)), batch.column("b").to_numpy(), qmat, k)
+                if ids is not None:
+                    new_ids, new_dist = np.hstack([ids, new_ids]), np.hstack([dist, new_dist])
+                    order = np.lexsort((new_ids, new_dist), axis=1)[:, :k]
+                    new_ids = np.take_along_axis(new_ids, order, axis=1)
+                    new_dist = np.take_along_axis(new_dist, order, axis=1)
+                ids, dist = new_ids, new_dist
+            if ids is not None:
+                yield pa.RecordBatch.from_pydict(_hits(qid, ids, dist))
+
+        partial = base.mapInArrow(scan, HITS)
     else:
-        per_block = max(1, block_rows)
-        query_blocks = -(-size["n"] // per_block)
-        base_blocks = max(1, -(-base.count() // per_block))
+        query_blocks = max(1, -(-size["n"] // block_rows))
+        base_blocks = max(1, -(-base.count() // block_rows))
 
         def spread(df: DataFrame, own: str, own_n: int, other: str, other_n: int, key: str) -> DataFrame:
             return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int")).withColumn(
@@ -183,18 +209,15 @@ def vector_topk(
         left = spread(base, "bb", base_blocks, "qb", query_blocks, "b")
         right = spread(queries, "qb", query_blocks, "bb", base_blocks, "q")
 
-        def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        def meet(a: pa.Table, b: pa.Table) -> pa.Table:
             if not len(a) or not len(b):
-                return pd.DataFrame({"q": [], "b": [], "d": []}).astype({"q": "int64", "b": "int64", "d": float})
-            qid = b["q"].to_numpy()
-            return pd.concat(
-                [
-                    pd.DataFrame({"q": qid[i], "b": ids, "d": dist})
-                    for i, ids, dist in _nearest(_matrix(a["v"]), a["b"].to_numpy(), _matrix(b["v"]), k)
-                ]
+                return pa.table({"q": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
+            found = _nearest(
+                _matrix(a.column("v"), len(a)), a.column("b").to_numpy(), _matrix(b.column("v"), len(b)), k
             )
+            return pa.table(_hits(b.column("q").to_numpy(), *found))
 
-        partial = left.groupBy("bb", "qb").cogroup(right.groupBy("bb", "qb")).applyInPandas(meet, schema)
+        partial = left.groupBy("bb", "qb").cogroup(right.groupBy("bb", "qb")).applyInArrow(meet, HITS)
 
     rank = F.row_number().over(W.partitionBy("q").orderBy("d", "b"))
     return (
@@ -220,7 +243,9 @@ def hybrid_search(
     hits = metadata_lookup(questions.drop(vector), docs, [doc_id], chapter, article, max_k).select(
         question_id, "rank", doc_id, F.lit("metadata").alias("found_by")
     )
-    missed = questions.join(hits.select(question_id).distinct(), question_id, "left_anti")
+    # Both are read several times below.
+    hits = written(hits, "hits")
+    missed = written(questions.join(hits.select(question_id), question_id, "left_anti"), "missed")
     near = vector_topk(
         docs, missed, max_k, base_id=doc_id, query_id=question_id, vector=vector
     )

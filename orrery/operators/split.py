@@ -7,15 +7,17 @@ are then marked by comparing with them: no row is shuffled or sorted for its mar
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from orrery.functions.hashing import HASH_BITS, stable_hash, unit_hash
-from orrery.operators.limits import few_values
+from orrery.operators.limits import FEW
 from orrery.operators.ordered import BUCKET, bucket_by_range
 
-RANGE_BITS = 16  # hash ranges; the hash is uniform, so they are even
+RANGE_BITS = 14  # hash ranges; the hash is uniform, so they are even
 CLASS = "__class"
 
 Cut = tuple  # values of the order columns at a wanted rank, or None before the first row
@@ -30,30 +32,35 @@ def _class_of(by: str | None) -> Column:
     return F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(""))
 
 
-def _class_counts(df: DataFrame, by: str | None) -> dict[str, int]:
-    """Rows per class in class order; there may only be a few classes."""
-    if by is not None:
-        few_values(df, by)
-    counts = df.groupBy(_class_of(by).alias(CLASS)).agg(F.count(F.lit(1)).alias("n")).collect()
-    return {r[CLASS]: r["n"] for r in sorted(counts, key=lambda r: r[CLASS])}
+@contextmanager
+def _counted(rows: DataFrame) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """Rows per class and bucket, kept while they are in use, and the rows per class in
+    class order. There may only be a few classes."""
+    ranges = rows.groupBy(CLASS, BUCKET).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = ranges.groupBy(CLASS).agg(F.sum("n").alias("n")).limit(FEW + 1).collect()
+        if len(found) > FEW:
+            raise ValueError(f"more than {FEW} classes; this is no class column")
+        yield ranges, {r[CLASS]: r["n"] for r in sorted(found, key=lambda r: r[CLASS])}
+    finally:
+        ranges.unpersist()
 
 
-def rank_cuts(
-    rows: DataFrame, order: Sequence[str], wanted: Mapping[str, Sequence[int]]
+def _rank_cuts(
+    rows: DataFrame, ranges: DataFrame, order: Sequence[str], wanted: Mapping[str, Sequence[int]]
 ) -> dict[tuple[str, int], Cut | None]:
     """Order values at the wanted ranks (1 is the first row) of each class.
 
-    `rows` has the class, a bucket that grows with the order, and the order columns. Rows are
-    counted per bucket; only the buckets that hold a wanted rank are sorted, each on its own."""
+    `rows` has the class, a bucket that grows with the order, and the order columns; `ranges`
+    the counts per bucket. Only the buckets that hold a wanted rank are sorted, each on its own."""
     found: dict[tuple[str, int], Cut | None] = {(c, r): None for c, ranks in wanted.items() for r in ranks if r < 1}
     ranks = [(c, r) for c, rs in wanted.items() for r in set(rs) if r >= 1]
     if not ranks:
         return found
     targets = rows.sparkSession.createDataFrame(ranks, f"{CLASS} string, rank bigint")
-    per_bucket = rows.groupBy(CLASS, BUCKET).agg(F.count(F.lit(1)).alias("n"))
     past = F.sum("n").over(W.partitionBy(CLASS).orderBy(BUCKET))
     hits = (
-        per_bucket.withColumn("past", past)
+        ranges.withColumn("past", past)
         .join(F.broadcast(targets), CLASS)  # a few ranks per class
         .where((F.col("rank") > F.col("past") - F.col("n")) & (F.col("rank") <= F.col("past")))
         .groupBy(CLASS, BUCKET)
@@ -117,9 +124,11 @@ def exact_split(
     """Mark exactly ceil(fraction * n) rows, and in proportion within each class of `by`.
 
     The rows that come first in hash order are taken, so the split follows from key and seed
-    alone. `key` must be unique."""
-    sizes = split_sizes(_class_counts(df, by), fraction)
-    cuts = rank_cuts(_hash_rows(df, key, seed, by), ["h", "key"], {c: [n] for c, n in sizes.items()})
+    alone. `key` must be unique and not null."""
+    rows = _hash_rows(df, key, seed, by)
+    with _counted(rows) as (ranges, counts):
+        sizes = split_sizes(counts, fraction)
+        cuts = _rank_cuts(rows, ranges, ["h", "key"], {c: [n] for c, n in sizes.items()})
     order = [stable_hash(F.col(key), seed), F.col(key)]
     inside = {c: ~_after(order, cuts[c, n]) for c, n in sizes.items()}
     return df.withColumn(out, _by_class(by, inside, F.lit(False)))
@@ -139,12 +148,19 @@ def validation_split(df: DataFrame, key: str, fraction: float = 0.2, seed: int =
 
 
 def _folds(
-    df: DataFrame, rows: DataFrame, names: list[str], order: list[Column], by: str | None,
-    sizes: Mapping[str, list[int]], out: str,
+    df: DataFrame,
+    rows: DataFrame,
+    names: list[str],
+    order: list[Column],
+    by: str | None,
+    sizes: Callable[[dict[str, int]], dict[str, list[int]]],
+    out: str,
 ) -> DataFrame:
-    """Number the folds by how many fold ends a row comes after."""
-    ends = {c: [sum(s[: i + 1]) for i in range(len(s) - 1)] for c, s in sizes.items()}
-    cuts = rank_cuts(rows, names, ends)
+    """Number the folds by how many fold ends a row comes after. `sizes` gives the rows
+    per fold of each class from the class counts."""
+    with _counted(rows) as (ranges, counts):
+        ends = {c: [sum(s[: i + 1]) for i in range(len(s) - 1)] for c, s in sizes(counts).items()}
+        cuts = _rank_cuts(rows, ranges, names, ends)
     number = {
         c: sum((F.when(_after(order, cuts[c, e]), 1).otherwise(0) for e in es), F.lit(0)) for c, es in ends.items()
     }
@@ -156,10 +172,12 @@ def _range_rows(df: DataFrame, order: str, by: str | None) -> DataFrame:
 
 
 def kfold_contiguous(df: DataFrame, order: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """Folds of consecutive rows in `order` (numeric, unique); the first `n % k` folds
-    have one row more."""
-    n = df.count()
-    sizes = {"": [n // k + (1 if i < n % k else 0) for i in range(k)]}
+    """Folds of consecutive rows in `order` (numeric, unique, not null); the first `n % k`
+    folds have one row more."""
+
+    def sizes(counts: dict[str, int]) -> dict[str, list[int]]:
+        return {c: [n // k + (1 if i < n % k else 0) for i in range(k)] for c, n in counts.items()}
+
     return _folds(df, _range_rows(df, order, None), ["key"], [F.col(order)], None, sizes, out)
 
 
@@ -171,18 +189,20 @@ def kfold_stratified(
     seed: int | None = None,
     out: str = "fold",
 ) -> DataFrame:
-    """Folds that share out each class evenly: in consecutive runs of `order` (unique), or in
-    hash order of it when a seed is given. The classes, sorted, are dealt over the folds one
+    """Folds that share out each class evenly: in consecutive runs of `order` (unique, not null),
+    or in hash order of it when a seed is given. The classes, sorted, are dealt over the folds one
     row at a time, which fixes how many rows of each class a fold gets."""
-    counts = _class_counts(df, label)
-    sizes, before = {}, 0
 
     def dealt(upto: int, fold: int) -> int:
         return (upto - fold + k - 1) // k
 
-    for name, n in counts.items():
-        sizes[name] = [dealt(before + n, f) - dealt(before, f) for f in range(k)]
-        before += n
+    def sizes(counts: dict[str, int]) -> dict[str, list[int]]:
+        shares, before = {}, 0
+        for name, n in counts.items():
+            shares[name] = [dealt(before + n, f) - dealt(before, f) for f in range(k)]
+            before += n
+        return shares
+
     if seed is None:
         return _folds(df, _range_rows(df, order, label), ["key"], [F.col(order)], label, sizes, out)
     by_hash = [stable_hash(F.col(order), seed), F.col(order)]
