@@ -74,14 +74,14 @@ def _rank_cuts(
     return found
 
 
-def _after(order: Sequence[Column], cut: Cut | None) -> Column:
+def _after(order: Sequence[str], cut: Cut | None) -> Column:
     """Whether a row comes after the cut in the order of its columns."""
     if cut is None:
         return F.lit(True)
     later, same = F.lit(False), F.lit(True)
-    for column, value in zip(order, cut):
-        later = later | (same & (column > F.lit(value)))
-        same = same & (column == F.lit(value))
+    for name, value in zip(order, cut):
+        later = later | (same & (F.col(name) > F.lit(value)))
+        same = same & (F.col(name) == F.lit(value))
     return later
 
 
@@ -129,9 +129,9 @@ def exact_split(
     with _counted(rows) as (ranges, counts):
         sizes = split_sizes(counts, fraction)
         cuts = _rank_cuts(rows, ranges, ["h", "key"], {c: [n] for c, n in sizes.items()})
-    order = [stable_hash(F.col(key), seed), F.col(key)]
-    inside = {c: ~_after(order, cuts[c, n]) for c, n in sizes.items()}
-    return df.withColumn(out, _by_class(by, inside, F.lit(False)))
+    inside = {c: ~_after(["__h", key], cuts[c, n]) for c, n in sizes.items()}
+    hashed = df.withColumn("__h", stable_hash(F.col(key), seed))  # once per row, for all comparisons
+    return hashed.withColumn(out, _by_class(by, inside, F.lit(False))).drop("__h")
 
 
 def split_frames(
@@ -151,7 +151,7 @@ def _folds(
     df: DataFrame,
     rows: DataFrame,
     names: list[str],
-    order: list[Column],
+    order: list[str],
     by: str | None,
     sizes: Callable[[dict[str, int]], dict[str, list[int]]],
     out: str,
@@ -178,7 +178,7 @@ def kfold_contiguous(df: DataFrame, order: str, k: int = 5, out: str = "fold") -
     def sizes(counts: dict[str, int]) -> dict[str, list[int]]:
         return {c: [n // k + (1 if i < n % k else 0) for i in range(k)] for c, n in counts.items()}
 
-    return _folds(df, _range_rows(df, order, None), ["key"], [F.col(order)], None, sizes, out)
+    return _folds(df, _range_rows(df, order, None), ["key"], [order], None, sizes, out)
 
 
 def kfold_stratified(
@@ -204,6 +204,7 @@ def kfold_stratified(
         return shares
 
     if seed is None:
-        return _folds(df, _range_rows(df, order, label), ["key"], [F.col(order)], label, sizes, out)
-    by_hash = [stable_hash(F.col(order), seed), F.col(order)]
-    return _folds(df, _hash_rows(df, order, seed, label), ["h", "key"], by_hash, label, sizes, out)
+        return _folds(df, _range_rows(df, order, label), ["key"], [order], label, sizes, out)
+    hashed = df.withColumn("__h", stable_hash(F.col(order), seed))
+    rows = _hash_rows(df, order, seed, label)
+    return _folds(hashed, rows, ["h", "key"], ["__h", order], label, sizes, out).drop("__h")
