@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.functions.text import cell_text, pad_cell
 from orrery.operators.ordered import dense_index
+from orrery.sources.storage import written
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True) -> DataFrame:
@@ -38,14 +39,17 @@ NO_ROWS = "No results found."
 _ESCAPES = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(|\btransform\s*\(.*\busing\b", re.I | re.S)
 
 
-def sql_select(spark: SparkSession, statement: str) -> DataFrame:
+def sql_select(spark: SparkSession, statement: str, run: bool = False) -> DataFrame:
     """Result of a SELECT over the registered views. Anything else, and a statement that
-    does not compile, gives one row with the reason in the column `error`."""
+    does not compile, gives one row with the reason in the column `error`.
+
+    With `run` the result is a written table, and a failure while running is a reason too."""
     if not statement.strip().upper().startswith("SELECT") or _ESCAPES.search(statement):
         return spark.range(1).select(F.lit(ONLY_SELECT).alias("error"))
     try:
-        return spark.sql(statement)
-    except (AnalysisException, ParseException) as e:
+        result = spark.sql(statement)
+        return written(result, "result") if run else result
+    except PySparkException as e:
         return spark.range(1).select(F.lit(FAILED + str(e)).alias("error"))
 
 

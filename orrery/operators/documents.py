@@ -14,6 +14,8 @@ ARTICLE_PATTERN = rf"(?s)^(\p{{Nd}}+)-modda[.{SPACE}]*$"
 MISSING = "N/A"
 SHORT_NAME = 10  # a section name below this length goes on in the next line
 
+PAGES_PER_TASK = 1024  # pages of one document that are scanned together
+
 
 def split_lines(texts: DataFrame, doc: str, text: str) -> DataFrame:
     """Trimmed lines, numbered from 0, each with the line after it."""
@@ -104,7 +106,7 @@ def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) ->
     Without `page` a row is a whole document, so a window by document holds no more than
     one text. With `page`, a document is many rows with consecutive page numbers and an article
     may run over pages: the document is never put together, and its headings are carried
-    down page by page, so a document with a third of all pages is many tasks."""
+    down block by block, so a document with a third of all pages is many tasks."""
     ids = [doc] + ([page] if page else [])
     parts = _sections(texts, ids, text)
     if page:
@@ -125,7 +127,7 @@ def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) ->
     if page:
         order = [page, "line_no"]
         scanned = running(
-            parts.withColumn(BUCKET, F.col(page)),
+            parts.withColumn(BUCKET, F.floor(F.col(page) / PAGES_PER_TASK)),
             order,
             keys=[doc],
             sums={"block": F.when(kind.isNotNull(), 1).otherwise(0)},

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 from orrery.functions.numeric import flag
-from orrery.operators.ordered import BUCKET, bucket_by_range, running
+from orrery.operators.ordered import BUCKET, bucket_by_range, dense_index, running
+from orrery.sources.storage import written
 
 
 def _regression(label: str, prediction: str) -> list[Column]:
@@ -156,10 +157,16 @@ def _share(count: Column, total: int, empty: float | None) -> Column:
     return count / F.lit(total) if total else F.lit(empty).cast("double")
 
 
-def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """False and true positive rates per distinct score, from the point (0, 0)."""
+def roc_curve(df: DataFrame, label: str, score: str, corners_only: bool = False) -> DataFrame:
+    """False and true positive rates per distinct score, from the point (0, 0).
+
+    `corners_only` leaves out a score when the next lower one adds as many positives and
+    negatives as it did, so that the curve does not bend there."""
     t = _class_totals(df, label, score)
-    points = score_counts(df, label, score).select(
+    counts = score_counts(df, label, score)
+    if corners_only:
+        counts = _corners(counts)
+    points = counts.select(
         "threshold",
         _share(F.col("fp"), t["neg"], None).alias("fpr"),
         _share(F.col("tp"), t["pos"], None).alias("tpr"),
@@ -170,6 +177,15 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return start.unionByName(points)
 
 
+def _corners(counts: DataFrame) -> DataFrame:
+    """Score rows whose successor in falling order differs in its counts, and both ends. The
+    successor is found by its number, not by a window over all scores."""
+    numbered = written(dense_index(counts, ["threshold"], "i", descending=True), "curve")
+    following = numbered.select((F.col("i") - 1).alias("i"), F.col("pos").alias("p"), F.col("neg").alias("n"))
+    bends = F.col("p").isNull() | (F.col("i") == 1) | (F.col("p") != F.col("pos")) | (F.col("n") != F.col("neg"))
+    return numbered.join(following, "i", "left").where(bends).select(*counts.columns)
+
+
 def _auc() -> Column:
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
     return F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")

@@ -86,7 +86,7 @@ def fit_linear(
         regParam=reg,
         elasticNetParam=mix,
         standardization=False,
-        solver="normal",
+        solver="auto",  # the normal equations up to 4096 features
         maxIter=max_iter,
         tol=tol,
     ).fit(df)

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.text import iso_time, preview, strip
-from orrery.operators.ordered import BUCKET, bucket_by_range, dense_index
+from orrery.operators.ordered import BUCKET, MAX_BUCKETS, bucket_by_range, dense_index
 
 # Calls, and the fields each one takes.
 TOOL_FIELDS = {
@@ -32,8 +32,9 @@ def transcript(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -
     """Messages numbered within each conversation, system messages first."""
     system = F.col("role") == "system"
     ranged = bucket_by_range(messages, turn)
+    # System messages take the buckets below all others.
     ranged = ranged.withColumn("__after", F.when(system, 0).otherwise(1)).withColumn(
-        BUCKET, F.when(system, F.lit(-1.0)).otherwise(F.col(BUCKET))
+        BUCKET, F.when(system, F.col(BUCKET) - 2 * MAX_BUCKETS).otherwise(F.col(BUCKET))
     )
     numbered = dense_index(ranged, ["__after", turn], "message_no", keys=[conv], bucket=BUCKET)
     return numbered.select(conv, "message_no", "role", "text")

@@ -89,7 +89,7 @@ def metadata_lookup(
     keys = F.array(
         _key(up, F.col(article)), _key(up, F.lit(None)), _key(F.lit(None), F.col(article))
     )
-    keyed = docs.select(*order, F.explode(keys).alias("__key"))
+    keyed = docs.select(*order, F.explode(F.array_distinct(keys)).alias("__key"))
     first = W.partitionBy("__key").orderBy(*order)
     top = keyed.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= max_k)
     asked = questions.where(F.col("chapter").isNotNull() | F.col("article").isNotNull())

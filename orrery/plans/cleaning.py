@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions.numeric import safe_divide as divide
 from orrery.operators import clean as C
-from orrery.plans.profiling import LABELLED, _labelled
+from orrery.plans.profiling import LABELLED, with_labels
 from orrery.plans.registry import Tables, query, rounded
 
 
@@ -28,7 +28,7 @@ def dedup_rows(spark, sf):
 
 @query(f"SELECT * FROM {LABELLED} x WHERE quality IS NOT NULL")
 def drop_null_subset(spark, sf):
-    return C.drop_null_subset(_labelled(Tables(spark, sf)), ["quality"])
+    return C.drop_null_subset(with_labels(Tables(spark, sf)), ["quality"])
 
 
 def _gaps(t: Tables):
@@ -85,7 +85,7 @@ def map_labels(spark, sf):
     CAST(toxic IS NULL AS INTEGER) AS toxic_missing FROM {LABELLED} x"""
 )
 def missing_indicator(spark, sf):
-    rows = _labelled(Tables(spark, sf)).select("doc_id", "quality", "toxic")
+    rows = with_labels(Tables(spark, sf)).select("doc_id", "quality", "toxic")
     return C.missing_indicator(rows, ["doc_id", "quality", "toxic"])
 
 

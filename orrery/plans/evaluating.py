@@ -106,6 +106,16 @@ def roc_curve(spark, sf):
     return rounded(V.roc_curve(scored(Tables(spark, sf)), "y", "score"), 8, "fpr", "tpr")
 
 
+@query(
+    f"""WITH {CURVE}, l AS (SELECT *, row_number() OVER w AS i, lead(pos) OVER w AS p, lead(neg) OVER w AS n FROM c WINDOW w AS (ORDER BY threshold DESC))
+    SELECT threshold, round(fp / nn::DOUBLE, 8) AS fpr, round(tp / np::DOUBLE, 8) AS tpr FROM l WHERE i = 1 OR p IS NULL OR p <> pos OR n <> neg
+    UNION ALL SELECT 'Infinity'::DOUBLE, 0.0, 0.0"""
+)
+def roc_curve_corners(spark, sf):
+    out = V.roc_curve(scored(Tables(spark, sf)), "y", "score", corners_only=True)
+    return rounded(out, 8, "fpr", "tpr")
+
+
 @query(
     f"""WITH {CURVE}, l AS (SELECT fp / nn::DOUBLE AS x, tp / np::DOUBLE AS y, threshold FROM c UNION ALL SELECT 0, 0, 'Infinity'::DOUBLE)
     SELECT round(sum((x - px) * (y + py) / 2), 8) AS roc_auc FROM

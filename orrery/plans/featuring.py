@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orrery.functions.binning import cut_left, cut_right
 from orrery.functions.numeric import flag
 from orrery.operators import features as X
-from orrery.plans.profiling import LABELLED, _labelled
+from orrery.plans.profiling import LABELLED, with_labels
 from orrery.plans.registry import Tables, query, rounded
 
 
@@ -162,7 +162,7 @@ def expense_ratio_band(spark, sf):
 
 @query(f"SELECT doc_id, coalesce(CAST(quality AS VARCHAR), 'nan') AS quality FROM {LABELLED} x")
 def category_to_string(spark, sf):
-    return _labelled(Tables(spark, sf)).select("doc_id", X.category_to_string(F.col("quality")).alias("quality"))
+    return with_labels(Tables(spark, sf)).select("doc_id", X.category_to_string(F.col("quality")).alias("quality"))
 
 
 @query(

@@ -58,7 +58,7 @@ def schema_info(spark, sf):
     return P.schema_info(Tables(spark, sf).orders)
 
 
-def _labelled(t: Tables):
+def with_labels(t: Tables):
     """Documents with their labels; most have none."""
     return t.documents.select("doc_id", "lang", "source", "n_chars").join(t.labels, "doc_id", "left")
 
@@ -71,12 +71,12 @@ LABELLED = "(SELECT d.doc_id, lang, source, n_chars, quality, toxic FROM documen
     for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")])}) t WHERE nulls > 0"""
 )
 def null_counts(spark, sf):
-    return P.null_counts(_labelled(Tables(spark, sf)), only_missing=True)
+    return P.null_counts(with_labels(Tables(spark, sf)), only_missing=True)
 
 
 @query(f"SELECT doc_id, quality IS NULL AS quality_missing FROM {LABELLED} x")
 def null_mask(spark, sf):
-    marked = P.null_mask(_labelled(Tables(spark, sf)), "quality", "quality_missing")
+    marked = P.null_mask(with_labels(Tables(spark, sf)), "quality", "quality_missing")
     return marked.select("doc_id", "quality_missing")
 
 
@@ -98,7 +98,7 @@ def value_counts(spark, sf):
     FROM {LABELLED} x WHERE quality IS NOT NULL GROUP BY 1"""
 )
 def class_balance(spark, sf):
-    return rounded(P.class_balance(_labelled(Tables(spark, sf)), "quality"), 9, "share")
+    return rounded(P.class_balance(with_labels(Tables(spark, sf)), "quality"), 9, "share")
 
 
 def histogram_sql(source: str, x: str, bins: str) -> str:
@@ -212,7 +212,7 @@ PAIRS = [("n_chars", "quality"), ("n_chars", "toxic"), ("quality", "toxic")]
 )
 def correlation_pairwise(spark, sf):
     """Labels are missing for most documents: each pair uses the rows that have both."""
-    out = P.correlation_matrix(_labelled(Tables(spark, sf)), ["n_chars", "quality", "toxic"])
+    out = P.correlation_matrix(with_labels(Tables(spark, sf)), ["n_chars", "quality", "toxic"])
     return rounded(out.where("a < b AND a <> 'toxic' OR a = 'quality' AND b = 'toxic'"), 8, "corr")
 
 

@@ -43,8 +43,9 @@ def test_articles_over_pages(spark, cuts):
     assert shown(out.where("doc = 2"), ["page"]) == [("N/A", "N/A", "N/A", "N/A", "1", "alone")]
 
 
-def test_huge_document_over_pages(spark):
+def test_huge_document_over_pages(spark, monkeypatch):
     """One document holds nearly all pages; an article runs over many of them."""
+    monkeypatch.setattr(D, "PAGES_PER_TASK", 16)
     pages = [(1, i + 1, f"{i}-modda\ntext {i}" if i % 50 == 0 else f"more {i}") for i in range(400)]
     df = spark.createDataFrame(pages, "doc int, page int, text string").repartition(8)
     out = D.articles(df, "doc", "text", page="page").orderBy("page").collect()

@@ -32,6 +32,16 @@ def test_roc_and_auc(sample):
     assert V.roc_auc(df, "y", "s").first()[0] == pytest.approx(wins)
 
 
+def test_roc_corners(sample):
+    df, y, s = sample
+    cuts = np.unique(s)[::-1]
+    fps = np.array([((s >= t) & (y == 0)).sum() for t in cuts])
+    tps = np.array([((s >= t) & (y == 1)).sum() for t in cuts])
+    keep = np.r_[True, (np.diff(fps, 2) != 0) | (np.diff(tps, 2) != 0), True]
+    got = {r["threshold"] for r in V.roc_curve(df, "y", "s", corners_only=True).collect()}
+    assert got == {float("inf"), *cuts[keep]}
+
+
 def test_pr_and_average_precision(sample):
     df, y, s = sample
     rows = V.pr_curve(df, "y", "s").collect()

@@ -45,6 +45,9 @@ def test_each_sql_belongs_to_a_query():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert bad not in plan
     columns = sorted(df.columns)
     got = ordered([tuple(plain(r[c]) for c in columns) for r in df.collect()])
     assert got

@@ -76,6 +76,13 @@ def test_metadata_lookup(spark):
     }
 
 
+def test_lookup_of_documents_without_a_chapter(spark, rows):
+    some = spark.createDataFrame([(1, None, "5"), (2, "I", "5"), (3, "I", None)], "doc_id bigint, bob string, modda string")
+    asked = spark.createDataFrame([(1, None, "5", 5), (2, "I", None, 5)], "q int, chapter string, article string, k int")
+    out = R.metadata_lookup(asked, some, ["doc_id"]).select("q", "rank", "doc_id")
+    assert rows(out) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 3)]
+
+
 def test_hybrid_search_falls_back_to_vectors(spark):
     asked = spark.createDataFrame(
         [(1, "II", "3", 3, [0.0, 0.0]), (2, None, None, 5, [10.2, 0.0]), (3, "XX", "1", 3, [59.0, 0.0])],

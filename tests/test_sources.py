@@ -101,6 +101,13 @@ def test_select_that_does_not_compile(spark):
     assert J.sql_select(spark, "SELECT FROM WHERE").first()["error"].startswith(J.FAILED)
 
 
+def test_select_that_fails_while_running(spark):
+    spark.createDataFrame([(0,), (2,)], "v int").createOrReplaceTempView("numbers")
+    bad = "SELECT v, raise_error('no ' || v) AS e FROM numbers"
+    assert J.sql_select(spark, bad, run=True).first()["error"].startswith(J.FAILED)
+    assert J.sql_select(spark, "SELECT v FROM numbers WHERE v > 1", run=True).collect()[0]["v"] == 2
+
+
 def test_result_lines(spark):
     df = spark.createDataFrame([(2, None, 10000000.0), (1, "a much longer name than the cell", 0.5)], "id int, name string, x double")
     lines = [r["line"] for r in J.result_lines(df, ["id"]).orderBy("line_no").collect()]
