@@ -23,6 +23,7 @@ from pyspark.storagelevel import StorageLevel
 
 from orrery.operators.evaluate import binary_metrics_by
 from orrery.operators.limits import few_values
+from orrery.sources.storage import written
 
 # The searched parameters.
 BOOSTED_GRID = {
@@ -220,9 +221,9 @@ def search(
         evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric, numBins=0)
     else:
         evaluator = RegressionEvaluator(labelCol=label, metricName=metric)
-    folds = df.select(fold).agg(F.max(fold)).first()[0] + 1
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        folds = kept.agg(F.max(fold)).first()[0] + 1
         return CrossValidator(
             estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol=fold,
             parallelism=parallelism,
@@ -267,10 +268,16 @@ def cross_predict(df: DataFrame, estimator: Estimator, fold: str, folds: int) ->
 
 
 def cross_validate(df: DataFrame, estimator: Estimator, fold: str, label: str = "label") -> DataFrame:
-    """Test metrics of a classifier per fold; `summarize_folds` gives their mean and spread."""
-    folds = df.agg(F.max(fold)).first()[0] + 1
-    scored = positive_probability(cross_predict(df, estimator, fold, folds))
-    return binary_metrics_by(scored.select(fold, label, "prediction", "score"), fold, label, "prediction", "score")
+    """Test metrics of a classifier per fold; `summarize_folds` gives their mean and spread.
+    The rows are kept for the fits, and their scores are written once for all metrics."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        folds = kept.agg(F.max(fold)).first()[0] + 1
+        scored = positive_probability(cross_predict(kept, estimator, fold, folds))
+        scores = written(scored.select(fold, label, "prediction", "score"), "scores")
+    finally:
+        kept.unpersist()
+    return binary_metrics_by(scores, fold, label, "prediction", "score")
 
 
 def early_stopping(
