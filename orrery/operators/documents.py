@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.text import SPACE, preview, strip
 from orrery.operators.ordered import BUCKET, running
@@ -80,9 +80,9 @@ def headings(texts: DataFrame, doc: str, text: str) -> DataFrame:
     )
 
 
-def _sections(texts: DataFrame, ids: list[str], text: str) -> DataFrame:
-    """Each heading with the text up to the next one, cut inside the row that holds the
-    text; the part before the first heading has line number -1."""
+def _parts(texts: DataFrame, ids: list[str], text: str) -> DataFrame:
+    """Per row, an array of its headings, each with the text up to the next one; the part
+    before the first heading has line number -1."""
     rows = texts.select(*ids, F.transform(F.split(F.col(text), "\n"), strip).alias("l"))
     spots = F.filter(F.transform("l", lambda x, i: F.when(is_heading(x), i)), lambda i: i.isNotNull())
     rows = rows.select("*", F.concat(F.array(F.lit(-1)), spots).alias("at"))
@@ -97,70 +97,94 @@ def _sections(texts: DataFrame, ids: list[str], text: str) -> DataFrame:
             F.array_join(inner, " ").alias("body"),
         )
 
-    return rows.select(*ids, F.inline(F.transform("at", part)))
+    return rows.select(*ids, F.transform("at", part).alias("parts"))
 
 
-def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) -> DataFrame:
-    """Articles with their section and chapter, in document order.
+def _carry(rows: DataFrame, kind: str) -> DataFrame:
+    """Give every element of `heads` the last heading of this kind up to it, as a field.
 
-    Without `page` a row is a whole document, so a window by document holds no more than
-    one text. With `page`, a document is many rows with consecutive page numbers and an article
-    may run over pages: the document is never put together, and its headings are carried
-    down block by block, so a document with a third of all pages is many tasks."""
-    ids = [doc] + ([page] if page else [])
-    parts = _sections(texts, ids, text)
-    if page:
-        firsts = texts.select(
-            doc, (F.col(page) - 1).alias(page), strip(F.substring_index(text, "\n", 1)).alias("__first")
-        )
-        parts = (
-            parts.join(firsts, [doc, page], "left")
-            .withColumn("next_line", F.coalesce("next_line", "__first"))
-            .drop("__first")
+    The array is cut into runs that start at those headings, so each element is visited once."""
+    starts = F.filter(F.transform("heads", lambda h, i: F.when(h["kind"] == kind, i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("runs", F.concat(F.array(F.lit(-1)), starts))
+
+    def run(start: Column, j: Column) -> Column:
+        first = F.greatest(start, F.lit(0))
+        stop = F.coalesce(F.get(F.col("runs"), j + 1), F.size("heads"))
+        head = F.get("heads", start)
+        mark = F.when(start >= 0, F.struct(head["label"].alias("label"), head["name"].alias("name")))
+        return F.transform(F.slice("heads", first + 1, stop - first), lambda h: h.withField(kind, mark))
+
+    return rows.withColumn("heads", F.flatten(F.transform("runs", run))).drop("runs")
+
+
+def _articles_in_rows(texts: DataFrame, doc: str, text: str) -> DataFrame:
+    """Articles of documents that are one row each: all inside the row, nothing is shuffled."""
+
+    def head(h: Column) -> Column:
+        return F.struct(
+            h["line_no"].alias("line_no"),
+            h["kind"].alias("kind"),
+            heading_label(h["line"], h["kind"]).alias("label"),
+            heading_name(h["line"], h["next_line"], h["kind"]).alias("name"),
+            h["body"].alias("body"),
         )
+
+    rows = _parts(texts, [doc], text)
+    found = F.filter("parts", lambda p: p["line_no"] >= 0)
+    kinds = F.transform(found, lambda p: p.withField("kind", heading_kind(p["line"])))
+    rows = rows.select(doc, F.transform(kinds, head).alias("heads"))
+    rows = _carry(_carry(rows, "section"), "chapter")
+    return rows.select(doc, F.inline(F.filter("heads", lambda h: h["kind"] == "article")))
+
+
+def _articles_over_pages(texts: DataFrame, doc: str, text: str, page: str) -> DataFrame:
+    """Articles of documents that are many rows: headings are carried from page to page, and
+    the parts of an article are joined."""
+    firsts = texts.select(
+        doc, (F.col(page) - 1).alias(page), strip(F.substring_index(text, "\n", 1)).alias("__first")
+    )
+    parts = _parts(texts, [doc, page], text).select(doc, page, F.inline("parts"))
+    parts = parts.join(firsts, [doc, page], "left").withColumn(
+        "next_line", F.coalesce("next_line", "__first")
+    )
     line = F.col("line")
     parts = parts.withColumn("kind", heading_kind(line))
-    parts = parts.withColumn("label", heading_label(line, F.col("kind"))).withColumn(
-        "name", heading_name(line, F.col("next_line"), F.col("kind"))
-    ).drop("line", "next_line")
     kind, head = F.col("kind"), F.struct("label", "name")
-    if page:
-        order = [page, "line_no"]
-        scanned = running(
-            parts.withColumn(BUCKET, F.floor(F.col(page) / PAGES_PER_TASK)),
-            order,
-            keys=[doc],
-            sums={"block": F.when(kind.isNotNull(), 1).otherwise(0)},
-            lasts={
-                "open_kind": kind,
-                "section": F.when(kind == "section", head),
-                "chapter": F.when(kind == "chapter", head),
-            },
-        ).where("open_kind = 'article'")
-        pieces = F.array_sort(F.collect_list(F.struct(page, "line_no", "body")))
-        text_of = F.array_join(F.filter(F.transform(pieces, lambda r: r["body"]), lambda b: b != ""), " ")
-        start = F.min(F.when(kind.isNotNull(), F.struct(page, "line_no", "label", "section", "chapter")))
-        scanned = (
-            scanned.groupBy(doc, "block")
-            .agg(start.alias("s"), text_of.alias("body"))
-            .select(doc, "s.*", "body")
-        )
-    else:
-        over = W.partitionBy(doc).orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
-        scanned = (
-            parts.where("kind IS NOT NULL")
-            .select(
-                "*",
-                F.last(F.when(kind == "section", head), ignorenulls=True).over(over).alias("section"),
-                F.last(F.when(kind == "chapter", head), ignorenulls=True).over(over).alias("chapter"),
-            )
-            .where("kind = 'article'")
-        )
+    parts = parts.withColumns(
+        {"label": heading_label(line, kind), "name": heading_name(line, F.col("next_line"), kind)}
+    ).drop("line", "next_line", "__first")
+    scanned = running(
+        parts.withColumn(BUCKET, F.floor(F.col(page) / PAGES_PER_TASK)),
+        [page, "line_no"],
+        keys=[doc],
+        sums={"block": F.when(kind.isNotNull(), 1).otherwise(0)},
+        lasts={
+            "open_kind": kind,
+            "section": F.when(kind == "section", head),
+            "chapter": F.when(kind == "chapter", head),
+        },
+    ).where("open_kind = 'article'")
+    pieces = F.array_sort(F.collect_list(F.struct(page, "line_no", "body")))
+    body = F.array_join(F.filter(F.transform(pieces, lambda r: r["body"]), lambda b: b != ""), " ")
+    start = F.min(F.when(kind.isNotNull(), F.struct(page, "line_no", "label", "section", "chapter")))
+    joined = scanned.groupBy(doc, "block").agg(start.alias("s"), body.alias("body"))
+    return joined.select(doc, "s.*", "body")
+
+
+def articles(texts: DataFrame, doc: str, text: str, page: str | None = None) -> DataFrame:
+    """Articles with their section and chapter; order them by document, page and line.
+
+    Without `page` a row is a whole document and no row is moved. With `page`, a document is
+    many rows with consecutive page numbers and an article may run over pages: the document
+    is never put together, and its headings are carried down block by block, so a document with
+    a third of all pages is many tasks."""
+    ids = [doc] + ([page] if page else [])
+    found = _articles_over_pages(texts, doc, text, page) if page else _articles_in_rows(texts, doc, text)
 
     def shown(c: str) -> Column:
         return F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(MISSING)).otherwise(F.col(c))
 
-    return scanned.where("body <> ''").select(
+    return found.where("body <> ''").select(
         *[F.col(c) for c in ids],
         "line_no",
         shown("section.label").alias("bolim"),

@@ -71,3 +71,11 @@ def test_exact_quantiles_of_few_rows(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "a double")
     got = {r["prob"]: r["value"] for r in O.exact_quantiles(df, ["a"], [0.25, 0.5]).collect()}
     assert got == {p: pytest.approx(np.quantile(values, p)) for p in (0.25, 0.5)}
+
+
+def test_approx_quantiles_are_near(spark):
+    df = spark.range(100_000).select((F.col("id") * 37 % 100_000).cast("double").alias("a"), F.lit(None).cast("double").alias("b"))
+    out = O.approx_quantiles(df.repartition(7), ["a", "b"], [0.1, 0.5, 0.9]).collect()
+    assert len(out) == 3
+    for r in out:
+        assert r["column"] == "a" and abs(r["value"] - r["prob"] * 100_000) < 500

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from orrery.operators import evaluate as V, retrieve as R, split as X
+from orrery.operators import documents as D, evaluate as V, retrieve as R, split as X
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = entry_point.queries()
@@ -55,3 +55,8 @@ def test_curves_have_no_window_over_all_scores(spark):
     for i, line in enumerate(lines):
         if "Window [" in line and "SinglePartition" in "".join(lines[i : i + 4]):
             assert any("HashAggregate(keys=[__bucket" in x for x in lines[i : i + 6])
+
+
+def test_articles_of_whole_documents_move_no_row(spark):
+    df = spark.createDataFrame([(1, "I bob\nA\n1-modda\nx")], "doc int, text string")
+    assert "Exchange" not in plan(D.articles(df, "doc", "text"))
