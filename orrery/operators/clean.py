@@ -55,10 +55,18 @@ def impute_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     return _fill(df, cols, one)
 
 
-def missing_indicator(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Add `<col>_missing` for the columns that have missing values (one counting job)."""
-    counts = df.agg(*[F.count_if(finite(F.col(c)).isNull()).alias(c) for c in cols]).first()
-    return df.withColumns({f"{c}_missing": flag(finite(F.col(c)).isNull()) for c in cols if counts[c]})
+def columns_with_missing(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """The columns that have missing values, from one counting job."""
+    if not cols:
+        return []
+    row = df.agg(*[F.count_if(finite(F.col(c)).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if row[f"n{i}"]]
+
+
+def missing_indicator(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Add `<col>_missing` for the columns that have missing values in `fit_on` (default `df`)."""
+    marked = columns_with_missing(fit_on if fit_on is not None else df, cols)
+    return df.withColumns({f"{c}_missing": flag(finite(F.col(c)).isNull()) for c in marked})
 
 
 def feature_columns(

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.binning import cut_left, cut_right
 from orrery.functions.numeric import finite, flag, safe_divide
+from orrery.operators.clean import columns_with_missing, impute_median, missing_indicator
+from orrery.operators.profile import numeric_and_categorical
 
 INF = float("inf")
 
@@ -110,6 +112,17 @@ def credit_features(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame
     return log1p_features(out, ["income", "loan_amount", "savings_balance", "monthly_expenses"], fit_on)
 
 
+def engineer_credit(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """`credit_features`, then a flag for every numeric column with gaps, then the gaps filled
+    with the median. Flags and medians come from `fit_on` (default: the rows themselves)."""
+    out = credit_features(df, fit_on)
+    base = out if fit_on is None else credit_features(fit_on)
+    numeric, _ = numeric_and_categorical(out)
+    flagged = missing_indicator(out, numeric, base)
+    gaps = columns_with_missing(out, numeric)
+    return impute_median(flagged, gaps, base) if gaps else flagged
+
+
 def house_features(df: DataFrame) -> DataFrame:
     """Interaction, square, joint flag and age band of a house table."""
     return df.withColumns(

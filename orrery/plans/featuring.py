@@ -182,3 +182,23 @@ def credit_features(spark, sf):
         "client_id", "employment_stability", "is_employed_stable", "age_group", "past_due_category", "has_past_due",
         "expense_ratio_category", "log1p_income", "log1p_loan_amount",
     )
+
+
+_GAPS = f"(SELECT client_id, income, CASE WHEN income > 0 THEN savings_balance END AS saved FROM {CREDIT} c)"
+
+
+@query(
+    f"""WITH g AS (SELECT * FROM {_GAPS} t), m AS (SELECT quantile_cont(saved, 0.5) AS s, quantile_cont(ln(1 + saved), 0.5) AS l FROM g)
+    SELECT client_id, round(coalesce(saved, s), 6) AS savings_balance, round(CASE WHEN saved IS NULL OR income = 0 THEN 0.0 ELSE saved / income END, 6) AS savings_rate,
+    CAST(saved IS NULL AS INTEGER) AS savings_balance_missing, round(coalesce(ln(1 + saved), l), 6) AS log1p_savings_balance,
+    CAST(saved IS NULL AS INTEGER) AS log1p_savings_balance_missing FROM g, m"""
+)
+def engineer_credit(spark, sf):
+    """All steps on a credit table in which clients without income have no savings entry."""
+    rows = credit_rows(Tables(spark, sf))
+    gap = F.when(F.col("income") > 0, F.col("savings_balance"))
+    out = X.engineer_credit(rows.withColumn("savings_balance", gap))
+    shown = ["savings_balance", "savings_rate", "log1p_savings_balance"]
+    return rounded(out, 6, *shown).select(
+        "client_id", *shown, "savings_balance_missing", "log1p_savings_balance_missing"
+    )

@@ -90,6 +90,16 @@ def test_credit_features_skip_absent_columns(spark):
     assert (r["years_employed_per_age"], r["expense_ratio_category"], r["is_employed_stable"]) == (0.0, ">100%", 0)
 
 
+def test_engineering_fits_on_training_rows(spark):
+    train = spark.createDataFrame([(1, 10.0, 4.0), (2, 20.0, None), (3, 30.0, 8.0)], "client_id int, income double, savings_balance double")
+    test = spark.createDataFrame([(4, None, 2.0), (5, 10.0, None)], "client_id int, income double, savings_balance double")
+    got = {r["client_id"]: r for r in X.engineer_credit(test, fit_on=train).collect()}
+    assert (got[4]["income"], got[5]["savings_balance"]) == (20.0, 6.0)
+    assert (got[4]["savings_balance_missing"], got[5]["savings_balance_missing"]) == (0, 1)
+    assert "income_missing" not in got[4].asDict()
+    assert got[5]["savings_to_income"] == 0.0 and got[4]["log1p_income"] == pytest.approx(math.log1p(20.0))
+
+
 def test_house_features(spark):
     df = spark.createDataFrame([(2.0, 5, 1, 1), (3.0, 0, 1, 0)], "distance_to_center double, age int, has_garage int, has_garden int")
     got = X.house_features(df).collect()
