@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orrery.llm import license_scan as L
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -31,3 +32,42 @@ FROM documents JOIN c ON c.a = doc_id LEFT JOIN n USING (doc_id)
 @query(NEAR_SQL)
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(Tables(spark, sf_dir).documents)
+
+
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # words of letters, digits and other scripts
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        f"({i}, '{label}', {exact}, {place}, '{gram}', {grams}, {length})"
+        for i, label, exact, place, gram, grams, length in L.template_rows(L.templates())
+    )
+    return rf"""
+WITH t(template, label, exact, place, gram, grams, length) AS (VALUES {rows}),
+w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS ws FROM documents),
+g AS (
+  SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + {L.K - 1}], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - {L.K - 1})) AS i FROM w)),
+h AS (SELECT doc_id, pos, pos - place AS diagonal, t.* FROM g JOIN t USING (gram)),
+m AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos) AS spot
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos)
+      > CASE WHEN exact THEN 0 ELSE {L.GAP} END THEN 1 ELSE 0 END AS new FROM h)),
+p AS (
+  SELECT doc_id, label, exact, grams, length, min(pos) AS first, max(pos) + {L.K - 1} AS last, count(DISTINCT place) AS votes
+  FROM m GROUP BY doc_id, template, label, exact, grams, length, spot),
+f AS (
+  SELECT *, CASE WHEN exact THEN votes = grams
+    ELSE votes >= {L.COVER} * grams AND last - first + 1 <= {L.STRETCH} * length END AS found FROM p)
+SELECT w.doc_id, len(any_value(ws)) AS n_words, count(*) FILTER (found AND exact) AS n_base,
+  min(first) FILTER (found AND exact) AS first_word, max(first) FILTER (found AND exact) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found AND exact), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found), '') AS labels,
+  coalesce(max(votes / grams), 0.0) AS score
+FROM w LEFT JOIN f ON w.doc_id = f.doc_id GROUP BY w.doc_id
+"""
+
+
+@query(_license_sql())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.license_labels(Tables(spark, sf_dir).documents)
