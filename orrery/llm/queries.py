@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import license_scan as L
+from orrery.llm import license_scan as L, quality_rules as R
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -71,3 +71,52 @@ FROM w LEFT JOIN f ON w.doc_id = f.doc_id GROUP BY w.doc_id
 @query(_license_sql())
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.license_labels(Tables(spark, sf_dir).documents)
+
+
+def quality_sql(documents: str = "documents") -> str:
+    """Counts and verdicts of the quality rules over a table or subquery."""
+    symbols, marks = "[^#*$%&|<>]+", r"[^\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+    tests = [(r, c) for r in R.RULES for c in r.cutoffs]
+    value = {r.name: f"coalesce({r.part} / nullif({r.whole}, 0), 0.0)" for r in R.RULES}
+    ks = ", ".join(f"({r.name!r}, {c}, count(*) FILTER ({value[r.name]} > {c}))" for r, c in tests)
+    share = R.ALPHA / len(R.RULES)
+    over = " OR ".join(f"coalesce({value[r.name]} > cut_{r.name}, false)" for r in R.RULES)
+    cuts = ", ".join(f"min(cutoff) FILTER (rule = {r.name!r}) AS cut_{r.name}" for r in R.RULES)
+    return rf"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM {documents}),
+w AS (
+  SELECT *, regexp_extract_all(t, '{SPACED}') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w)),
+c AS (
+  SELECT doc_id, count(DISTINCT i + o) AS n
+  FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), (VALUES (0), (1), (2)) v(o)
+  GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, lang, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '{symbols}', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
+    length(regexp_replace(t, '{marks}', '', 'g')) AS n_marks, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_upper,
+    coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN c USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+h AS (
+  SELECT lang, count(*) AS n, unnest([{ks}]) AS test FROM b
+  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY lang),
+p AS (
+  SELECT lang, test[1] AS rule, test[2] AS cutoff,
+    CASE WHEN test[3] > n * {share!r} THEN 1.0 ELSE list_sum(list_transform(range(0, test[3]::BIGINT + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r})))) END AS p
+  FROM h),
+s AS (
+  SELECT lang, {cuts} FROM p WHERE p <= {R.DELTA} / ((SELECT count(DISTINCT coalesce(lang, '-')) FROM p) * {len(tests)}) GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT ({over}) AS kept
+FROM b LEFT JOIN s ON b.lang IS NOT DISTINCT FROM s.lang
+"""
+
+
+@query(quality_sql())
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return R.quality_verdicts(t.documents, t.labels).drop("text_hash")
