@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import license_scan as L, quality_rules as R
+from orrery.llm import license_scan as L, mixing as M, quality_rules as R
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -120,3 +120,36 @@ FROM b LEFT JOIN s ON b.lang IS NOT DISTINCT FROM s.lang
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return R.quality_verdicts(t.documents, t.labels).drop("text_hash")
+
+
+def mixing_sql(documents: str = "documents") -> str:
+    """The mix of a table or subquery."""
+    return rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{SPACED}')) AS size,
+    md5('{M.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS draw FROM {documents}),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM d GROUP BY source),
+f AS (
+  SELECT *, sum({M.EPOCHS} * source_size) OVER o - {M.EPOCHS} * source_size AS caps, sum(weight) OVER o - weight AS weights,
+    sum(source_size) OVER () AS t, sum(weight) OVER () AS w
+  FROM s WINDOW o AS (ORDER BY {M.EPOCHS} * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT max((t - caps)::DOUBLE / (w - weights)::DOUBLE) AS level FROM f),
+g AS (SELECT source, source_size, least(({M.EPOCHS} * source_size)::DOUBLE, level * weight) AS target FROM s, l),
+h AS (
+  SELECT *, CASE WHEN target >= {M.EPOCHS} * source_size THEN {M.EPOCHS} ELSE floor(target / source_size) END AS whole FROM g),
+u AS (
+  SELECT d.*, source_size, target, whole,
+    sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source),
+r AS (
+  SELECT *, (whole + CASE WHEN whole < {M.EPOCHS} AND 2 * upto - size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END)::BIGINT
+    AS repeats FROM u)
+SELECT doc_id, size, source_size, target, repeats, repeats * size AS taken FROM r
+"""
+
+
+@query(mixing_sql())
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.mix(Tables(spark, sf_dir).documents).drop("text_hash")
