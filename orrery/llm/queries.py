@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import license_scan as L, mixing as M, quality_rules as R
+from orrery.llm import license_scan as L, mixing as M, quality_rules as R, secret_scan as S
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -153,3 +153,49 @@ SELECT doc_id, size, source_size, target, repeats, repeats * size AS taken FROM
 @query(mixing_sql())
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.mix(Tables(spark, sf_dir).documents).drop("text_hash")
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def secret_spans_sql(documents: str = "documents") -> str:
+    """CTEs that end in `c (doc_id, source, kind, name, start, stop, value)`, one row per match, and `v` with the verdicts."""
+    either = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+    assign = S.ASSIGN.replace("password|passwd|secret|token|api_?key", either).replace("[a-z0-9+/_.=-]", "[A-Za-z0-9+/_.=-]")
+    kinds = [("assign", assign, 2, "length(value) >= 12"), ("access", S.ACCESS, 0, "length(value) >= 18"), ("hex", S.HEX, 0, "true")]
+    mixed = " AND ".join(f"regexp_matches(value, '{p}')" for p in S.MIXED_NEEDS)
+    kinds += [(k, p, 1 if k == "address" else 0, mixed if k == "mixed" else "true") for k, p in S.MORE.items()]
+    parts = " UNION ALL ".join(
+        f"""SELECT * FROM (
+  SELECT doc_id, source, {i} AS kind, '{name}' AS name, list_sum(list_transform(p[1:i], lambda x: length(x))) +
+    coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start, start + length(m[i]) AS stop, g[i] AS value
+  FROM (
+    SELECT *, unnest(generate_series(1, len(m))) AS i FROM (
+      SELECT doc_id, source, string_split_regex(t, {_quoted(pattern)}) AS p, regexp_extract_all(t, {_quoted(pattern)}) AS m,
+        regexp_extract_all(t, {_quoted(pattern)}, {group}) AS g FROM t))) WHERE {extra}"""
+        for i, (name, pattern, group, extra) in enumerate(kinds)
+    )
+    marked = " OR ".join(f"contains(translate(value, '{UPPER}', '{LOWER}'), '{w}')" for w in S.PLACEHOLDERS)
+    return rf"""
+t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM {documents}),
+c AS ({parts}),
+o AS (SELECT value, count(*) AS owners FROM (SELECT DISTINCT value, source FROM c) GROUP BY value),
+v AS (
+  SELECT c.*, kind < {len(S.BASE_KINDS)} AS base, base OR (owners < {S.OWNERS} AND NOT ({marked})
+    AND list_aggregate(string_split(value, ''), 'entropy') >= {S.ENTROPY}) AS chosen FROM c JOIN o USING (value))"""
+
+
+def _secret_sql() -> str:
+    listed = "string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+    counts = ", ".join(f"count(*) FILTER (name = '{k}') AS n_{k}" for k in S.BASE_KINDS)
+    return rf"""
+WITH {secret_spans_sql()}
+SELECT t.doc_id, {counts}, sha256(coalesce({listed} FILTER (base), '')) AS base_sha256, coalesce({listed} FILTER (chosen), '') AS spans
+FROM t LEFT JOIN v ON v.doc_id = t.doc_id GROUP BY t.doc_id
+"""
+
+
+@query(_secret_sql())
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.secret_report(Tables(spark, sf_dir).documents)
