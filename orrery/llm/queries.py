@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import license_scan as L, mixing as M, quality_rules as R, secret_scan as S
+from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -199,3 +199,25 @@ FROM t LEFT JOIN v ON v.doc_id = t.doc_id GROUP BY t.doc_id
 @query(_secret_sql())
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.secret_report(Tables(spark, sf_dir).documents)
+
+
+def contained_sql(documents: str = "documents") -> str:
+    """CTEs that end in `h (doc_id, item_id, n_item, n_shared)`."""
+    shingled = "unnest(CASE WHEN len(ws) >= 5 THEN list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 4], ' ')) ELSE [array_to_string(ws, ' ')] END)"
+    return rf"""
+b AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM benchmark),
+bs AS (SELECT DISTINCT item, item_id, least(len(ws), 5) AS k, {shingled} AS g FROM b WHERE len(ws) > 0),
+bn AS (SELECT item, item_id, count(*) AS n_item FROM bs GROUP BY ALL),
+dw AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM {documents}),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM dw, (SELECT DISTINCT k FROM bs))),
+h AS (
+  SELECT doc_id, item_id, n_item, count(*) AS n_shared FROM ds JOIN bs USING (g) JOIN bn USING (item, item_id)
+  GROUP BY doc_id, item, item_id, n_item HAVING 100 * count(*) >= 75 * n_item)"""
+
+
+@query(f"WITH {contained_sql()} SELECT *, n_shared / n_item AS containment FROM h")
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return D.contained_items(t.documents, t.benchmark).drop("text_hash")
