@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
+from orrery.llm.warc import round_trip
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
 
@@ -221,3 +222,21 @@ h AS (
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return D.contained_items(t.documents, t.benchmark).drop("text_hash")
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(x, {i * 5 + 1}, 5))::BIGINT >> {s} & 31) + 1, 1)"
+    for i in range(8) for s in (15, 10, 5, 0)
+)
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, {_BASE32} AS payload_digest FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM r
+"""
+
+
+@query(WARC_SQL)
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(Tables(spark, sf_dir).pages)
