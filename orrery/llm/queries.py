@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
+from orrery.llm import token_counts as C
+from orrery.llm.lm_score import lm_scores
 from orrery.llm.warc import round_trip
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
@@ -240,3 +242,16 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 're
 @query(WARC_SQL)
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(Tables(spark, sf_dir).pages)
+
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query()
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(Tables(spark, sf_dir).documents)
+
+
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.context_table(C.length_histogram(Tables(spark, sf_dir).documents, VOCABULARY))
