@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
 from orrery.llm import token_counts as C
 from orrery.llm.lm_score import lm_scores
+from orrery.llm.substring_dedup import repeated_passages
 from orrery.llm.warc import round_trip
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
@@ -255,3 +256,8 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.context_table(C.length_histogram(Tables(spark, sf_dir).documents, VOCABULARY))
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(Tables(spark, sf_dir).documents)
