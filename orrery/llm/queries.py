@@ -16,8 +16,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 SPACED = r"[^\x20\x09-\x0D]+"  # words between white space
 
-NEAR_SQL = rf"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM documents),
+def near_sql(documents: str = "documents") -> str:
+    """Near-duplicates among a table or subquery by brute force."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM {documents}),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
     THEN list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 4], ' '))
@@ -26,14 +28,14 @@ s AS (
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
-r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+r AS (SELECT doc_id AS a, doc_id AS b FROM {documents} UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
 c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, m AS component_id, m = doc_id AS kept
-FROM documents JOIN c ON c.a = doc_id LEFT JOIN n USING (doc_id)
+FROM {documents} JOIN c ON c.a = doc_id LEFT JOIN n USING (doc_id)
 """
 
 
-@query(NEAR_SQL)
+@query(near_sql())
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(Tables(spark, sf_dir).documents)
 
