@@ -62,7 +62,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The documents that the mix takes, with the target of their source and how often each is repeated."""
     mixed = mix(docs).where("repeats > 0").groupBy("doc_id", "text_hash").agg(F.max("target").alias("target"), F.max("repeats").alias("repeats"))
     taken = _keys(mixed, F.col("target"), F.col("repeats"))
-    return docs.join(taken, _same_row(docs, taken)).select(*(docs[c] for c in docs.columns), "target", "repeats")
+    own = [docs[c] for c in docs.columns if c.lower() not in ("target", "repeats")]
+    return docs.join(taken, _same_row(docs, taken)).select(*own, taken["target"], taken["repeats"])
 
 
 STAGES = [

@@ -175,21 +175,17 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     found = secrets(docs, owner, repository).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), chosen(F.col("spans")).alias("__spans")
     ).where(F.size("__spans") > 0).dropDuplicates(["__id", "__hash"])
+    text, spans = docs["text"].cast("string"), found["__spans"]
     parts = F.aggregate(
-        "__spans",
+        spans,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.when(s["start"] < a["at"], F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))).otherwise(
-            F.struct(
-                F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out"), s["end"].alias("at")
-            )
+            F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out"), s["end"].alias("at"))
         ),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
     )
-    joined = docs.join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left"
-    )
-    text = F.when(F.col("__spans").isNotNull(), parts).otherwise(F.col("text"))
-    out = joined.withColumn("text", text)
+    same = docs["doc_id"].cast("long").eqNullSafe(found["__id"]) & (F.xxhash64(text) == found["__hash"])
+    changed = {"text": F.when(spans.isNotNull(), parts).otherwise(text)}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(spans.isNotNull(), F.length(parts).cast("long")).otherwise(docs["n_chars"])
+    return docs.join(found, same, "left").select(*(changed[c].alias(c) if c in changed else docs[c] for c in docs.columns))
