@@ -16,7 +16,7 @@ CLASSES = 1024  # words the model tells apart, among them the end and "any other
 OTHER, END = 0, 1
 SIZE = 16  # numbers that describe a word
 TOP = 1 << 18  # counts of at most so many words go to the tasks (4 MB); those of the others are joined
-BATCH, NOISE, RATE = 8192, 32, 0.05
+BATCH, NOISE, RATE = 1024, 32, 0.05
 SEED = 5
 END_HASH = np.uint64(0x8000000000000001)  # stands for the end token
 STEPS = 8  # counts per power of two are told apart in steps of this number
@@ -227,7 +227,7 @@ def _vocabulary(counts: DataFrame, top: int) -> Vocabulary:
     return Vocabulary(hashes, n, classes, tokens, distinct, end, tokens - end - inside, distinct - int(end > 0) - len(best))
 
 
-def lm_scores(docs: DataFrame, held_out=None, top: int = TOP) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out=None, top: int = TOP, rounds: int = 1) -> DataFrame:
     """One row per row of `docs (doc_id, text)`: `doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`.
 
     Tokens are lower-cased (A-Z) runs without white space, then one end per text; a null text is only an end. Rows with `held_out`
@@ -235,10 +235,10 @@ def lm_scores(docs: DataFrame, held_out=None, top: int = TOP) -> DataFrame:
 
     - Base: log10 of add-one unigram probabilities, from exact counts over all training texts.
     - Model: log-bilinear over the two words before, on the `CLASSES - 2` most frequent words, the end and "any other
-      word"; that class's probability is shared out by add-one counts. Every training token is learned from: each
+      word"; that class's probability is shared out by add-one counts. Every training token is learned from in each of `rounds` rounds: each
       task makes one pass over its texts from the same start, and the models are averaged by tokens. Scores are exactly normalised.
 
-    Texts are read three times (count, train, score) and never shuffled. What moves are counts per task, one set of
+    Texts are read to count, for each round and to score, and never shuffled. What moves are counts per task, one set of
     parameters per task (summed per parameter), and the words of a document that are not among the `top` most frequent, to
     look up their counts. The driver holds the frequent words and the parameters, both of bounded size. Without
     training texts the model is uniform."""
@@ -256,11 +256,13 @@ def lm_scores(docs: DataFrame, held_out=None, top: int = TOP) -> DataFrame:
     share[END] += v.end
     share[v.classes[v.classes != OTHER]] += v.counts[v.classes != OTHER]
     share /= share.sum()
-    vocabulary, start = sc.broadcast(v), sc.broadcast(fresh_model(share).flat())
-    learned = training.mapInArrow(_trainer(vocabulary, start, sc.broadcast(share)), "place long, value double, n long")
-    mean = learned.groupBy("place").agg((F.sum("value") / F.sum("n")).alias("value")).toArrow()  # one row per parameter
-    flat = start.value.copy()
-    flat[mean.column("place").to_numpy()] = mean.column("value").to_numpy()
+    vocabulary, shares = sc.broadcast(v), sc.broadcast(share)
+    flat = fresh_model(share).flat()
+    for _ in range(rounds):
+        learned = training.mapInArrow(_trainer(vocabulary, sc.broadcast(flat), shares), "place long, value double, n long")
+        mean = learned.groupBy("place").agg((F.sum("value") / F.sum("n")).alias("value")).toArrow()  # one row per parameter
+        flat = flat.copy()
+        flat[mean.column("place").to_numpy()] = mean.column("value").to_numpy()
 
     scored = written(
         rows.mapInArrow(
