@@ -179,7 +179,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]):
         self.schema, self.path = schema, options["path"]
         self.verify = options.get("verify", "false").lower() == "true"
-        self.task_bytes = int(options.get("taskBytes", TASK_BYTES))
+        self.task_bytes = int(options.get("taskbytes", TASK_BYTES))
         self.tests: list[_Test] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -242,7 +242,7 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.date = options.get("date", "1970-01-01T00:00:00Z")
-        self.file_bytes = int(options.get("fileBytes", FILE_BYTES))
+        self.file_bytes = int(options.get("filebytes", FILE_BYTES))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         target, base = open_fs(self.path)
