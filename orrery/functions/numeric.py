@@ -11,6 +11,12 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
 
 
+def number(x: Column) -> Column:
+    """`x` as a double, with NaN turned into null; infinities are values."""
+    d = x.cast("double")
+    return F.when(~F.isnan(d), d)
+
+
 def safe_divide(x: Column, y: Column, default: float | None = None) -> Column:
     """`x / y`, or `default` where the quotient is null or not finite."""
     quotient = finite(F.try_divide(x.cast("double"), y.cast("double")))

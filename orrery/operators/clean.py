@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from orrery.functions.numeric import finite, flag, truncate
+from orrery.functions.numeric import number, flag, truncate
 from orrery.operators.ordered import exact_quantiles, quantile_columns
 
 
@@ -38,13 +38,13 @@ def drop_category(df: DataFrame, col: str, value: str) -> DataFrame:
 
 def _fill(df: DataFrame, cols: Sequence[str], stats: DataFrame) -> DataFrame:
     one = stats.first()
-    return df.withColumns({c: F.coalesce(finite(F.col(c)), F.lit(one[c]).cast("double")) for c in cols})
+    return df.withColumns({c: F.coalesce(number(F.col(c)), F.lit(one[c]).cast("double")) for c in cols})
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fill missing numbers with the column mean of `fit_on` (default `df`)."""
     base = fit_on if fit_on is not None else df
-    return _fill(df, cols, base.agg(*[F.avg(finite(F.col(c))).alias(c) for c in cols]))
+    return _fill(df, cols, base.agg(*[F.avg(number(F.col(c))).alias(c) for c in cols]))
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -59,14 +59,14 @@ def columns_with_missing(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """The columns that have missing values, from one counting job."""
     if not cols:
         return []
-    row = df.agg(*[F.count_if(finite(F.col(c)).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.count_if(number(F.col(c)).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     return [c for i, c in enumerate(cols) if row[f"n{i}"]]
 
 
 def missing_indicator(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Add `<col>_missing` for the columns that have missing values in `fit_on` (default `df`)."""
     marked = columns_with_missing(fit_on if fit_on is not None else df, cols)
-    return df.withColumns({f"{c}_missing": flag(finite(F.col(c)).isNull()) for c in marked})
+    return df.withColumns({f"{c}_missing": flag(number(F.col(c)).isNull()) for c in marked})
 
 
 def feature_columns(

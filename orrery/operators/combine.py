@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
@@ -35,22 +34,50 @@ ONLY_SELECT = "ERROR: Only SELECT queries are allowed for security reasons."
 FAILED = "ERROR executing query: "
 NO_ROWS = "No results found."
 
-# Spark can start programs or call Java from inside a SELECT; a read-only query must not.
-_ESCAPES = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(|\btransform\s*\(.*\busing\b", re.I | re.S)
+# Spark can call Java or start programs from inside a SELECT; a read-only query must not. The plan nodes that do.
+_ESCAPES = {"CallMethodViaReflection", "TryReflect", "ScriptTransformation"}
+_SUBQUERIES = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"}
+ON_FILES = "spark.sql.runSQLOnFiles"
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _escapes(node, is_plan: bool = True) -> bool:
+    """Whether an analysed plan, or an expression in it, leaves SQL; names in texts and columns do not matter."""
+    kind = node.getClass().getSimpleName()
+    if kind in _ESCAPES:
+        return True
+    if is_plan and any(_escapes(e, False) for e in _items(node.expressions())):
+        return True
+    if kind in _SUBQUERIES and _escapes(node.plan()):
+        return True
+    return any(_escapes(c, is_plan) for c in _items(node.children()))
 
 
 def sql_select(spark: SparkSession, statement: str, run: bool = False) -> DataFrame:
-    """Result of a SELECT over the registered views. Anything else, and a statement that
-    does not compile, gives one row with the reason in the column `error`.
+    """Result of a SELECT over the registered views. Anything else, also a SELECT whose plan calls Java or a
+    program, and a statement that does not compile, gives one row with the reason in the column `error`.
+    Paths in place of views do not resolve.
 
     With `run` the result is a written table, and a failure while running is a reason too."""
-    if not statement.strip().upper().startswith("SELECT") or _ESCAPES.search(statement):
-        return spark.range(1).select(F.lit(ONLY_SELECT).alias("error"))
+    refused = spark.range(1).select(F.lit(ONLY_SELECT).alias("error"))
+    if not statement.strip().upper().startswith("SELECT"):
+        return refused
+    before = spark.conf.get(ON_FILES)
     try:
+        spark.conf.set(ON_FILES, "false")  # no paths in place of views
+        if _escapes(spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)):
+            return refused
         result = spark.sql(statement)
+        if _escapes(result._jdf.queryExecution().analyzed()):
+            return refused
         return written(result, "result") if run else result
     except PySparkException as e:
         return spark.range(1).select(F.lit(FAILED + str(e)).alias("error"))
+    finally:
+        spark.conf.set(ON_FILES, before)
 
 
 def result_lines(

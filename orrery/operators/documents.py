@@ -143,7 +143,7 @@ def _articles_over_pages(texts: DataFrame, doc: str, text: str, page: str) -> Da
     firsts = texts.select(
         doc, (F.col(page) - 1).alias(page), strip(F.substring_index(text, "\n", 1)).alias("__first")
     )
-    parts = _parts(texts, [doc, page], text).select(doc, page, F.inline("parts"))
+    parts = _parts(texts, [doc, page], text).select(doc, page, F.inline_outer("parts"))  # every page has a part; inline adds a filter that parses the page again
     parts = parts.join(firsts, [doc, page], "left").withColumn(
         "next_line", F.coalesce("next_line", "__first")
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orrery.functions.binning import cut_left, cut_right
-from orrery.functions.numeric import finite, flag, safe_divide
+from orrery.functions.numeric import finite, number, flag, safe_divide
 from orrery.operators.clean import columns_with_missing, impute_median, missing_indicator
 from orrery.operators.profile import numeric_and_categorical
 
@@ -50,7 +50,14 @@ def cut_equal_width(df: DataFrame, col: str, bins: int, out: str, fit_on: DataFr
     # A constant column gets one bin around its value, in the middle of the axis.
     code = F.lit((bins - 1) // 2)
     if step:
-        code = sum((F.when(x > lo + i * step, 1).otherwise(0) for i in range(1, bins)), F.lit(0))
+        # The quotient may be off by one next to an edge; the edges decide.
+        guess = F.least(F.greatest(F.ceil((x - lo) / step) - 1, F.lit(0)), F.lit(bins - 1))
+        code = (
+            F.when((guess > 0) & (x <= lo + guess * step), guess - 1)
+            .when((guess < bins - 1) & (x > lo + (guess + 1) * step), guess + 1)
+            .otherwise(guess)
+            .cast("int")
+        )
     return df.withColumn(out, F.when((x >= lo - reach) & (x <= hi), code))
 
 
@@ -58,7 +65,7 @@ def log1p_features(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
     """Add `log1p_<col>` for the columns whose minimum is not negative (one job)."""
     cols = [c for c in cols if c in df.columns]
     base = fit_on if fit_on is not None else df
-    lows = base.agg(*[F.min(finite(F.col(c))).alias(c) for c in cols]).first() if cols else {}
+    lows = base.agg(*[F.min(number(F.col(c))).alias(c) for c in cols]).first() if cols else {}
     fit = [c for c in cols if lows[c] is not None and lows[c] >= 0]
     return df.withColumns({f"log1p_{c}": F.log1p(F.col(c)) for c in fit})
 

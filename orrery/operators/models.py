@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orrery.operators.evaluate import binary_metrics_by
-from orrery.operators.limits import few_values
 from orrery.sources.storage import written
 
 # The searched parameters.
@@ -158,14 +157,12 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Row weight n / (classes * rows of the class), as one value per class."""
-    few_values(df, label)
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    weight = F.lit(None).cast("double")
-    for name, n in counts.items():
-        weight = F.when(F.col(label).eqNullSafe(F.lit(name)), F.lit(total / (len(counts) * n))).otherwise(weight)
-    return df.withColumn(out, weight)
+    """Row weight n / (classes * rows of the class); any number of classes, null among them."""
+    counts = df.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    all_ = counts.agg(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("classes")).first()
+    weight = F.lit(all_["n"] or 0) / (F.lit(all_["classes"]) * F.col("__n"))
+    kept = [c for c in df.columns if c != out]
+    return df.join(counts, df[label].eqNullSafe(counts["__class"]), "left").select(*(df[c] for c in kept), weight.alias(out))
 
 
 def positive_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

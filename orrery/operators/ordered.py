@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from orrery.functions.numeric import finite
+from orrery.functions.numeric import finite, number
 
 BUCKET = "__bucket"
 MAX_BUCKETS = 8192  # about what the quantile sketch can tell apart
@@ -145,7 +145,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     ranks, and sort only those. The built-in exact percentile keeps every distinct
     value of a column in one aggregation buffer."""
     cols = list(cols)
-    wide = df.select(*[finite(F.col(c)).alias(c) for c in cols])
+    wide = df.select(*[number(F.col(c)).alias(c) for c in cols])
     bounds = range_bounds(wide, cols)
     marks = {c: f"__b{i}" for i, c in enumerate(cols)}
     wide = add_buckets(wide, bounds, marks)
@@ -190,7 +190,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     )
     low, high = F.min("value"), F.max("value")
     share = F.first("at") - F.floor(F.first("at"))
-    found = hits.groupBy("c", "prob").agg((low + (high - low) * share).alias("value"))
+    between = F.when(low == high, low).otherwise(low + (high - low) * share)  # also for infinities
+    found = hits.groupBy("c", "prob").agg(between.alias("value"))
     return found.select(F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("c") + 1).alias("column"), "prob", "value")
 
 
@@ -201,8 +202,8 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     one = df.agg(
         *[
             F.when(
-                F.count(finite(F.col(c))) > 0,
-                F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(finite(F.col(c)), k), wanted),
+                F.count(number(F.col(c))) > 0,
+                F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(number(F.col(c)), k), wanted),
             ).alias(f"q{i}")
             for i, c in enumerate(cols)
         ]

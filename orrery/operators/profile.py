@@ -6,10 +6,11 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F, types as T
 
-from orrery.functions.numeric import finite
+from orrery.functions.numeric import finite, number
 from orrery.operators.ordered import exact_quantiles, quantile_columns
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -36,7 +37,7 @@ def _rows(items: Sequence[Column]) -> Column:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    x = {c: finite(F.col(c)) for c in cols}
+    x = {c: number(F.col(c)) for c in cols}
     one = df.agg(
         *[
             F.struct(
@@ -255,25 +256,51 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, over rows where both are present."""
-    x = {c: finite(F.col(c)) for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    one = df.agg(
-        *[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[
-            F.corr(F.when(x[b].isNotNull(), x[a]), F.when(x[a].isNotNull(), x[b])).alias(f"r{i}")
-            for i, (a, b) in enumerate(pairs)
-        ],
-    )
+def _cross_products(centre: Sequence[float]):
+    """Pair counts, sums, sums of squares and of products over the rows where both columns are present: a row per pair and task."""
+    c = len(centre)
+    low, high = np.triu_indices(c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s, q, p = (np.zeros((c, c)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(c)]) - centre
+            there = ~np.isnan(x)
+            x[~there] = 0.0
+            there = there.astype(float)
+            n += there.T @ there
+            s += x.T @ there
+            q += (x * x).T @ there
+            p += x.T @ x
+        cells = [n[low, high], s[low, high], s.T[low, high], q[low, high], q.T[low, high], p[low, high]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(low), pa.array(high), *(pa.array(x) for x in cells)], ["i", "j", "n", "s", "t", "q", "r", "p"]
+        )
+
+    return run
 
-    def cell(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr"))
 
-    cells = [cell(c, c, F.when(F.col(f"n{i}") > 1, F.lit(1.0))) for i, c in enumerate(cols)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, F.col(f"r{i}")), cell(b, a, F.col(f"r{i}"))]
-    return one.select(_rows(cells))
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair, over rows where both are present; null for a column that is constant there.
+
+    One pass for the means, one for the cross-products of the centred columns as matrix products per Arrow batch. Each
+    task sends one row per pair, whatever its number of rows."""
+    cols, c = list(cols), len(cols)
+    x = df.select(*[finite(F.col(name)).alias(f"x{i}") for i, name in enumerate(cols)])
+    means = x.agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(c)]).first()
+    kind = "i long, j long, n double, s double, t double, q double, r double, p double"
+    parts = x.mapInArrow(_cross_products([m or 0.0 for m in means]), kind)
+    sums = parts.groupBy("i", "j").agg(*[F.sum(v).alias(v) for v in "nstqrp"])
+    n = F.col("n")
+    a, b = F.col("q") - F.col("s") ** 2 / n, F.col("r") - F.col("t") ** 2 / n
+    varied = (n > 1) & (a > 1e-12 * F.col("q")) & (b > 1e-12 * F.col("r"))
+    corr = F.when((F.col("i") == F.col("j")) & (n > 1), 1.0).when(varied, (F.col("p") - F.col("s") * F.col("t") / n) / F.sqrt(a * b))
+    found = sums.where("n > 0").select("i", "j", corr.alias("corr"))
+    grid = df.sparkSession.range(c * c).select(F.floor(F.col("id") / c).alias("x"), (F.col("id") % c).alias("y"))
+    names = F.array(*[F.lit(name) for name in cols])
+    return grid.join(found, (F.least("x", "y") == F.col("i")) & (F.greatest("x", "y") == F.col("j")), "left").select(
+        F.get(names, F.col("x").cast("int")).alias("a"), F.get(names, F.col("y").cast("int")).alias("b"), "corr"
+    )
 
 
 def correlated_features(df: DataFrame, cols: Sequence[str], threshold: float = 0.8) -> DataFrame:

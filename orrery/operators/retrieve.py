@@ -78,20 +78,20 @@ def metadata_lookup(
     order: list[str],
     chapter: str = "bob",
     article: str = "modda",
-    max_k: int = K_GENERAL,
 ) -> DataFrame:
     """The first k documents that agree with every reference of a question.
 
-    The first `max_k` documents of each reference are taken before the join, so neither a
-    chapter with a third of all documents nor a popular question multiplies rows. Returns the
+    The first documents of each reference, as many as the largest k asked, are taken before the join, so neither
+    a chapter with a third of all documents nor a popular question multiplies rows. Returns the
     question columns with `rank` and the order columns of the document."""
+    most = questions.agg(F.max("k")).first()[0] or 0
     up = F.upper(F.col(chapter))
     keys = F.array(
         _key(up, F.col(article)), _key(up, F.lit(None)), _key(F.lit(None), F.col(article))
     )
     keyed = docs.select(*order, F.explode(F.array_distinct(keys)).alias("__key"))
     first = W.partitionBy("__key").orderBy(*order)
-    top = keyed.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= max_k)
+    top = keyed.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= most)
     asked = questions.where(F.col("chapter").isNotNull() | F.col("article").isNotNull())
     asked = asked.withColumn("__key", _key(F.col("chapter"), F.col("article")))
     return asked.join(top, "__key").where(F.col("rank") <= F.col("k")).drop("__key")
@@ -236,18 +236,18 @@ def hybrid_search(
     vector: str = "embedding",
     chapter: str = "bob",
     article: str = "modda",
-    max_k: int = K_GENERAL,
 ) -> DataFrame:
     """Lookup by metadata; questions without a hit get the nearest vectors instead.
     `(question id, rank, document id, found_by)`."""
-    hits = metadata_lookup(questions.drop(vector), docs, [doc_id], chapter, article, max_k).select(
+    hits = metadata_lookup(questions.drop(vector), docs, [doc_id], chapter, article).select(
         question_id, "rank", doc_id, F.lit("metadata").alias("found_by")
     )
     # Both are read several times below.
     hits = written(hits, "hits")
     missed = written(questions.join(hits.select(question_id), question_id, "left_anti"), "missed")
+    most = missed.agg(F.max("k")).first()[0] or 1
     near = vector_topk(
-        docs, missed, max_k, base_id=doc_id, query_id=question_id, vector=vector
+        docs, missed, most, base_id=doc_id, query_id=question_id, vector=vector
     )
     near = (
         near.join(missed.select(question_id, "k"), question_id)

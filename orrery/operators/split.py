@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orrery.functions.hashing import HASH_BITS, stable_hash, unit_hash
-from orrery.operators.limits import FEW
 from orrery.operators.ordered import BUCKET, bucket_by_range
 
+MOST_CLASSES = 1_000_000  # a few numbers per class are kept on the driver
+IN_PLAN = 32  # classes whose cut points become part of the expression; those of more classes are joined
 RANGE_BITS = 14  # hash ranges; the hash is uniform, so they are even
 CLASS = "__class"
 
@@ -33,15 +34,20 @@ def _class_of(by: str | None) -> Column:
 
 
 @contextmanager
-def _counted(rows: DataFrame) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+def _counted(rows: DataFrame, by_first: bool = False) -> Iterator[tuple[DataFrame, dict[str, int]]]:
     """Rows per class and bucket, kept while they are in use, and the rows per class in
-    class order. There may only be a few classes."""
-    ranges = rows.groupBy(CLASS, BUCKET).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    class order or, if asked, in the order of each class's first key."""
+    ranges = (
+        rows.groupBy(CLASS, BUCKET)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
-        found = ranges.groupBy(CLASS).agg(F.sum("n").alias("n")).limit(FEW + 1).collect()
-        if len(found) > FEW:
-            raise ValueError(f"more than {FEW} classes; this is no class column")
-        yield ranges, {r[CLASS]: r["n"] for r in sorted(found, key=lambda r: r[CLASS])}
+        found = ranges.groupBy(CLASS).agg(F.sum("n").alias("n"), F.min("first").alias("first")).limit(MOST_CLASSES + 1).collect()
+        if len(found) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes; this is no class column")
+        found.sort(key=lambda r: (r["first"], r[CLASS]) if by_first else r[CLASS])
+        yield ranges, {r[CLASS]: r["n"] for r in found}
     finally:
         ranges.unpersist()
 
@@ -61,13 +67,13 @@ def _rank_cuts(
     past = F.sum("n").over(W.partitionBy(CLASS).orderBy(BUCKET))
     hits = (
         ranges.withColumn("past", past)
-        .join(F.broadcast(targets), CLASS)  # a few ranks per class
+        .join(targets, CLASS)
         .where((F.col("rank") > F.col("past") - F.col("n")) & (F.col("rank") <= F.col("past")))
         .groupBy(CLASS, BUCKET)
         .agg(F.collect_list(F.struct("rank", (F.col("rank") - F.col("past") + F.col("n")).alias("at"))).alias("ranks"))
     )
     place = F.row_number().over(W.partitionBy(CLASS, BUCKET).orderBy(*order))
-    near = rows.join(F.broadcast(hits), [CLASS, BUCKET]).withColumn("place", place)
+    near = rows.join(hits, [CLASS, BUCKET]).withColumn("place", place)
     spots = near.select(CLASS, "place", *order, F.inline("ranks")).where(F.col("place") == F.col("at"))
     for r in spots.collect():  # one row per wanted rank
         found[r[CLASS], r["rank"]] = tuple(r[c] for c in order)
@@ -85,13 +91,25 @@ def _after(order: Sequence[str], cut: Cut | None) -> Column:
     return later
 
 
-def _by_class(by: str | None, values: Mapping[str, Column], otherwise: Column) -> Column:
-    if by is None:
-        return values.get("", otherwise)
-    out = otherwise
-    for name, value in values.items():
-        out = F.when(_class_of(by) == name, value).otherwise(out)
-    return out
+def _add_passed(df: DataFrame, by: str | None, order: Sequence[str], cuts: Mapping[str, Sequence[Cut | None]], out: str) -> DataFrame:
+    """Add how many cuts of its class a row comes after; null for a class without any entry."""
+
+    def passed(found: Sequence[Cut | None]) -> Column:
+        return sum((F.when(_after(order, c), 1).otherwise(0) for c in found), F.lit(0))
+
+    if by is None or len(cuts) <= IN_PLAN:
+        number = F.lit(None).cast("int")
+        for name, found in cuts.items():
+            number = passed(found) if by is None else F.when(_class_of(by) == name, passed(found)).otherwise(number)
+        return df.withColumn(out, number)
+    kind = df.select(*order).schema
+    fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kind.fields))
+    rows = [(c, sum(x is None for x in xs), [tuple(x) for x in xs if x is not None]) for c, xs in cuts.items()]
+    table = df.sparkSession.createDataFrame(rows, f"{CLASS} string, __before int, __cuts array<struct<{fields}>>")
+    here = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    number = F.col("__before") + F.size(F.filter("__cuts", lambda c: here > c))
+    keyed = df.withColumn(CLASS, _class_of(by)).join(table, CLASS, "left")
+    return keyed.withColumn(out, number).select(*[c for c in df.columns if c != out], out)
 
 
 def _hash_rows(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
@@ -129,9 +147,9 @@ def exact_split(
     with _counted(rows) as (ranges, counts):
         sizes = split_sizes(counts, fraction)
         cuts = _rank_cuts(rows, ranges, ["h", "key"], {c: [n] for c, n in sizes.items()})
-    inside = {c: ~_after(["__h", key], cuts[c, n]) for c, n in sizes.items()}
     hashed = df.withColumn("__h", stable_hash(F.col(key), seed))  # once per row, for all comparisons
-    return hashed.withColumn(out, _by_class(by, inside, F.lit(False))).drop("__h")
+    marked = _add_passed(hashed, by, ["__h", key], {c: [cuts[c, n]] for c, n in sizes.items()}, "__passed")
+    return marked.withColumn(out, F.coalesce(F.col("__passed") == 0, F.lit(False))).drop("__h", "__passed")
 
 
 def split_frames(
@@ -155,16 +173,14 @@ def _folds(
     by: str | None,
     sizes: Callable[[dict[str, int]], dict[str, list[int]]],
     out: str,
+    by_first: bool = False,
 ) -> DataFrame:
     """Number the folds by how many fold ends a row comes after. `sizes` gives the rows
     per fold of each class from the class counts."""
-    with _counted(rows) as (ranges, counts):
+    with _counted(rows, by_first) as (ranges, counts):
         ends = {c: [sum(s[: i + 1]) for i in range(len(s) - 1)] for c, s in sizes(counts).items()}
         cuts = _rank_cuts(rows, ranges, names, ends)
-    number = {
-        c: sum((F.when(_after(order, cuts[c, e]), 1).otherwise(0) for e in es), F.lit(0)) for c, es in ends.items()
-    }
-    return df.withColumn(out, _by_class(by, number, F.lit(None).cast("int")))
+    return _add_passed(df, by, order, {c: [cuts[c, e] for e in es] for c, es in ends.items()}, out)
 
 
 def _range_rows(df: DataFrame, order: str, by: str | None) -> DataFrame:
@@ -190,8 +206,8 @@ def kfold_stratified(
     out: str = "fold",
 ) -> DataFrame:
     """Folds that share out each class evenly: in consecutive runs of `order` (unique, not null),
-    or in hash order of it when a seed is given. The classes, sorted, are dealt over the folds one
-    row at a time, which fixes how many rows of each class a fold gets."""
+    or in hash order of it when a seed is given. The classes, in the order of their first rows, are dealt over the
+    folds one row at a time, which fixes how many rows of each class a fold gets."""
 
     def dealt(upto: int, fold: int) -> int:
         return (upto - fold + k - 1) // k
@@ -204,7 +220,7 @@ def kfold_stratified(
         return shares
 
     if seed is None:
-        return _folds(df, _range_rows(df, order, label), ["key"], [order], label, sizes, out)
+        return _folds(df, _range_rows(df, order, label), ["key"], [order], label, sizes, out, by_first=True)
     hashed = df.withColumn("__h", stable_hash(F.col(order), seed))
     rows = _hash_rows(df, order, seed, label)
-    return _folds(hashed, rows, ["h", "key"], ["__h", order], label, sizes, out).drop("__h")
+    return _folds(hashed, rows, ["h", "key"], ["__h", order], label, sizes, out, by_first=True).drop("__h")

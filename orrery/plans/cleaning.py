@@ -56,6 +56,21 @@ def impute_median(spark, sf):
     return rounded(C.impute_median(_gaps(Tables(spark, sf)), ["balance"]), 4, "balance")
 
 
+WILD = "(SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'infinity'::DOUBLE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer)"
+
+
+@query(
+    f"""SELECT c_custkey, isinf(b) AS infinite, CASE WHEN NOT isinf(b) THEN round(b, 4) END AS balance FROM
+    (SELECT c_custkey, coalesce(balance, (SELECT quantile_cont(balance, 0.5) FROM {WILD} a)) AS b FROM {WILD} x) t"""
+)
+def impute_infinite(spark, sf):
+    """Infinities are values: they count for the median and stay."""
+    b = F.when(F.col("c_custkey") % 10 == 0, F.lit(float("inf"))).when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
+    out = C.impute_median(Tables(spark, sf).customer.select("c_custkey", b.alias("balance")), ["balance"])
+    infinite = F.col("balance") == float("inf")
+    return out.select("c_custkey", infinite.alias("infinite"), F.when(~infinite, F.round("balance", 4)).alias("balance"))
+
+
 @query("SELECT p_partkey, p_brand, p_size FROM part")
 def drop_columns(spark, sf):
     return C.drop_columns(Tables(spark, sf).part, ["p_name", "p_type", "p_retailprice", "not_there"])

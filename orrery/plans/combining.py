@@ -256,14 +256,16 @@ def sample_rows(spark, sf):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3")
 def sql_topn(spark, sf):
-    orders = Tables(spark, sf).orders
-    return orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(3)
+    Tables(spark, sf).orders.createOrReplaceTempView("sales")
+    return J.sql_select(spark, "SELECT o_orderkey, o_totalprice FROM sales ORDER BY o_totalprice DESC, o_orderkey LIMIT 3")
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 400000 AND o_orderstatus = 'F'")
 def sql_filter_project(spark, sf):
-    orders = Tables(spark, sf).orders
-    return orders.where("o_totalprice > 400000 AND o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
+    Tables(spark, sf).orders.createOrReplaceTempView("sales")
+    return J.sql_select(
+        spark, "SELECT o_orderkey, o_custkey, o_totalprice FROM sales WHERE o_totalprice > 400000 AND o_orderstatus = 'F'"
+    )
 
 
 @query(
@@ -271,12 +273,11 @@ def sql_filter_project(spark, sf):
     count(*) AS n, max(l_discount) AS max_discount, min(l_tax) AS min_tax FROM lineitem"""
 )
 def sql_global_agg(spark, sf):
-    return Tables(spark, sf).lineitem.agg(
-        F.round(F.avg("l_quantity"), 6).alias("mean_quantity"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total_price"),
-        F.count(F.lit(1)).alias("n"),
-        F.max("l_discount").alias("max_discount"),
-        F.min("l_tax").alias("min_tax"),
+    Tables(spark, sf).lineitem.createOrReplaceTempView("items")
+    return J.sql_select(
+        spark,
+        """SELECT round(avg(l_quantity), 6) AS mean_quantity, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+        count(*) AS n, max(l_discount) AS max_discount, min(l_tax) AS min_tax FROM items""",
     )
 
 
@@ -285,10 +286,11 @@ def sql_global_agg(spark, sf):
     round(avg(l_discount), 8) AS mean_discount FROM lineitem GROUP BY 1, 2"""
 )
 def sql_group_by(spark, sf):
-    return Tables(spark, sf).lineitem.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"),
-        F.round(F.avg("l_discount"), 8).alias("mean_discount"),
+    Tables(spark, sf).lineitem.createOrReplaceTempView("items")
+    return J.sql_select(
+        spark,
+        """SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price,
+        round(avg(l_discount), 8) AS mean_discount FROM items GROUP BY l_returnflag, l_linestatus""",
     )
 
 

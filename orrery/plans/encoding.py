@@ -123,6 +123,12 @@ def stratified_split(spark, sf):
     return X.exact_split(rows, "o_orderkey", by="o_orderstatus")
 
 
+@query(split_sql("orders", "o_orderkey", "CAST(o_custkey AS VARCHAR)", 42, "is_test", "o_orderkey, o_custkey"))
+def stratified_split_many(spark, sf):
+    """As many classes as customers."""
+    return X.exact_split(Tables(spark, sf).orders.select("o_orderkey", "o_custkey"), "o_orderkey", by="o_custkey")
+
+
 @query(
     split_sql(
         f"(SELECT * FROM ({split_sql('orders', 'o_orderkey', 'o_orderstatus', 42, 'is_test', 'o_orderkey, o_orderstatus')}) a WHERE NOT is_test)",
@@ -153,9 +159,10 @@ def kfold_contiguous(spark, sf):
 
 
 def fold_sql(k: int, order: str) -> str:
-    """Folds by class in SQL: the sorted classes dealt one row at a time over the folds."""
+    """Folds by class in SQL: the classes, in the order of their first rows, dealt one row at a time over the folds."""
     return f"""WITH r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {order}) AS i FROM orders),
-    d AS (SELECT o_orderstatus, (row_number() OVER (ORDER BY o_orderstatus) - 1) % {k} AS fold FROM orders),
+    o AS (SELECT o_orderstatus, min(o_orderkey) OVER (PARTITION BY o_orderstatus) AS first FROM orders),
+    d AS (SELECT o_orderstatus, (row_number() OVER (ORDER BY first) - 1) % {k} AS fold FROM o),
     s AS (SELECT o_orderstatus, fold, count(*) AS n FROM d GROUP BY 1, 2),
     e AS (SELECT o_orderstatus, fold, sum(n) OVER (PARTITION BY o_orderstatus ORDER BY fold) AS past, n FROM s)
     SELECT r.o_orderkey, r.o_orderstatus, CAST(e.fold AS INTEGER) AS fold FROM r JOIN e ON r.o_orderstatus = e.o_orderstatus

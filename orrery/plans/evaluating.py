@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orrery.operators import evaluate as V
 from orrery.operators.importance import topk_features as top_features
-from orrery.operators.models import class_weights as weights, decide
+from orrery.operators.models import balanced_weight, class_weights as weights, decide
 from orrery.operators.profile import correlation_matrix
 from orrery.plans.registry import Tables, query, rounded
 
@@ -226,6 +226,16 @@ def class_weights(spark, sf):
     return rounded(out, 9, "positive_ratio", "negative_ratio", "imbalance_ratio", "scale_pos_weight")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, l_suppkey, round((SELECT count(*) FROM lineitem) /
+    ((SELECT count(DISTINCT l_suppkey) FROM lineitem) * count(*) OVER (PARTITION BY l_suppkey))::DOUBLE, 9) AS weight FROM lineitem"""
+)
+def balanced_weight_many(spark, sf):
+    """A class per supplier."""
+    rows = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
+    return rounded(balanced_weight(rows, "l_suppkey"), 9, "weight")
+
+
 TARGET = "l_extendedprice"
 CANDIDATES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
 

@@ -62,6 +62,16 @@ def cut_equal_width(spark, sf):
     return X.cut_equal_width(rows, "o_totalprice", 4, "price_bin").drop("o_totalprice")
 
 
+@query(
+    """WITH s AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 1000.0 AS w FROM orders)
+    SELECT o_orderkey, CAST(len(list_filter(range(1, 1000), lambda i: o_totalprice > lo + i * w)) AS INTEGER) AS price_bin FROM orders, s"""
+)
+def cut_equal_width_many(spark, sf):
+    """A thousand bins."""
+    rows = Tables(spark, sf).orders.select("o_orderkey", "o_totalprice")
+    return X.cut_equal_width(rows, "o_totalprice", 1000, "price_bin").drop("o_totalprice")
+
+
 @query(
     """SELECT p_partkey, CASE WHEN p_size >= 0 AND p_size <= 5 THEN '0-5' WHEN p_size > 5 AND p_size <= 15 THEN '6-15'
     WHEN p_size > 15 AND p_size <= 30 THEN '16-30' WHEN p_size > 30 AND p_size <= 50 THEN '31-50'

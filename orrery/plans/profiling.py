@@ -35,6 +35,17 @@ def describe_numeric(spark, sf):
     return rounded(out, 4, "mean", "std", "q25", "q50", "q75")
 
 
+@query(
+    """SELECT 'balance' AS "column", count(b) AS count, min(b) AS min, round(quantile_cont(b, 0.5), 4) AS q50, isinf(max(b)) AS infinite
+    FROM (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'infinity'::DOUBLE ELSE c_acctbal END AS b FROM customer) t"""
+)
+def describe_infinite(spark, sf):
+    """Infinities are counted and are the maximum."""
+    b = F.when(F.col("c_custkey") % 10 == 0, F.lit(float("inf"))).otherwise(F.col("c_acctbal"))
+    out = P.describe_numeric(Tables(spark, sf).customer.select(b.alias("balance")), ["balance"])
+    return rounded(out, 4, "q50").select("column", "count", "min", "q50", (F.col("max") == float("inf")).alias("infinite"))
+
+
 ORDER_TYPES = {
     "o_orderkey": "bigint",
     "o_custkey": "bigint",

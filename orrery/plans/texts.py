@@ -186,6 +186,14 @@ def metadata_lookup(spark, sf):
     return _hits(Tables(spark, sf)).select("query_id", "rank", "doc_id", "line_no", "bob", "modda")
 
 
+@query(f"WITH {_HITS.replace('THEN 3 ELSE 5 END AS k', 'THEN 10 ELSE 10 END AS k')} SELECT query_id, rank, doc_id, line_no FROM hits")
+def metadata_lookup_deep(spark, sf):
+    """Ten articles per question."""
+    t = Tables(spark, sf)
+    refs = R.query_refs(questions(t), "question").withColumn("k", F.lit(10))
+    return R.metadata_lookup(refs, written(_articles(t), "articles"), ["doc_id", "line_no"]).select("query_id", "rank", "doc_id", "line_no")
+
+
 def centroids(t: Tables) -> DataFrame:
     """Mean vector per label: one query each."""
     cells = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x"))

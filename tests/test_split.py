@@ -67,7 +67,10 @@ def test_stratified_folds(spark, seed):
         for p in (1, 8)
     ]
     assert picks[0] == picks[1] and len(picks[0]) == 503
-    classes = sorted(y for y, _ in picks[0].values())
+    first = {}
+    for key, (y, _) in sorted(picks[0].items()):
+        first.setdefault(y, key)
+    classes = sorted((y for y, _ in picks[0].values()), key=first.get)  # in the order of their first rows
     for c in set(classes):
         want = [sum(1 for j, y in enumerate(classes) if y == c and j % k == i) for i in range(k)]
         assert [sum(1 for v in picks[0].values() if v == (c, i)) for i in range(k)] == want
