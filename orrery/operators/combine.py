@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orrery.functions.text import cell_text, pad_cell
-from orrery.operators.ordered import dense_index
+from orrery.operators.ordered import BUCKET, dense_index
 from orrery.sources.storage import written
 
 
@@ -84,11 +84,13 @@ def result_lines(
     df: DataFrame, order: Sequence[str], width: int = 15, title: str = "Query Results:", total: bool = True
 ) -> DataFrame:
     """The result as numbered text lines: title, header, padded rows and row total.
-    `order` must be unique and start with a numeric column."""
+    `order` must be unique; its columns may have any type that sorts."""
     rule = "-" * 80
     kinds = dict(df.dtypes)
     row = F.concat_ws(" | ", *[pad_cell(cell_text(F.col(c), kinds[c]), width) for c in df.columns])
-    body = dense_index(df, order, "__i").select((F.col("__i") + 4).alias("line_no"), row.alias("line"))
+    # Ranges of the rows, written down because their bounds come from a sample.
+    ranged = written(df.repartitionByRange(*order).withColumn(BUCKET, F.spark_partition_id()), "ranges")
+    body = dense_index(ranged, order, "__i", bucket=BUCKET).select((F.col("__i") + 4).alias("line_no"), row.alias("line"))
     n = df.count()
     header = " | ".join(f"{c:{width}}" for c in df.columns)
     around = [(1, title), (2, rule), (3, header), (4, rule)] if n else [(1, NO_ROWS)]

@@ -127,8 +127,6 @@ def column_transformer(
             )
             parts = ["__scaled"]
     if categorical:
-        for c in categorical:
-            column_levels(df, c)  # bound the levels before the indexer collects them
         codes = [f"__code_{c}" for c in categorical]
         flags = [f"__flag_{c}" for c in categorical]
         text = {c: f"__text_{c}" for c in categorical}

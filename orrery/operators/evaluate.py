@@ -129,7 +129,7 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def binary_metrics_by(df: DataFrame, by: str, label: str, prediction: str, score: str) -> DataFrame:
     """The binary metrics, AUC and average precision per group, such as a fold."""
     ranked = score_counts(df, label, score, by).groupBy(by).agg(_auc(), _ap())
-    return df.groupBy(by).agg(*_binary(label, prediction)).join(ranked, by)
+    return df.groupBy(by).agg(*_binary(label, prediction)).join(ranked, by, "left")
 
 
 def score_counts(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:

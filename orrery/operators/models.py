@@ -243,11 +243,11 @@ def random_search(
     return search(df, estimator, drawn_maps(estimator, space, draws, seed), fold, label, metric, parallelism)
 
 
-def search_results(spark, model: CrossValidatorModel, top_level: bool = True) -> DataFrame:
+def search_results(spark, model: CrossValidatorModel) -> DataFrame:
     """One row per parameter map with its mean score; `best` marks the refitted one."""
     maps = model.getEstimatorParamMaps()
     scores = model.avgMetrics
-    best = max(range(len(scores)), key=lambda i: scores[i])
+    best = (max if model.getEvaluator().isLargerBetter() else min)(range(len(scores)), key=lambda i: scores[i])
     rows = [
         (i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(s), i == best)
         for i, (m, s) in enumerate(zip(maps, scores))

@@ -130,15 +130,16 @@ def scan_csv(spark, sf):
 
 @query("""SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def scan_json_array(spark, sf):
-    """Events as JSON arrays of up to 256 records, parsed back, with their JSON property."""
+    """Events written as files of one JSON array of up to 256 records each, read back, with their JSON property."""
     e = Tables(spark, sf).events
     record = F.struct("event_id", "user_id", "event_type", "value", "props")
     arrays = e.groupBy(F.floor(F.col("event_id") / 256).alias("part")).agg(
         F.to_json(F.collect_list(record)).alias("records")
     )
-    rows = S.json_array_rows(
-        arrays, "records", "event_id: bigint, user_id: bigint, event_type: string, value: double, props: string"
-    )
+    path = work_folder(spark, "json")
+    arrays.write.partitionBy("part").text(path)  # a part is one row, so it is one file
+    schema = "event_id bigint, user_id bigint, event_type string, value double, props string"
+    rows = S.scan_json_array(spark, path, schema).drop("part")
     return rows.withColumn("k", F.from_json("props", "k bigint")["k"]).drop("props")
 
 
@@ -305,3 +306,16 @@ def sql_group_by(spark, sf):
 def result_format(spark, sf):
     rows = Tables(spark, sf).customer.select("c_custkey", "c_acctbal", "c_mktsegment")
     return J.result_lines(rows, ["c_custkey"])
+
+
+@query(
+    """WITH g AS (SELECT c_mktsegment AS s, count(*) AS n FROM customer GROUP BY 1), r AS (SELECT row_number() OVER (ORDER BY s) AS i, * FROM g)
+    SELECT 1 AS line_no, 'Query Results:' AS line UNION ALL SELECT 2, repeat('-', 80) UNION ALL SELECT 3, 's               | n              '
+    UNION ALL SELECT 4, repeat('-', 80) UNION ALL SELECT i + 4, rpad(s, 15, ' ') || ' | ' || rpad(CAST(n AS VARCHAR), 15, ' ') FROM r
+    UNION ALL SELECT count(*) + 5, repeat('-', 80) FROM r UNION ALL SELECT count(*) + 6, 'Total rows: ' || count(*) FROM r"""
+)
+def result_format_grouped(spark, sf):
+    """A grouped result of `sql_select`, ordered by text."""
+    _view(spark, sf)
+    out = J.sql_select(spark, "SELECT c_mktsegment AS s, count(*) AS n FROM clients GROUP BY c_mktsegment", run=True)
+    return J.result_lines(out, ["s"])

@@ -203,7 +203,7 @@ def model_comparison(spark, sf):
         (F.col("l_quantity") * 1500).alias("q"),
         F.lit(38000.0).alias("c"),
     )
-    return rounded(V.compare_predictions(rows, "y", COMPARED), 1, "mse")
+    return rounded(V.model_comparison({name: V.regression_metrics(rows, "y", c) for name, c in COMPARED.items()}), 1, "mse")
 
 
 @query(
