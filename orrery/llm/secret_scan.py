@@ -132,7 +132,9 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     )
     wide = written(ownership(single.where("value IS NOT NULL")).where(F.col("repositories") > 1), "owners")
     salted = wide.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    known = single.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).join(salted, ["value", "salt"], "left")
+    # Documents without a candidate have no value; their row number keeps them from meeting in one task.
+    keyed = single.withColumn("value", F.coalesce("value", F.col("row").cast("string")))
+    known = keyed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).join(salted, ["value", "salt"], "left")
     held = F.coalesce("owners", F.lit(1).cast("long"))
     verdict = F.when(held >= owners, "copied").when(F.col("live"), "live").otherwise("unclear")
     span = F.struct(

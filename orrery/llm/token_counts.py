@@ -91,10 +91,8 @@ def context_table(histogram: DataFrame) -> DataFrame:
 
 def truncated_totals(table: DataFrame, limits: Sequence[int]) -> DataFrame:
     """`limit, docs_over, truncated_tokens` for any limits, from the longest length that is not above each."""
-    spark = table.sparkSession
-    asked = spark.createDataFrame([(int(x),) for x in limits], "limit long")
-    one = F.broadcast(asked.agg(F.collect_list("limit").alias("limits")))  # the given list
-    spread = table.crossJoin(one).select("length", "n_docs", F.explode("limits").alias("limit"))
+    asked = F.array(*[F.lit(int(x)).cast("long") for x in limits])
+    spread = table.select("length", "n_docs", F.explode(asked).alias("limit"))
     docs = F.sum(F.when(F.col("length") > F.col("limit"), F.col("n_docs")))
     kept = F.sum(F.least("length", "limit") * F.col("n_docs"))
     return spread.groupBy("limit").agg(F.coalesce(docs, F.lit(0)).alias("docs_over"), kept.alias("truncated_tokens"))
