@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from orrery.operators import encode as E, importance as I, models as M, split as X
@@ -190,6 +191,54 @@ def importance_weight(spark, sf):
     return I.importance_weight(spark, M.boosted_classifier(rounds=5, depth=3).fit(rows), names)
 
 
+@query(
+    """WITH n AS (SELECT count(*) AS rows FROM labels JOIN documents USING (doc_id))
+    SELECT unnest(range(9)) AS slot, 0.0::DOUBLE AS gradient, rows FROM n"""
+)
+def logistic_gradient(spark, sf):
+    """Without a penalty the gradient of the mean loss is zero at the optimum, for each feature and the intercept."""
+    rows, _, _ = _prepared(spark, sf)
+    fitted = M.fit_logistic(rows, C=1e12).transform(rows)
+    error = M.positive_probability(fitted).withColumn("error", F.col("score") - F.col("label"))
+    terms = F.concat(F.transform(vector_to_array("features"), lambda x: x * F.col("error")), F.array("error"))
+    cells = error.select(F.posexplode(terms).alias("slot", "term"))
+    mean = cells.groupBy(F.col("slot").cast("bigint").alias("slot")).agg(
+        F.avg("term").alias("gradient"), F.count(F.lit(1)).alias("rows")
+    )
+    return mean.withColumn("gradient", F.abs(F.round("gradient", 2)))
+
+
+@query(
+    """WITH g AS (SELECT n_chars::DOUBLE AS x, avg(quality) AS y, count(*) AS w FROM labels JOIN documents USING (doc_id) GROUP BY 1),
+    s AS (SELECT row_number() OVER (ORDER BY x) AS i, x, sum(y * w) OVER (ORDER BY x) AS yw, sum(w) OVER (ORDER BY x) AS ws, y * w AS y0, w AS w0 FROM g),
+    m AS (SELECT a.i AS a, b.i AS b, min((b.yw - a.yw + a.y0) / (b.ws - a.ws + a.w0)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS low FROM s a JOIN s b ON b.i >= a.i),
+    c AS (SELECT b AS i, max(low) AS calibrated FROM m GROUP BY 1)
+    SELECT x AS score, round(calibrated, 6) AS calibrated FROM c JOIN s USING (i)"""
+)
+def isotonic_minmax(spark, sf):
+    """Quality by text length: each step is the largest of the smallest means over ranges around it."""
+    t = Tables(spark, sf)
+    rows = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").select(
+        F.col("quality").cast("double").alias("label"), F.col("n_chars").cast("double").alias("score")
+    )
+    rows = written(rows, "lengths")
+    out = M.apply_calibration(rows, M.isotonic_calibration(rows, "label", "score"), "score")
+    return out.select("score", F.round("calibrated", 6).alias("calibrated")).distinct()
+
+
+@query(
+    """WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+    SELECT 1 AS component, round((1 + r) / 2, 6) AS share FROM r UNION ALL SELECT 2, round((1 - r) / 2, 6) FROM r"""
+)
+def pca_two(spark, sf):
+    """Two scaled columns: the shares follow from their correlation."""
+    scaled = E.standard_scale(Tables(spark, sf).lineitem.select("l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
+    vectors = VectorAssembler(inputCols=scaled.columns, outputCol="features").transform(scaled)
+    fitted = PCA(k=2, inputCol="features", outputCol="parts").fit(vectors)
+    shares = [(i + 1, float(v)) for i, v in enumerate(fitted.explainedVariance.toArray())]
+    return rounded(spark.createDataFrame(shares, "component int, share double"), 6, "share")
+
+
 @query()
 def importance_coef(spark, sf):
     rows, _, names = _prepared(spark, sf)

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+def _root(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/orrery/{spark.sparkContext.applicationId}"
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's checkpoint directory.
 
@@ -20,7 +24,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors can reach")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/orrery/{name}-{uuid.uuid4().hex}"
+    return f"{_root(spark, base)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application has written to the work folder. Tables read from it are gone after that."""
+    base = spark.conf.get(SETTING, None) or tempfile.gettempdir()
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark, base))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
