@@ -1,17 +1,11 @@
 import os
 
-import pytest
-
 from orrery.sources import storage
 
 
-def test_clear_deletes_what_was_written(spark, tmp_path):
-    before = spark.conf.get(storage.SETTING)
-    spark.conf.set(storage.SETTING, str(tmp_path / "own"))
-    try:
-        kept = storage.written(spark.range(3), "t")
-        assert kept.count() == 3 and os.listdir(tmp_path / "own" / "orrery")
-        storage.clear(spark)
-        assert not os.listdir(tmp_path / "own" / "orrery")
-    finally:
-        spark.conf.set(storage.SETTING, before)
+def test_clear_deletes_what_was_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "_root", lambda spark, base: str(tmp_path / "own"))
+    kept = storage.written(spark.range(3), "t")
+    assert kept.count() == 3 and len(os.listdir(tmp_path / "own")) == 1
+    storage.clear(spark)
+    assert not (tmp_path / "own").exists()
