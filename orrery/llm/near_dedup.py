@@ -15,7 +15,7 @@ from orrery.sources.storage import written
 K = 5  # words of a shingle
 ROWS, BANDS = 5, 32  # a pair with similarity 0.75 shares no band once in 6,000 times, one with 0.85 once in 2e8
 SLACK = 0.12  # over three standard deviations of the share of equal minima at similarity 0.75
-PART = 1000  # rows of a bucket that are held at once
+PART = 500  # rows of a bucket that are held at once
 
 _MULTIPLY = np.random.default_rng(11).integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(12).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64)
@@ -88,30 +88,57 @@ def _confirm(percent: int):
     return run
 
 
-def _compare(least: float):
-    """Within one part of a bucket: pairs of different components whose signatures agree in a share of at least `least`."""
+def _compare(least: float, percent: int):
+    """Within one part of a bucket, links that join its components: pairs of different components whose signatures agree in a share of at
+    least `least` are compared on full sets. A pair whose components a link of this part has joined already is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups.in_order(batches, ["key", "i", "j"]):
             if group.num_rows < 2:
                 continue
             ids, comp, side = (group.column(c).to_numpy() for c in ("id", "comp", "part"))
-            signs = np.stack([np.frombuffer(x, np.uint16) for x in group.column("signature").to_pylist()])
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            right = np.flatnonzero(side == j)
-            for x in np.flatnonzero(side == i):
-                other = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if i == j else True)]
-                if len(other):
-                    near = other[(signs[other] == signs[x]).mean(axis=1) >= least]
-                    found.append((np.full(len(near), ids[x]), ids[near]))
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
+            signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(len(ids), -1)
+            left, right = (np.flatnonzero(side == group.column(c)[0].as_py()) for c in "ij")
+            near = []
+            for x in left:
+                other = right[comp[right] != comp[x]]
+                close = other[(signs[other] == signs[x]).mean(axis=1) >= least]
+                if len(close):
+                    near.append((x, close))
+            links = _confirmed(group, near, comp.copy(), percent) if near else []
+            if links:
+                a, b = (ids[list(y)] for y in zip(*links))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
 
+def _confirmed(group: pa.Table, near: list[tuple[int, np.ndarray]], comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Of candidates `(row, rows)`, links that full sets confirm, one for each two components that they join."""
+    used = np.unique(np.concatenate([np.append(other, x) for x, other in near]))
+    texts = group.column("text").combine_chunks().take(pa.array(used))
+    sets, at = T.distinct_sorted(*T.shingles(T.words(texts, T.SPACES), K))
+    members = np.unique(sets, return_inverse=True)[1].reshape(-1)
+    size, marked = np.diff(at), np.zeros(members.max(initial=-1) + 1, bool)
+    spot = np.zeros(group.num_rows, np.int64)
+    spot[used] = np.arange(len(used))
+    out = []
+    for x, other in near:
+        p = spot[x]
+        own = members[at[p] : at[p + 1]]
+        marked[own] = True
+        for y in other:
+            if comp[x] == comp[y]:
+                continue
+            q = spot[y]
+            both = int(np.count_nonzero(marked[members[at[q] : at[q + 1]]]))
+            if 100 * both >= percent * (size[p] + size[q] - both):
+                out.append((int(x), int(y)))
+                comp[comp == comp[y]] = comp[x]
+        marked[own] = False
+    return out
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Components of documents with 100 * intersection >= `percent` * union of their sets of 5-word shingles.
 
@@ -123,8 +150,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     1. Minima of 160 universal hashes per document, 32 band keys, a 128-bit fingerprint of the set.
     2. Buckets that hold more than one set. Copies of a set meet in every bucket and are one node, its smallest doc_id, before any pair is made.
     3. Each node and the bucket centre it shares most bands with: a link if the full sets confirm it. Components.
-    4. Buckets that still span several components: pairs across components only, in parts of bounded size,
-       by signature; the few similar ones are confirmed on full sets. Components again.
+    4. Buckets that still span several components, in parts of bounded size: pairs across components only, by signature and
+       then on full sets in the same task, until the part's components are joined. Components again.
 
     So no group is expanded into all its pairs, and a pair that shares a band is left out only if its documents are already
     connected or their signatures rule it out."""
@@ -166,8 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         .groupBy(F.col("id").alias("b"))
         .agg(F.max_by("centre", "votes").alias("a"))
     )
-    first = written(confirmed(best.select("a", "b")), "first")
-    state = written(components(first), "components")
+    state = written(components(written(confirmed(best.select("a", "b")), "first")), "components")
 
     placed = members.join(state.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")
@@ -185,15 +211,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         "key", "id", "comp", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
     )
     near = (
-        both.join(texts.select("id", "signature"), "id")
+        both.join(texts, "id")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(_compare(percent / 100 - SLACK), "a long, b long")
-        .distinct()
+        .mapInArrow(_compare(percent / 100 - SLACK, percent), "a long, b long")
     )
-    second = confirmed(written(near, "near"))
     known = state.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = written(components(written(known.unionByName(second), "all_links")), "final")
+    final = written(components(written(known.unionByName(near), "all_links")), "final")
 
     # A class of copies is looked up by its fingerprint, its component by its smallest document.
     classes = (
