@@ -12,7 +12,8 @@ from orrery.llm import words as T
 from orrery.sources.storage import written
 
 K = 5  # words of a shingle
-HASHES = 128
+HASHES = 64
+PIECE = 1 << 14  # shingles hashed at once
 BITS = 24  # the filter of item shingles has 2 ** BITS bits (2 MB) whatever the number of items
 
 _MULTIPLY = np.random.default_rng(21).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -24,45 +25,58 @@ def size_class(n: int) -> int:
     return int(n).bit_length() - 1
 
 
-def _keys(minima: np.ndarray, hash_number: int, part: int) -> np.ndarray:
-    return T.mix(minima ^ _MULTIPLY[hash_number]) + np.uint64(part)
+def _keys(minima: np.ndarray, part: int) -> np.ndarray:
+    """Join keys of minima, a row per hash."""
+    return T.mix(minima ^ _MULTIPLY[:, None]) + np.uint64(part)
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in T.slices(batches, "text"):
         w = T.words(part.column("text"), T.SPACES)
         sets, at = T.distinct_sorted(*T.shingles(w, K))
-        keys = []
-        for a, b in zip(at, at[1:]):
-            x = sets[a:b]
-            keys.append([_keys(np.min(x * m + c, keepdims=True), j, size_class(b - a))[0] for j, (m, c) in enumerate(zip(_MULTIPLY, _ADD))] if b > a else [])
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
-        flat = np.array([y for x in keys for y in x], np.uint64)
+        least = [(sets[a:b] * _MULTIPLY[:, None] + _ADD[:, None]).min(axis=1, keepdims=True) for a, b in zip(at, at[1:]) if b > a]
+        keys = [_keys(x, size_class(n)).ravel() for x, n in zip(least, np.diff(at)[np.diff(at) > 0])]
+        ends = np.concatenate([[0], np.cumsum(np.where(np.diff(at) > 0, HASHES, 0))])
+        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays(
             [part.column("item_id"), pa.array(np.minimum(w.counts(), K)), pa.array(np.diff(at)), T.list_array(sets, at), T.list_array(flat, ends)],
             ["item_id", "length", "n_item", "shingles", "keys"],
         )
 
 
-def _blocks(shingles: np.ndarray, hit: np.ndarray, classes: list[int]) -> np.ndarray:
+def _blocks(shingles: np.ndarray, hit: np.ndarray, classes: list[int]) -> list[np.ndarray]:
     """Keys of one text's blocks. For partition c the text is cut into cells of 2 ** (c + 1) shingles and two
     neighbouring cells are a block, so an item of that partition lies inside a block and is at least a fifth of it.
-    Only minima that are shingles of some item can equal an item's; the others are left out."""
+    Only minima that are shingles of some item can equal an item's, so blocks without any are left out."""
     out = []
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for j, (m, c) in enumerate(zip(_MULTIPLY, _ADD)):
-        value = shingles * m + c
-        wanted = np.where(hit, value, top)
-        for part in classes:
-            cells = np.arange(0, len(shingles), 2 << part)
-            least, found = np.minimum.reduceat(value, cells), np.minimum.reduceat(wanted, cells)
-            least[:-1] = np.minimum(least[:-1], least[1:])
-            found[:-1] = np.minimum(found[:-1], found[1:])
-            out.append(_keys(np.unique(least[least == found]), j, part))
-    return np.unique(np.concatenate(out))
-
-
-def _documents(bits, lengths: list[int], classes: list[int]):
+    at = np.flatnonzero(hit)
+    for part in classes:
+        width = 2 << part
+        last = (len(shingles) - 1) // width
+        blocks = np.unique(np.concatenate([at // width, at // width - 1]))
+        blocks = blocks[blocks >= 0]
+        cells = np.unique(np.concatenate([blocks, np.minimum(blocks + 1, last)]))
+        step = max(1, PIECE // width)
+        pieces = [_minima(shingles, hit, cells[i : i + step], width) for i in range(0, len(cells), step)]
+        least, found = (np.concatenate(x, axis=1) for x in zip(*pieces))
+        own, after = np.searchsorted(cells, blocks), np.searchsorted(cells, np.minimum(blocks + 1, last))
+        least = np.minimum(least[:, own], least[:, after])
+        found = np.minimum(found[:, own], found[:, after])
+        out.append(_keys(least, part)[least == found])
+    return out
+
+
+def _minima(shingles: np.ndarray, hit: np.ndarray, cells: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash (rows) and cell: the minimum over all shingles, and over those that are in the filter."""
+    place = (cells[:, None] * width + np.arange(width)).ravel()
+    place = place[place < len(shingles)]
+    starts = np.searchsorted(place, cells * width)
+    value = shingles[place] * _MULTIPLY[:, None] + _ADD[:, None]
+    wanted = np.where(hit[place], value, np.uint64(0xFFFFFFFFFFFFFFFF))
+    return np.minimum.reduceat(value, starts, axis=1), np.minimum.reduceat(wanted, starts, axis=1)
+
+
+def _documents(bits, lengths: list[int], classes: list[int], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits.value, np.uint64)
         mask = np.uint64((1 << BITS) - 1)
@@ -89,9 +103,12 @@ def _documents(bits, lengths: list[int], classes: list[int]):
                         continue
                     hit = np.zeros(high - low, bool)
                     hit[here - low] = True
-                    found.append(all_[here])
-                    keys.append(_blocks(all_[low:high], hit, classes if k == K else [0]))
-                if found:
+                    own = np.unique(all_[here])
+                    found.append(own)
+                    # An item of partition c needs so many of its 2 ** c or more shingles in the text.
+                    able = [c for c in (classes if k == K else [0]) if 100 * len(own) >= percent << c]
+                    keys += _blocks(all_[low:high], hit, able)
+                if keys:
                     rows.append((i, np.unique(np.concatenate(found)), np.unique(np.concatenate(keys))))
             if rows:
                 take = pa.array([r[0] for r in rows])
@@ -124,7 +141,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = 75) ->
 
     1. Items are partitioned by the size of their shingle set and keep their minima under `HASHES` universal hashes.
     2. A whole long document shares too little with a short item for MinHash, so documents are cut into overlapping blocks that fit each partition;
-       the similarity to an item that a block contains to 75 percent is then at least 0.17, and all minima miss it once in 1e10.
+       the similarity to an item that a block contains to 75 percent is then at least 0.17, and all minima miss it once in 1e5, and an equal passage (0.25) once in 1e8.
     3. Equal minima make candidates; each is verified by exact containment in the whole document.
 
     A bit filter of fixed size over all item shingles goes to the tasks first; documents without any such shingle end
@@ -148,7 +165,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = 75) ->
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     found = written(
-        named.mapInArrow(_documents(bits, lengths, classes), "doc_id long, text_hash long, hits array<long>, keys array<long>").withColumn(
+        named.mapInArrow(_documents(bits, lengths, classes, percent), "doc_id long, text_hash long, hits array<long>, keys array<long>").withColumn(
             "row", F.monotonically_increasing_id()
         ),
         "blocks",
