@@ -1,5 +1,5 @@
 import gzip
-import hashlib
+import re
 from collections import Counter
 
 import pytest
@@ -49,7 +49,7 @@ def test_payloads_filters_and_rolling_files(spark, pages, tmp_path):
     assert got["urn:page:6"] == PAGES[5][2].encode() and got["urn:page:7"] == b"x\r\n\r\ny" and got["urn:page:9"] == b"<p>one</p>"
     assert back.where("record_type = 'revisit' AND target_uri LIKE 'http://a/%'").count() == 2
     plan = back.where("record_type = 'revisit'").select("record_id")._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan  # decided by the source
+    assert not re.search(r"^\W*(\*\(\d+\) )?Filter", plan, re.M)  # decided by the source
     raw = b"".join(gzip.decompress((tmp_path / "w" / n).read_bytes()) for n in names)
     assert raw.count(b"WARC/1.1\r\n") == len(PAGES) and b"\r\n3\r\n" not in raw
 
@@ -81,8 +81,7 @@ def test_damage_is_found(spark, pages, tmp_path):
     A.write_pages(pages.where("page_id = 1"), str(folder))
     name = A.files(str(folder))[0][0]
     data = bytearray((folder / name).read_bytes())
-    at = data.find(hashlib.sha1(b"").digest()) if False else len(data) - 9
-    data[at] ^= 0xFF
+    data[len(data) - 9] ^= 0xFF  # in the packed text
     (folder / name).write_bytes(bytes(data))
     with pytest.raises(Exception):
         spark.read.format("warc").option("verify", "true").load(str(folder)).collect()
