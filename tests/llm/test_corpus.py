@@ -112,6 +112,35 @@ def test_passages_inside_near_copies(docs_of, prose_of):
     assert all(r["first_word"] <= 101 and r["last_word"] >= 168 for r in got)
 
 
+def test_passages_with_inserted_and_replaced_runs():
+    rng = random.Random(8)
+    fresh = lambda n: [rng.randrange(1 << 60) for _ in range(n)]
+    grams = lambda ws: np.array([hash(tuple(ws[i : i + 5])) & ((1 << 62) - 1) for i in range(len(ws) - 4)], np.uint64)
+    tried = 0
+    for size in (8, 12, 16, 20, 25):
+        for n in range(56, 190, 12):
+            for share in (0.3, 0.5, 0.7):
+                for left_out in (0, size):
+                    passage, at = fresh(n), int(n * share)
+                    changed = passage[:at] + fresh(size) + passage[at + left_out :]
+                    p, q = grams(passage), grams(changed)
+                    both = len(set(p.tolist()) & set(q.tolist()))
+                    if len(changed) < n or 100 * both < 75 * (len(p) + len(q) - both):
+                        continue
+                    tried += 1
+                    found = P.common_passages(grams(fresh(40) + passage + fresh(40)), grams(fresh(60) + changed + fresh(60)), 46, 75)
+                    assert [r[:4] for r in found] == [(40, 39 + len(p), 60, 59 + len(q))], (size, n, share, left_out)
+    assert tried > 100
+
+
+def test_passage_with_inserted_run_is_found(docs_of, prose_of):
+    passage, more = prose_of(97, 90).split(), prose_of(98, 10).split()
+    changed = " ".join(passage[:45] + more + passage[45:])
+    rows = [(1, prose_of(800, 150) + " " + " ".join(passage) + " " + prose_of(801, 80)), (2, prose_of(802, 60) + " " + changed + " " + prose_of(803, 90))]
+    got = {(r["doc_id"], r["first_word"], r["last_word"]) for r in P.repeated_passages(docs_of(rows)).collect()}
+    assert got == {(1, 150, 239), (2, 60, 159)}
+
+
 def held(doc_id):
     return doc_id is not None and binascii.crc32(str(doc_id).encode()) % 7 == 2
 
