@@ -141,6 +141,22 @@ def test_passage_with_inserted_run_is_found(docs_of, prose_of):
     assert got == {(1, 150, 239), (2, 60, 159)}
 
 
+def test_passages_repeated_in_each_document(docs_of, prose_of):
+    rows, want = [], set()
+    for i in range(16):  # whichever document has the smaller hash
+        passage = prose_of(5000 + i, 60)
+        often = [x for j in range(4) for x in (prose_of(6000 + 10 * i + j, 300), passage)]
+        rows += [(2 * i, " ".join(often)), (2 * i + 1, prose_of(7000 + i, 100) + " " + passage + " " + prose_of(8000 + i, 100))]
+        want |= {(2 * i, 300 + 360 * j) for j in range(4)} | {(2 * i + 1, 100)}
+    docs = docs_of(rows)
+    uids = {r["doc_id"]: r["uid"] for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid")).collect()}
+    assert {uids[2 * i] < uids[2 * i + 1] for i in range(16)} == {True, False}
+    got = P.repeated_passages(docs).collect()
+    assert {(r["doc_id"], r["first_word"]) for r in got} == want
+    apart = P.repeated_passages(docs.repartition(32, "doc_id")).collect()
+    assert {(r["doc_id"], r["first_word"]) for r in apart} == want
+
+
 def held(doc_id):
     return doc_id is not None and binascii.crc32(str(doc_id).encode()) % 7 == 2
 
