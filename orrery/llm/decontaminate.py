@@ -12,7 +12,7 @@ from orrery.llm import words as T
 from orrery.sources.storage import written
 
 K = 5  # words of a shingle
-HASHES = 64
+HASHES = 128
 PIECE = 1 << 14  # shingles hashed at once
 BITS = 24  # the filter of item shingles has 2 ** BITS bits (2 MB) whatever the number of items
 
@@ -141,7 +141,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = 75) ->
 
     1. Items are partitioned by the size of their shingle set and keep their minima under `HASHES` universal hashes.
     2. A whole long document shares too little with a short item for MinHash, so documents are cut into overlapping blocks that fit each partition;
-       the similarity to an item that a block contains to 75 percent is then at least 0.17, and all minima miss it once in 1e5, and an equal passage (0.25) once in 1e8.
+       the similarity to an item that a block contains to 75 percent is then at least 0.17, and all minima miss it once in 2e10, and an equal passage (0.25) once in 1e16.
     3. Equal minima make candidates; each is verified by exact containment in the whole document.
 
     A bit filter of fixed size over all item shingles goes to the tasks first; documents without any such shingle end
