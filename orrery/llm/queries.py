@@ -8,6 +8,7 @@ from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quali
 from orrery.llm import token_counts as C
 from orrery.llm.lm_score import lm_scores
 from orrery.llm.substring_dedup import repeated_passages
+from orrery.llm.token_files import token_round_trip
 from orrery.llm.warc import round_trip
 from orrery.llm.near_dedup import near_duplicates
 from orrery.plans.registry import Tables, query
@@ -247,7 +248,17 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(Tables(spark, sf_dir).pages)
 
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZERS = "orrery.tokenizers"  # setting: the folder of the vocabulary files
+
+
+def vocabulary(spark: SparkSession, name: str) -> str:
+    """The path of a public tokenizer's file, in the folder of the setting or where the installed package has it."""
+    folder = spark.conf.get(TOKENIZERS, None)
+    if folder:
+        return f"{folder.rstrip('/')}/{name}"
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 @query()
@@ -257,9 +268,14 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.context_table(C.length_histogram(Tables(spark, sf_dir).documents, VOCABULARY))
+    return C.context_table(C.length_histogram(Tables(spark, sf_dir).documents, vocabulary(spark, "byte_bpe_50k.tiktoken")))
 
 
 @query()
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(Tables(spark, sf_dir).documents)
+
+
+@query()
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(Tables(spark, sf_dir).documents, vocabulary(spark, "byte_bpe_50k.json"))
