@@ -1,8 +1,10 @@
 """Texts cut where no tokenizer merges across, so that each distinct segment is encoded once per worker.
 
 A byte-level tokenizer splits a text by a pattern in which a space can only begin a piece or stand inside a run of white space.
-So a space after a character that is no white space always begins a piece. Cuts are made before spaces that follow
-U+0021..U+007E or U+00C0..U+07FF, where no version of Unicode has white space. Text without such spaces stays in one segment.
+So white space after a character that is none always begins a piece, and so does a mark after a letter or digit. Cuts are made
+before spaces that follow U+0021..U+007E or U+00C0..U+07FF, where no version of Unicode has white space. Where the pattern alone decides, they
+are also made before other ASCII white space there, and before ASCII marks but the apostrophe after ASCII letters and digits and U+00C0..U+00FF but
+the two signs among them. Text without such places stays in one segment.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from orrery.llm import words as T
 FILE_LIMIT = 64 << 20  # bytes of a vocabulary file that is sent to the tasks
 MOST = 1 << 20  # distinct segments remembered by a worker
 MOST_BYTES = 64 << 20  # and their bytes, unless one chunk of texts has more
-FIRST = b"\xff"  # marks a segment without the space that the others begin with; no UTF-8 text has this byte
+BATCH = 1 << 13  # segments encoded at once
 
 
 def read_file(spark: SparkSession, path: str) -> bytes:
@@ -32,35 +34,41 @@ def read_file(spark: SparkSession, path: str) -> bytes:
     return bytes(row["content"])
 
 
-def cut(texts: pa.Array, spaced: bool = False) -> tuple[list[bytes], np.ndarray]:
-    """The segments of all texts, and how many each text has; a null or empty text has none.
+def cut(texts: pa.Array, marks: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """The segments of all texts as a binary array, and how many each text has; a null or empty text has none.
 
-    A segment stands for a space and its bytes. The first one of a text stands for its bytes alone and begins with `FIRST`,
-    unless `spaced` says that a space comes before the text too."""
+    `marks`: cut at all the places above, otherwise before spaces only."""
     data, at = T.text_bytes(texts)
-    last = data[:-1]
-    solid = (last > 0x20) & (last < 0x7F)
-    solid[1:] |= (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
-    here = (data[1:] == 0x20) & solid
-    data = data.copy()
-    data[1:][here] = 0xFF
-    whole = data.tobytes()
-    found: list[list[bytes]] = []
-    for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
-        if low == high:
-            found.append([])
-            continue
-        # A text may begin with a space that follows the end of the text before it.
-        parts = whole[low:high].split(b"\xff") if whole[low] != 0xFF else (b" " + whole[low + 1 : high]).split(b"\xff")
-        if not spaced:
-            parts[0] = FIRST + parts[0]
-        found.append(parts)
-    return list(chain.from_iterable(found)), np.fromiter(map(len, found), np.int64, len(found))
-
-
-def plain(segment: bytes) -> str:
-    """The text that a segment stands for."""
-    return segment[1:].decode() if segment[:1] == FIRST else " " + segment.decode()
+    if not len(data):
+        return pa.array([], pa.binary()), np.zeros(len(at) - 1, np.int64)
+    last, now = data[:-1], data[1:]
+    two = np.zeros(len(last), bool)  # a character of two bytes ends here
+    two[1:] = (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
+    solid = two | ((last > 0x20) & (last < 0x7F))
+    if marks:
+        latin = np.zeros(len(last), bool)
+        latin[1:] = (data[:-2] == 0xC3) & (last[1:] != 0x97) & (last[1:] != 0xB7)
+        here = solid & _WHITE[now] | (latin | _ALNUM[last]) & _MARK[now]
+    else:
+        here = solid & (now == 0x20)
+    begins = np.zeros(len(data), bool)
+    begins[1:] = here
+    begins[at[:-1][at[:-1] < at[1:]]] = True
+    starts = np.flatnonzero(begins)
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    whole = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return whole, np.diff(np.searchsorted(starts, at))
+
+
+def _table(codes: Iterable[int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(codes)] = True
+    return out
+
+
+_WHITE = _table([0x20, *range(0x09, 0x0E)])
+_ALNUM = _table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+_MARK = _table(set(range(0x21, 0x7F)) - set(np.flatnonzero(_ALNUM).tolist()) - {0x27})
 
 
 class Ragged:
@@ -107,16 +115,18 @@ class Memo:
         self.number: dict[bytes, int] = {}
         self.held = 0
 
-    def numbers(self, segments: Sequence[bytes]) -> np.ndarray:
+    def numbers(self, segments: pa.Array) -> np.ndarray:
+        coded = segments.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.number) > self.most or self.held > MOST_BYTES:
             self.number, self.held = {}, 0
             self.reset()
-        new = list(set(segments).difference(self.number))
+        new = [x for x in distinct if x not in self.number]
         if new:
             self.learn(new)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             self.held += sum(map(len, new))
-        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
+        return np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
 
 
 def tokenizer(file: bytes, specials_as_text: bool):
@@ -135,11 +145,14 @@ def tokenizer(file: bytes, specials_as_text: bool):
     return made, bool(cuts)
 
 
-def encode_each(made, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+def encode_each(made, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts by the library, one after another, and how many each has."""
-    ids = [e.ids for e in made.encode_batch_fast(list(texts), add_special_tokens=False)]
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
+    ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for low in range(0, len(texts), BATCH):
+        found = [e.ids for e in made.encode_batch_fast(texts[low : low + BATCH], add_special_tokens=False)]
+        counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+        ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+    return np.concatenate(ids), np.concatenate(counts)
 
 
 class Encoder:
@@ -154,13 +167,13 @@ class Encoder:
         self.known = Ragged(np.uint32)
 
     def _learn(self, new: Sequence[bytes]) -> None:
-        self.known.add(*encode_each(self.made, map(plain, new)))
+        self.known.add(*encode_each(self.made, [x.decode() for x in new]))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has; a null or empty text has none."""
         if not self.cuts:
             return encode_each(self.made, texts.fill_null("").to_pylist())
-        segments, counts = cut(texts)
+        segments, counts = cut(texts, marks=True)
         ids, sizes = self.known.take(self.memo.numbers(segments))
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])

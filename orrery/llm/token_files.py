@@ -41,6 +41,7 @@ FILE_IDS, FILE_DOCS = 1 << 28, 1 << 20  # a file is closed beyond either
 TASK_IDS = 1 << 25  # ids of a read task, unless one document has more
 BATCH_IDS = 1 << 20  # ids of a batch, unless one document has more
 LEVEL = 3
+CHUNK = 4 << 20  # bytes of texts encoded at once, unless one text has more
 
 
 # ---- planes
@@ -315,7 +316,7 @@ def token_rows(docs: DataFrame, vocabulary: str, end: int = 0, specials_as_text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared.value, vocabulary, specials_as_text)
-        for part in T.slices(batches, "text"):
+        for part in T.slices(batches, "text", CHUNK):
             ids, counts = encode(part.column("text"))
             ids = np.insert(ids, np.cumsum(counts), end)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), _binary(ids, counts + 1)], ["doc_id", "ids"])
