@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
 from orrery.llm import token_counts as C
 from orrery.llm.lm_score import lm_scores
+from orrery.llm.spelling import spelling_variants
 from orrery.llm.substring_dedup import repeated_passages
 from orrery.llm.token_files import token_round_trip
 from orrery.llm.warc import round_trip
@@ -279,3 +280,37 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(Tables(spark, sf_dir).documents, vocabulary(spark, "byte_bpe_50k.json"))
+
+
+# The checksum byte by byte; a run of these letters has one byte a code point below 128 and two otherwise.
+SPELLING_SQL = rf"""
+WITH RECURSIVE k AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all({LOWERED}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+g AS (SELECT d, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY ALL),
+b AS (
+  SELECT run, n, flatten(list_transform(string_split(d || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+    ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes FROM g),
+h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, k),
+s AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+i AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+o AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM i),
+e AS (
+  SELECT x.word AS a, y.word AS b FROM o x JOIN o y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT o.word, v.word FROM o JOIN v ON v.word = o.a || o.z
+  UNION SELECT v.word, o.word FROM o JOIN v ON v.word = o.a || o.z),
+f AS (SELECT e.a AS word, count(*) AS n_near, min((-v.n, v.word)) AS best FROM e JOIN v ON v.word = e.b GROUP BY e.a),
+w AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * v.n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * v.n THEN -best[1] END AS form_n
+  FROM v LEFT JOIN f USING (word)),
+c AS (SELECT word, word AS root, form FROM w UNION ALL SELECT c.word, w.word, w.form FROM c JOIN w ON w.word = c.form)
+SELECT word, w.form, root, n, n_near, form_n FROM w JOIN c USING (word) WHERE c.form IS NULL
+"""
+
+
+@query(SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(Tables(spark, sf_dir).documents, spoil=97)

@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from orrery.llm import words as T
 
 FILE_LIMIT = 64 << 20  # bytes of a vocabulary file that is sent to the tasks
-MOST = 1 << 20  # distinct segments remembered by a worker
+MOST = 1 << 18  # distinct segments remembered by a worker
 MOST_BYTES = 64 << 20  # and their bytes, unless one chunk of texts has more
 BATCH = 1 << 13  # segments encoded at once
 
