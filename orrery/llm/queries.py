@@ -287,7 +287,7 @@ SPELLING_SQL = rf"""
 WITH RECURSIVE k AS (
   SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
 r AS (
-  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all({LOWERED}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all({LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
 g AS (SELECT d, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY ALL),
 b AS (
   SELECT run, n, flatten(list_transform(string_split(d || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
