@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
+from orrery.llm import align as A, decontaminate as D, license_scan as L, mixing as M, quality_rules as R, secret_scan as S
 from orrery.llm import token_counts as C
 from orrery.llm.lm_score import lm_scores
 from orrery.llm.spelling import spelling_variants
@@ -314,3 +314,8 @@ SELECT word, w.form, root, n, n_near, form_n FROM w JOIN c USING (word) WHERE c.
 @query(SPELLING_SQL)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(Tables(spark, sf_dir).documents, spoil=97)
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.aligned_tokens(Tables(spark, sf_dir).documents, vocabulary(spark, "byte_bpe_50k.json"), vocabulary(spark, "piece_bpe_32k.model"))

@@ -115,10 +115,11 @@ class Memo:
         self.number: dict[bytes, int] = {}
         self.held = 0
 
-    def numbers(self, segments: pa.Array) -> np.ndarray:
+    def numbers(self, segments: pa.Array, keep: bool = False) -> np.ndarray:
+        """The number of each segment. `keep`: numbers given before stay good."""
         coded = segments.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.number) > self.most or self.held > MOST_BYTES:
+        if not keep and (len(self.number) > self.most or self.held > MOST_BYTES):
             self.number, self.held = {}, 0
             self.reset()
         new = [x for x in distinct if x not in self.number]
