@@ -161,6 +161,7 @@ class Encoder:
 
     def __init__(self, file: bytes, specials_as_text: bool = False, most: int = MOST) -> None:
         self.made, self.cuts = tokenizer(file, specials_as_text)
+        self.specials = [] if specials_as_text else [t.content.encode() for t in self.made.get_added_tokens_decoder().values()]
         self.known = Ragged(np.uint32)
         self.memo = Memo(self._learn, self._reset, most)
 
@@ -174,7 +175,9 @@ class Encoder:
         """The ids of all texts one after another, and how many each has; a null or empty text has none."""
         if not self.cuts:
             return encode_each(self.made, texts.fill_null("").to_pylist())
-        segments, counts = cut(texts, marks=True)
-        ids, sizes = self.known.take(self.memo.numbers(segments))
+        whole = T.text_bytes(texts)[0].tobytes()
+        segments, counts = cut(texts, marks=not any(x in whole for x in self.specials))  # a cut at a mark may split one
+        numbers = self.memo.numbers(segments)  # may replace what is known
+        ids, sizes = self.known.take(numbers)
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(counts)])])
