@@ -237,3 +237,16 @@ def test_jumping_labels_components():
 
 def test_no_documents_align_to_nothing(docs_of):
     assert A.aligned_tokens(docs_of([]), BYTE, PIECE).count() == 0
+
+
+def test_lengths_of_long_runs_equal_another_library():
+    from orrery.llm import token_counts as C
+
+    own = C.Counter(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), C.PATTERN)
+    made, _ = S.tokenizer(open(BYTE, "rb").read(), True)
+    texts = [*HARD, None]
+    for run in (" " * 999, " " * 1000, "\n" * 1001, " \n" * 3000, "　\xa0" * 700, "\x1c" * 1500, "\t" * 5000):
+        texts += [run, "a" + run, run + "b", f"a {run} b{run}{run}c", f"x{run}\x1c{run}'s", f"é{run}!"]
+    texts.append(" " * 3_000_000 + "z" * 1_000_000 + "\n" * 1_000_000)
+    got = own(pa.array(texts, pa.string())).tolist()
+    assert got == [len(made.encode(t or "", add_special_tokens=False).ids) for t in texts]
