@@ -33,7 +33,7 @@ MORE = {
 HINTS = {
     "private_key": ["-----BEGIN "],
     "prefixed": ["ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "AIza", "sk_live_"],
-    "signed": ["eyJ"],
+    "signed": [".eyJ"],
     "address": ["://"],
     "mixed": [],
 }
@@ -47,8 +47,61 @@ SPAN = "struct<kind:int,start:int,end:int,value:string,live:boolean>"
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _ASSIGN, _ACCESS, _HEX = re.compile(ASSIGN), re.compile(ACCESS), re.compile(HEX)
-_MORE = [(k, re.compile(p), HINTS[k]) for k, p in MORE.items()]
 _NEEDS = [re.compile(p) for p in MIXED_NEEDS]
+# The same matches as in `MORE` found from their middle, since a search from each possible start is quadratic in long runs.
+_SIGNED_REST = re.compile(r"\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
+_ADDRESS_REST = re.compile(r"://[^\x20\t\r\n:/@]++:([^\x20\t\r\n:/@]{6,}+)@")
+_SIGNED_BEFORE = re.compile(r"[^A-Za-z0-9_-]")
+_SCHEME_BEFORE = re.compile(r"[^a-z0-9+.-]")
+_LOOK = 1 << 10  # characters looked back at once
+
+
+def _run_start(text: str, end: int, low: int, other: re.Pattern[str]) -> int:
+    """Where the run of characters that are not `other` and that ends before `end` starts, not before `low`."""
+    while end > low:
+        begin = max(low, end - _LOOK)
+        last = None
+        for last in other.finditer(text, begin, end):
+            pass
+        if last is not None:
+            return last.end()
+        end = begin
+    return low
+
+
+def _signed(text: str) -> Iterator[tuple[int, int, str]]:
+    """Matches of `signed`: three runs joined by dots; the first has the header of a match at its first place with 8 characters after it."""
+    low = at = 0
+    while m := _SIGNED_REST.search(text, at):
+        start = text.find("eyJ", _run_start(text, m.start(), low, _SIGNED_BEFORE), max(0, m.start() - 8))
+        if start < 0:
+            at = m.start() + 1
+        else:
+            yield start, m.end(), text[start : m.end()]
+            low = at = m.end()
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Matches of `address`: from the first letter of the scheme's run."""
+    low = at = 0
+    while m := _ADDRESS_REST.search(text, at):
+        start = _run_start(text, m.start(), low, _SCHEME_BEFORE)
+        while start < m.start() and not "a" <= text[start] <= "z":
+            start += 1
+        if start == m.start():
+            at = m.start() + 1
+        else:
+            yield start, m.end(), m[1]
+            low = at = m.end()
+
+
+def _by_pattern(pattern: re.Pattern[str]):
+    return lambda text: ((m.start(), m.end(), m[0]) for m in pattern.finditer(text))
+
+
+_FINDERS = [
+    (k, {"signed": _signed, "address": _addresses}.get(k) or _by_pattern(re.compile(p)), HINTS[k]) for k, p in MORE.items()
+]
 
 
 def looks_live(value: str) -> bool:
@@ -61,7 +114,7 @@ def looks_live(value: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
-    """`(kind, start, end, value)` of every match, in code points."""
+    """`(kind, start, end, value)` of every match, in code points; the time grows with the length of the text."""
     out = []
     low = text.translate(_LOWER)
     if any(k in low for k in KEYWORDS):
@@ -71,9 +124,9 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         out += [(1, m.start(), m.end(), m[0]) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [(2, m.start(), m.end(), m[0]) for m in _HEX.finditer(text)]
-    for kind, (name, pattern, hints) in enumerate(_MORE, len(BASE_KINDS)):
+    for kind, (name, find, hints) in enumerate(_FINDERS, len(BASE_KINDS)):
         if not hints or any(h in text for h in hints):
-            hits = [(kind, m.start(), m.end(), m[m.lastindex or 0]) for m in pattern.finditer(text)]
+            hits = [(kind, *m) for m in find(text)]
             out += [h for h in hits if name != "mixed" or all(p.search(h[3]) for p in _NEEDS)]
     return sorted(out)
 
@@ -113,7 +166,8 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
 
     Values leave the text only as SHA-256. Verdicts: `copied` if at least `owners` owners hold the value, else
     `live` if it looks like a credential, else `unclear`. Where the corpus has no repositories each document is one, and its
-    source is the owner. Null texts count as empty. Texts are scanned once and not shuffled; spans are."""
+    source is the owner. Null texts count as empty, repeated rows as one repository each time; no documents, no rows. Texts are scanned once,
+    whole and in time that grows with their length, and not shuffled; spans are."""
     named = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col(owner).cast("string").alias("owner"),
@@ -134,7 +188,9 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     salted = wide.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     # Documents without a candidate have no value; their row number keeps them from meeting in one task.
     keyed = single.withColumn("value", F.coalesce("value", F.col("row").cast("string")))
-    known = keyed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).join(salted, ["value", "salt"], "left")
+    known = keyed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).join(
+        salted.hint("merge"), ["value", "salt"], "left"  # as many values as the corpus has: never broadcast
+    )
     held = F.coalesce("owners", F.lit(1).cast("long"))
     verdict = F.when(held >= owners, "copied").when(F.col("live"), "live").otherwise("unclear")
     span = F.struct(

@@ -127,3 +127,32 @@ def test_contained_items(spark, docs_of, odd, prose_of):
     got = D.contained_items(docs_of(rows), table).select("doc_id", "item_id", "n_item", "n_shared").collect()
     assert {tuple(r) for r in got} == want and {20, 21, 22, 24, 25} <= {w[0] for w in want}
     assert D.contained_items(docs_of(rows), table.limit(0)).count() == 0 and D.contained_items(docs_of([]), table).count() == 0
+
+
+def test_finders_equal_their_patterns_and_take_long_runs():
+    import random
+    import re
+    import time
+
+    from orrery.llm import secret_scan as S
+
+    rng = random.Random(8)
+    pieces = ["eyJ", "eyJ", ".", ".", "://", "://", ":", "@", "/", " ", "a", "b2", "+", "A_", "-", "q" * 9, "eyJabcdefgh", "user", "\n", "é", "9"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(3, 24)))
+        for name, find in (("signed", S._signed), ("address", S._addresses)):
+            want = [(m.start(), m.end(), m[m.lastindex or 0]) for m in re.finditer(S.MORE[name], text)]
+            assert list(find(text)) == want, text
+    n = 4_000_000
+    for text in ("://" + "a" * n, "a" * n + "://", "eyJ" * (n // 3) + ".eyJ", ".eyJ" * (n // 4), "a://b:" * (n // 6), ("x" * 50 + "://") * (n // 53),
+                 "eyJ" + "a" * n + ".eyJ" + "b" * n + "." + "c" * n, "q" * n + "://" + "u" * 9 + ":" + "p" * n + "@"):
+        start = time.process_time()
+        found = S._signed(text), S._addresses(text)
+        assert [len(list(f)) for f in found] in ([0, 0], [1, 0], [0, 1])
+        assert time.process_time() - start < 20
+
+
+def test_no_documents_have_no_secrets(docs_of):
+    from orrery.llm import secret_scan as S
+
+    assert S.secret_report(docs_of([])).count() == 0
