@@ -13,9 +13,8 @@ from orrery.llm import words as T
 from orrery.llm.license_texts import NOTICES, PHRASES
 
 K = 3  # words of a gram: the shortest phrase
-GAP = 3  # diagonals this close are one place: so many words may be added or left out at a spot
 COVER = 0.7  # share of a notice's grams that must be there
-STRETCH = 1.5  # a found place is at most so many times as long as the notice
+STRETCH = 1.5  # within a window of so many times the notice's length
 SMALL = 100_000  # grams of templates that are broadcast; more are joined by shuffle
 DOCUMENT = 0  # the gram that stands for the document itself
 KEY = ["doc_id", "text_hash", "n_words"]
@@ -92,9 +91,13 @@ def license_places(docs: DataFrame, given: Sequence[Template] | None = None, k:
 
     1. All rolling word `k`-grams of every document meet the template positions in a join on the gram's hash;
        the words of each hit are then compared, so a hash collision is no hit.
-    2. Hits vote for their diagonal, the word's place less the template's. Diagonals at most `GAP` apart (a phrase: 0)
-       are one place.
-    3. A place is verified: a phrase needs all its grams, a notice `COVER` of them within `STRETCH` times its length.
+    2. Hits vote for their diagonal, the word's place less the template's. Neighbouring diagonals are one place: those that hits
+       of one window can have, so words may be added, left out or moved inside it (a phrase: no others).
+    3. A place is verified: a phrase needs all its grams, a notice `COVER` of them within a window of `STRETCH` times its length.
+       `first` and `last` are those of the phrase or of the window that holds most grams, `cover` their share.
+
+    Windows are swept, not tried: a hit counts for the starts from which it is inside and the first of its gram, so each hit is two
+    events and the votes of all starts are their running sum. Empty texts and tables have no places; a long text is many rows.
 
     A document also hits the template -1 once, so each document has a row; `copies` counts equal rows
     `(doc_id, text)`, which are scanned as one. At most `SMALL` template grams are broadcast; more are
@@ -120,19 +123,31 @@ def license_places(docs: DataFrame, given: Sequence[Template] | None = None, k:
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("diagonal", F.col("pos") - F.col("place"))
     )
+    window = F.floor(F.lit(STRETCH) * F.col("length")).cast("int")
     along = W.partitionBy(*KEY, "template").orderBy("diagonal", "pos")
-    apart = F.col("diagonal") - F.lag("diagonal").over(along) > F.when(F.col("exact"), 0).otherwise(GAP)
+    apart = F.col("diagonal") - F.lag("diagonal").over(along) > F.when(F.col("exact"), 0).otherwise(window - k + F.col("grams"))
     merged = hits.withColumn("new", F.coalesce(apart.cast("int"), F.lit(0))).withColumn("at", F.sum("new").over(along))
-    places = merged.groupBy(*KEY, "template", "label", "exact", "grams", "length", "at").agg(
+    place = [*KEY, "template", "label", "exact", "grams", "length", "at"]
+    phrases = merged.where("exact").groupBy(*place).agg(
         F.max("copies").alias("copies"),
         F.min("pos").cast("long").alias("first"),
         (F.max("pos") + k - 1).cast("long").alias("last"),
-        F.size(F.collect_set("place")).alias("votes"),
+        F.size(F.collect_set("place")).cast("long").alias("votes"),
+    )
+    again = F.lag("pos").over(W.partitionBy(*place, "place").orderBy("pos"))
+    event = lambda at, n: F.struct(at.alias("start"), F.lit(n).alias("n"))
+    enters = F.greatest(again + 1, F.col("pos") - (window - k))
+    events = (
+        merged.where(~F.col("exact")).withColumn("e", F.array(event(enters, 1), event(F.col("pos") + 1, -1)))
+        .select(*place, "copies", F.explode("e").alias("e")).groupBy(*place, "e.start").agg(F.sum("e.n").alias("n"), F.max("copies").alias("copies"))
     )
-    enough = F.when(F.col("exact"), F.col("votes") == F.col("grams")).otherwise(
-        (F.col("votes") >= COVER * F.col("grams")) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("length"))
+    swept = W.partitionBy(*place).orderBy("start")
+    votes = events.select(*place, "copies", F.sum("n").over(swept).alias("votes"), (F.lead("start").over(swept) - 1).cast("long").alias("first"))
+    notices = votes.groupBy(*place).agg(F.max("copies").alias("copies"), F.max(F.struct("votes", -F.col("first"))).alias("b")).select(
+        *place, "copies", (-F.col("b.col2")).alias("first"), F.least(window - F.col("b.col2"), F.col("n_words")) - 1, F.col("b.votes").alias("votes")
     )
-    return places.select(
+    enough = F.when(F.col("exact"), F.col("votes") == F.col("grams")).otherwise(F.col("votes") >= COVER * F.col("grams"))
+    return phrases.select(*place, "copies", "first", "last", "votes").union(notices).select(
         *KEY, "copies", "template", "label", "exact", "first", "last", (F.col("votes") / F.col("grams")).alias("cover"), enough.alias("found")
     )
 

@@ -57,16 +57,13 @@ g AS (
   SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + {L.K - 1}], ' ') AS gram
   FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - {L.K - 1})) AS i FROM w)),
 h AS (SELECT doc_id, pos, pos - place AS diagonal, t.* FROM g JOIN t USING (gram)),
-m AS (
-  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos) AS spot
-  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal, pos)
-      > CASE WHEN exact THEN 0 ELSE {L.GAP} END THEN 1 ELSE 0 END AS new FROM h)),
 p AS (
-  SELECT doc_id, label, exact, grams, length, min(pos) AS first, max(pos) + {L.K - 1} AS last, count(DISTINCT place) AS votes
-  FROM m GROUP BY doc_id, template, label, exact, grams, length, spot),
-f AS (
-  SELECT *, CASE WHEN exact THEN votes = grams
-    ELSE votes >= {L.COVER} * grams AND last - first + 1 <= {L.STRETCH} * length END AS found FROM p)
+  SELECT doc_id, label, exact, grams, min(pos) AS first, count(DISTINCT place) AS votes FROM h
+  WHERE exact GROUP BY doc_id, template, label, exact, grams, diagonal
+  UNION ALL SELECT a.doc_id, a.label, a.exact, a.grams, a.pos, count(DISTINCT b.place) FROM h a JOIN h b
+    ON a.doc_id = b.doc_id AND a.template = b.template AND b.pos >= a.pos AND b.pos + 3 - a.pos <= 1.5 * a.length
+  WHERE NOT a.exact GROUP BY a.doc_id, a.template, a.label, a.exact, a.grams, a.pos),
+f AS (SELECT *, votes >= CASE WHEN exact THEN 1 ELSE 0.7 END * grams AS found FROM p)
 SELECT w.doc_id, len(any_value(ws)) AS n_words, count(*) FILTER (found AND exact) AS n_base,
   min(first) FILTER (found AND exact) AS first_word, max(first) FILTER (found AND exact) AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found AND exact), '') AS base_labels,

@@ -156,3 +156,47 @@ def test_no_documents_have_no_secrets(docs_of):
     from orrery.llm import secret_scan as S
 
     assert S.secret_report(docs_of([])).count() == 0
+
+
+def test_changed_notices_keep_their_label(docs_of):
+    import random
+
+    from orrery.llm import license_scan as L
+
+    rng = random.Random(3)
+    notices = [t for t in L.templates() if not t.exact]
+    rows, want, at = [], {}, 0
+
+    def add(words, label):
+        nonlocal at
+        at += 1
+        before, after = (" ".join(f"v{rng.randrange(900)}" for _ in range(rng.randrange(200))) for _ in "ab")
+        rows.append((at, f"{before} {' '.join(words)} {after}"))
+        want[at] = label
+
+    for t in notices:
+        grams = len(t.words) - L.K + 1
+        for n in (4, 9, 17, 25):
+            for place in range(10):
+                cut = len(t.words) * place // 10
+                longer = t.words[:cut] + [f"u{i}" for i in range(n)] + t.words[cut:]
+                if len(longer) <= L.STRETCH * len(t.words) and grams - L.K + 1 >= L.COVER * grams:
+                    add(longer, t.label)
+                if grams - n - L.K + 1 >= L.COVER * grams:
+                    add(t.words[:cut] + t.words[cut + n :], t.label)
+        add(t.words * 3, t.label)
+        add(t.words[int(len(t.words) * 0.6) :], None)
+    got = {r["doc_id"]: r["labels"].split(",") for r in L.license_labels(docs_of(rows)).collect()}
+    others = {t.label for t in notices}
+    wrong = [(d, label, got[d], rows[d - 1][1][:300]) for d, label in want.items() if not (label in got[d] if label else not others & set(got[d]))]
+    assert not wrong
+    mit = next((t for t in notices if t.label == "mit"), None)
+    if mit and "notice" in mit.words:
+        words = " ".join(mit.words).replace("this permission notice shall", "this permission notice including the next paragraph shall")
+        assert "mit" in L.license_labels(docs_of([(1, words)])).first()["labels"].split(",")
+
+
+def test_no_documents_have_no_labels(docs_of):
+    from orrery.llm import license_scan as L
+
+    assert L.license_labels(docs_of([])).count() == 0
