@@ -36,15 +36,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates, and one row of a repeated doc_id, that with
-    the smallest text. Rows without a doc_id stay."""
+    """The document with the smallest doc_id of each group of near-duplicates. Of rows that repeat a doc_id and its text one stays;
+    different texts under one doc_id are one document and all stay. Rows without a doc_id stay."""
     copies = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     single = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
     ids = single.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     ids = written(ids, "repeated")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    one = single.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("r"))
-    return single.join(ids, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("doc_id", "r.*").select(*docs.columns))
+    one = single.join(ids, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("r"))
+    return single.join(ids, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("doc_id", "text", "r.*").select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
