@@ -43,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = single.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     ids = written(ids, "repeated")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    one = single.join(ids, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("r"))
+    one = single.join(ids, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("__one"), *rest)).alias("r"))
     return single.join(ids, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("doc_id", "text", "r.*").select(*docs.columns))
 
 
