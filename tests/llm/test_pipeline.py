@@ -36,3 +36,10 @@ def test_empty_table(spark, docs_of, folder):
     for _, stage in CP.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_different_texts_of_one_document_stay(spark, docs_of, prose_of, folder):
+    rows = [(1, prose_of(1, 90)), (1, prose_of(2, 90)), (1, prose_of(2, 90)), (2, prose_of(1, 90)), (3, prose_of(3, 90))]
+    for table in (docs_of(rows), docs_of(rows).select("doc_id", "text")):
+        left = sorted((r["doc_id"], r["text"]) for r in CP.near_dedup(spark, table, folder).collect())
+        assert left == sorted({rows[0], rows[1], rows[4]})
