@@ -119,6 +119,12 @@ def skill_set(spark, sf):
     return R.split_set(Tables(spark, sf).conversations, ["conv_id"], "text")
 
 
+@query(f"WITH {_CALLS}, {_SKILLS} SELECT user_id, skill FROM skills")
+def skills_from_calls(spark, sf):
+    """The skills that the calls add to each record."""
+    return R.skill_set(calls(Tables(spark, sf)), "user_id")
+
+
 @query(
     f"""WITH {_CALLS}, {_LAST}, {_SKILLS}, c AS (SELECT user_id, count(*) FILTER (tool = 'save_personal_info') > 0 AS personal_info,
     count(*) FILTER (tool = 'add_experience') AS experience, count(*) FILTER (tool = 'add_education') AS education, count(*) FILTER (tool = 'add_project') AS projects FROM calls GROUP BY 1),
