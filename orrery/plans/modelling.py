@@ -205,7 +205,7 @@ def logistic_gradient(spark, sf):
     mean = cells.groupBy(F.col("slot").cast("bigint").alias("slot")).agg(
         F.avg("term").alias("gradient"), F.count(F.lit(1)).alias("rows")
     )
-    return mean.withColumn("gradient", F.abs(F.round("gradient", 2)))
+    return mean.withColumn("gradient", F.abs(F.round("gradient", 6)))
 
 
 @query(
