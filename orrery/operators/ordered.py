@@ -7,15 +7,19 @@ total per bucket is summed up in order, and the offset is added back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from orrery.functions.numeric import finite, number
+from orrery.sources.storage import written
 
 BUCKET = "__bucket"
 MAX_BUCKETS = 8192  # about what the quantile sketch can tell apart
+MOST_ROWS = 500_000  # different values that one task sorts to find a rank; ranges with more rows are cut again
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -67,6 +71,11 @@ def bucket_by_range(df: DataFrame, col: str, out: str = BUCKET, source: DataFram
     return add_buckets(df, bounds, {col: out})
 
 
+def bucket_by_sort(df: DataFrame, order: Sequence[str], out: str = BUCKET) -> DataFrame:
+    """Bucket `df` by ranges of any sortable columns: a written table whose range partitions are the buckets."""
+    return written(df.repartitionByRange(*order).withColumn(out, F.spark_partition_id()), "ranges")
+
+
 def running(
     df: DataFrame,
     order: Sequence[str],
@@ -138,61 +147,121 @@ def dense_index(
     return numbered if bucket else numbered.drop(BUCKET)
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+class _Span(NamedTuple):
+    """The values of a column from `lo` to `hi`: `n` rows, after the first `before` rows of the column."""
+
+    col: int
+    lo: float
+    hi: float
+    before: int
+    n: int
+
+
+def _cut_points(x: Column, buckets: int) -> Column:
+    """Values that split a column into about equal row counts, and its ends."""
+    probs = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
+    sketch = F.kll_sketch_agg_double(finite(x), min(max(200, 8 * buckets), 65535))
+    return F.when(F.count(finite(x)) > 0, F.kll_sketch_get_quantile_double(sketch, probs))
+
+
+def _around(cuts: Sequence[float] | None) -> list[float]:
+    """Each cut point and the number right after it, so that a frequent value gets a range of its own."""
+    both = {x for c in cuts or [] for x in (c, math.nextafter(c, math.inf))}
+    return sorted(x for x in both if math.isfinite(x))
+
+
+def _span_values(wide: DataFrame, spans: Sequence[_Span]) -> DataFrame:
+    """One column `x0`, `x1`, ... per span with its values."""
+    at = [(F.col(f"v{s.col}"), s) for s in spans]
+    return wide.select(*[F.when(v.between(F.lit(s.lo), F.lit(s.hi)), v).alias(f"x{j}") for j, (v, s) in enumerate(at)])
+
+
+def _held(spans: Sequence[_Span], wanted: Mapping[int, Sequence[int]], before: Column, n: Column) -> Column:
+    """Whether one of the wanted ranks of the span `s` is among the `n` rows after `before`."""
+    ranks = F.element_at(F.array(*[F.array(*[F.lit(r).cast("bigint") for r in wanted[s.col]]) for s in spans]), F.col("s") + 1)
+    return F.exists(ranks, lambda r: (r >= before) & (r < before + n))
+
+
+def _counted_spans(
+    long: DataFrame, part: str, spans: Sequence[_Span], wanted: Mapping[int, Sequence[int]]
+) -> list[_Span]:
+    """The parts of the spans that hold a wanted rank: at most as many as there are ranks."""
+    counts = long.groupBy("s", part).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    starts = F.element_at(F.array(*[F.lit(s.before).cast("bigint") for s in spans]), F.col("s") + 1)
+    in_order = W.partitionBy("s").orderBy(part)
+    placed = counts.withColumn("before", starts + F.sum("n").over(in_order) - F.col("n"))
+    hits = placed.where(_held(spans, wanted, F.col("before"), F.col("n"))).collect()
+    return [_Span(spans[r["s"]].col, r["lo"], r["hi"], r["before"], r["n"]) for r in hits]
+
+
+def _long(df: DataFrame, spans: Sequence[_Span], extra: Sequence[str] = ()) -> DataFrame:
+    rows = [
+        F.struct(F.lit(j).alias("s"), F.col(f"x{j}").alias("value"), *[F.col(f"{e}{j}").alias(e) for e in extra])
+        for j in range(len(spans))
+    ]
+    return df.select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], most: int = MOST_ROWS
+) -> DataFrame:
     """Exact quantiles with linear interpolation: rows `(column, prob, value)`.
 
-    Count rows per value range, find the few ranges that hold the wanted
-    ranks, and sort only those. The built-in exact percentile keeps every distinct
-    value of a column in one aggregation buffer."""
-    cols = list(cols)
-    wide = df.select(*[number(F.col(c)).alias(c) for c in cols])
-    bounds = range_bounds(wide, cols)
-    marks = {c: f"__b{i}" for i, c in enumerate(cols)}
-    wide = add_buckets(wide, bounds, marks)
-    values = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("c"), F.col(c).alias("value"), F.col(marks[c]).alias("bucket"))
-                    for i, c in enumerate(cols)
-                ]
-            )
+    Rows are counted per value range, and only the few ranges that hold a wanted rank are kept. Those with more
+    than `most` rows are cut again, until each has at most `most` or is one value; only then are values
+    sorted. Cut points come with the number right after them, so each step takes values out, and a value with any
+    number of rows ends as a range of its own. The built-in exact percentile keeps every distinct value of a column
+    in one aggregation buffer.
+
+    The driver gets cut points and, per column and wanted rank, one range."""
+    cols, probs = list(cols), [float(p) for p in dict.fromkeys(probs)]
+    buckets = default_buckets(df.sparkSession)
+    # Adding zero makes one zero of the two signed ones.
+    wide = df.select(*[(number(F.col(c)) + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(cols)])
+    whole = [
+        F.struct(
+            F.count(f"v{i}").alias("n"), F.min(f"v{i}").alias("lo"), F.max(f"v{i}").alias("hi"),
+            _cut_points(F.col(f"v{i}"), buckets).alias("cuts"),
+        ).alias(f"s{i}")
+        for i in range(len(cols))
+    ]
+    sizes = list(wide.agg(*whole).first()) if cols else []
+    places = {(i, p): (s["n"] - 1) * p for i, s in enumerate(sizes) for p in probs if s["n"]}
+    wanted: dict[int, list[int]] = {}
+    for (i, _), at in places.items():
+        wanted[i] = sorted({*wanted.get(i, []), math.floor(at), math.ceil(at)})
+
+    spans = [(_Span(i, s["lo"], s["hi"], 0, s["n"]), s["cuts"]) for i, s in enumerate(sizes) if i in wanted]
+    ready: list[_Span] = []
+    while spans:
+        large = [(s, c) for s, c in spans if s.n > most and s.lo < s.hi]
+        ready += [s for s, _ in spans if s.n <= most or s.lo == s.hi]
+        if not large:
+            break
+        open_ = [s for s, _ in large]
+        marked = add_buckets(
+            _span_values(wide, open_),
+            {f"x{j}": _around(c) for j, (_, c) in enumerate(large)},
+            {f"x{j}": f"part{j}" for j in range(len(large))},
         )
-    ).where(F.col("value").isNotNull())
-
-    per_bucket = values.groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    in_order = W.partitionBy("c").orderBy("bucket")
-    ranged = per_bucket.select(
-        "c",
-        "bucket",
-        (F.sum("n").over(in_order) - F.col("n")).alias("first"),
-        F.sum("n").over(in_order).alias("past"),
-        F.sum("n").over(W.partitionBy("c")).alias("total"),
-    )
-    ranks = (
-        ranged.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("at", (F.col("total") - 1) * F.col("prob"))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
-        .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("past")))
-    )
-    # At most 2 * columns * probs ranks in all, so the small side is bounded.
-    wanted = ranks.groupBy("c", "bucket").agg(
-        F.collect_list(F.struct("prob", "at", (F.col("rank") - F.col("first")).alias("rank"))).alias("wanted")
-    )
-    counts = (
-        values.join(F.broadcast(wanted), ["c", "bucket"])
-        .groupBy("c", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("wanted").alias("wanted"))
-    )
-    placed = counts.withColumn("past", F.sum("n").over(W.partitionBy("c", "bucket").orderBy("value")))
-    hits = placed.select("c", "value", "n", "past", F.inline("wanted")).where(
-        (F.col("rank") >= F.col("past") - F.col("n")) & (F.col("rank") < F.col("past"))
-    )
-    low, high = F.min("value"), F.max("value")
-    share = F.first("at") - F.floor(F.first("at"))
-    between = F.when(low == high, low).otherwise(low + (high - low) * share)  # also for infinities
-    found = hits.groupBy("c", "prob").agg(between.alias("value"))
-    return found.select(F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("c") + 1).alias("column"), "prob", "value")
+        found = _counted_spans(_long(marked, open_, ["part"]), "part", open_, wanted)
+        again = [s for s in found if s.n > most and s.lo < s.hi]
+        row = _span_values(wide, again).agg(*[_cut_points(F.col(f"x{j}"), buckets) for j in range(len(again))]).first() if again else []
+        cuts = dict(zip(again, row))
+        spans = [(s, cuts.get(s)) for s in found]
+
+    ends = [s for s in ready if s.lo == s.hi]
+    rest = [s for s in ready if s.lo < s.hi]
+    if rest:
+        ends += _counted_spans(_long(_span_values(wide, rest), rest), "value", rest, wanted)
+    at_rank = {(s.col, r): s.lo for s in ends for r in wanted[s.col] if s.before <= r < s.before + s.n}
+
+    def between(i: int, at: float) -> float:
+        low, high = at_rank[i, math.floor(at)], at_rank[i, math.ceil(at)]
+        return low if low == high else low + (high - low) * (at - math.floor(at))  # also for infinities
+
+    rows = [(cols[i], p, between(i, at)) for (i, p), at in places.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], k: int = 4096) -> DataFrame:

@@ -2,27 +2,24 @@
 
 A split is a set of cut points in a total order of the rows: hash order, or the order of a
 column. The cut points are found by counting, a handful of values per class, and the rows
-are then marked by comparing with them: no row is shuffled or sorted for its mark."""
+are then marked by comparing with them. Class counts, shares and cut points are written tables, joined on
+the class, so there may be as many classes as rows."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
-from orrery.functions.hashing import HASH_BITS, stable_hash, unit_hash
-from orrery.operators.ordered import BUCKET, bucket_by_range
+from orrery.functions.hashing import stable_hash, unit_hash
+from orrery.operators.ordered import BUCKET, MOST_ROWS, bucket_by_sort, dense_index, running
+from orrery.sources.storage import written
 
-MOST_CLASSES = 1_000_000  # a few numbers per class are kept on the driver
 IN_PLAN = 32  # classes whose cut points become part of the expression; those of more classes are joined
-RANGE_BITS = 14  # hash ranges; the hash is uniform, so they are even
+PARTS = 1 << 14  # parts of a range that holds too many rows
 CLASS = "__class"
 
-Cut = tuple  # values of the order columns at a wanted rank, or None before the first row
-
 
 def fast_split(df: DataFrame, key: str, fraction: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Mark about `fraction` of the rows, without any job."""
@@ -33,57 +30,68 @@ def _class_of(by: str | None) -> Column:
     return F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(""))
 
 
-@contextmanager
-def _counted(rows: DataFrame, by_first: bool = False) -> Iterator[tuple[DataFrame, dict[str, int]]]:
-    """Rows per class and bucket, kept while they are in use, and the rows per class in
-    class order or, if asked, in the order of each class's first key."""
-    ranges = (
-        rows.groupBy(CLASS, BUCKET)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+def _classes(rows: DataFrame) -> DataFrame:
+    """Rows, ends and first key of each class."""
+    found = rows.groupBy(CLASS).agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.min("key").alias("first")
+    )
+    return written(found, "classes")
+
+
+def _too_large(most: int) -> Column:
+    return (F.col("n") > most) & (F.col("lo") < F.col("hi"))
+
+
+def _narrowed(rows: DataFrame, spans: DataFrame, most: int) -> DataFrame:
+    """Spans with too many rows cut into parts; the parts that hold a wanted rank become the new spans.
+
+    Both ends are parts of their own, so a span always shrinks."""
+    pos, lo, hi = F.col("pos"), F.col("lo"), F.col("hi")
+    share = F.nanvl(F.coalesce(F.try_divide(pos / 2 - lo / 2, hi / 2 - lo / 2), F.lit(0.0)), F.lit(0.0))
+    between = 1 + F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
+    part = F.when(pos == lo, 0).when(pos == hi, PARTS + 1).otherwise(between)
+    inside = rows.select(CLASS, "pos").join(spans.where(_too_large(most)), CLASS).where(pos.between(lo, hi))
+    counts = inside.groupBy(CLASS, lo.alias("span"), part.alias("part")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("pos").alias("lo"),
+        F.max("pos").alias("hi"),
+        F.first("before").alias("start"),
+        F.first("ranks").alias("all"),
     )
-    try:
-        found = ranges.groupBy(CLASS).agg(F.sum("n").alias("n"), F.min("first").alias("first")).limit(MOST_CLASSES + 1).collect()
-        if len(found) > MOST_CLASSES:
-            raise ValueError(f"more than {MOST_CLASSES} classes; this is no class column")
-        found.sort(key=lambda r: (r["first"], r[CLASS]) if by_first else r[CLASS])
-        yield ranges, {r[CLASS]: r["n"] for r in found}
-    finally:
-        ranges.unpersist()
-
-
-def _rank_cuts(
-    rows: DataFrame, ranges: DataFrame, order: Sequence[str], wanted: Mapping[str, Sequence[int]]
-) -> dict[tuple[str, int], Cut | None]:
-    """Order values at the wanted ranks (1 is the first row) of each class.
-
-    `rows` has the class, a bucket that grows with the order, and the order columns; `ranges`
-    the counts per bucket. Only the buckets that hold a wanted rank are sorted, each on its own."""
-    found: dict[tuple[str, int], Cut | None] = {(c, r): None for c, ranks in wanted.items() for r in ranks if r < 1}
-    ranks = [(c, r) for c, rs in wanted.items() for r in set(rs) if r >= 1]
-    if not ranks:
-        return found
-    targets = rows.sparkSession.createDataFrame(ranks, f"{CLASS} string, rank bigint")
-    past = F.sum("n").over(W.partitionBy(CLASS).orderBy(BUCKET))
-    hits = (
-        ranges.withColumn("past", past)
-        .join(targets, CLASS)
-        .where((F.col("rank") > F.col("past") - F.col("n")) & (F.col("rank") <= F.col("past")))
-        .groupBy(CLASS, BUCKET)
-        .agg(F.collect_list(F.struct("rank", (F.col("rank") - F.col("past") + F.col("n")).alias("at"))).alias("ranks"))
+    earlier = W.partitionBy(CLASS, "span").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.col("start") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    held = F.filter("all", lambda r: (r > F.col("before")) & (r <= F.col("before") + F.col("n")))
+    cut = placed.withColumn("ranks", held).where(F.size("ranks") > 0)
+    return spans.where(~_too_large(most)).unionByName(cut.select(*spans.columns))
+
+
+def _cuts(rows: DataFrame, order: Sequence[str], wanted: DataFrame, most: int) -> DataFrame:
+    """Order values at the wanted ranks of each class: `__before`, how many ranks lie before the first row,
+    and `__cuts`, the found values with the number of times their rank was wanted.
+
+    `rows` has the class, a number `pos` that grows with the order, and the order columns; `wanted` has a class's
+    rows, ends and `ranks` (1 is the first row). Ranges around the wanted ranks are counted and cut again until
+    each holds at most `most` rows or one `pos`; only these are sorted, each on its own."""
+    held = F.filter("ranks", lambda r: r >= 1)
+    first = wanted.select(CLASS, "lo", "hi", "n", F.lit(0).cast("bigint").alias("before"), held.alias("ranks"))
+    spans = written(first.where(F.size("ranks") > 0), "spans")
+    while spans.where(_too_large(most)).head(1):
+        spans = written(_narrowed(rows, spans, most), "spans")
+    near = rows.join(spans, CLASS).where(F.col("pos").between(F.col("lo"), F.col("hi")))
+    place = F.row_number().over(W.partitionBy(CLASS, "lo").orderBy(*order))
+    rank = F.col("before") + F.col("__place")
+    spots = near.withColumn("__place", place).where(F.array_contains("ranks", rank))
+    cut = F.struct(
+        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)]).alias("cut"),
+        F.size(F.filter("ranks", lambda r: r == rank)).alias("times"),
     )
-    place = F.row_number().over(W.partitionBy(CLASS, BUCKET).orderBy(*order))
-    near = rows.join(hits, [CLASS, BUCKET]).withColumn("place", place)
-    spots = near.select(CLASS, "place", *order, F.inline("ranks")).where(F.col("place") == F.col("at"))
-    for r in spots.collect():  # one row per wanted rank
-        found[r[CLASS], r["rank"]] = tuple(r[c] for c in order)
-    return found
+    found = spots.groupBy(CLASS).agg(F.collect_list(cut).alias("__cuts"))  # a row per wanted rank of the class
+    before = F.size(F.filter("ranks", lambda r: r < 1)).alias("__before")
+    return written(wanted.select(CLASS, before).join(found, CLASS, "left"), "cuts")
 
 
-def _after(order: Sequence[str], cut: Cut | None) -> Column:
+def _after(order: Sequence[str], cut: Row) -> Column:
     """Whether a row comes after the cut in the order of its columns."""
-    if cut is None:
-        return F.lit(True)
     later, same = F.lit(False), F.lit(True)
     for name, value in zip(order, cut):
         later = later | (same & (F.col(name) > F.lit(value)))
@@ -91,44 +99,52 @@ def _after(order: Sequence[str], cut: Cut | None) -> Column:
     return later
 
 
-def _add_passed(df: DataFrame, by: str | None, order: Sequence[str], cuts: Mapping[str, Sequence[Cut | None]], out: str) -> DataFrame:
+def _add_passed(df: DataFrame, by: str | None, order: Sequence[str], cuts: DataFrame, out: str) -> DataFrame:
     """Add how many cuts of its class a row comes after; null for a class without any entry."""
 
-    def passed(found: Sequence[Cut | None]) -> Column:
-        return sum((F.when(_after(order, c), 1).otherwise(0) for c in found), F.lit(0))
+    def passed(found: Row) -> Column:
+        steps = (F.when(_after(order, c["cut"]), c["times"]).otherwise(0) for c in found["__cuts"] or [])
+        return sum(steps, F.lit(found["__before"]))
 
-    if by is None or len(cuts) <= IN_PLAN:
+    few = cuts.limit(IN_PLAN + 1).collect()
+    if len(few) <= IN_PLAN:
         number = F.lit(None).cast("int")
-        for name, found in cuts.items():
-            number = passed(found) if by is None else F.when(_class_of(by) == name, passed(found)).otherwise(number)
+        for found in few:
+            number = passed(found) if by is None else F.when(_class_of(by) == found[CLASS], passed(found)).otherwise(number)
         return df.withColumn(out, number)
-    kind = df.select(*order).schema
-    fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kind.fields))
-    rows = [(c, sum(x is None for x in xs), [tuple(x) for x in xs if x is not None]) for c, xs in cuts.items()]
-    table = df.sparkSession.createDataFrame(rows, f"{CLASS} string, __before int, __cuts array<struct<{fields}>>")
     here = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
-    number = F.col("__before") + F.size(F.filter("__cuts", lambda c: here > c))
-    keyed = df.withColumn(CLASS, _class_of(by)).join(table, CLASS, "left")
-    return keyed.withColumn(out, number).select(*[c for c in df.columns if c != out], out)
+    later = F.aggregate(
+        F.coalesce("__cuts", F.array()), F.col("__before"), lambda n, c: n + F.when(here > c["cut"], c["times"]).otherwise(0)
+    )
+    keyed = df.withColumn(CLASS, _class_of(by)).join(cuts, CLASS, "left")
+    return keyed.withColumn(out, later).select(*[c for c in df.columns if c != out], out)
 
 
 def _hash_rows(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
     h = stable_hash(F.col(key), seed)
-    rows = df.select(_class_of(by).alias(CLASS), h.alias("h"), F.col(key).alias("key"))
-    return rows.withColumn(BUCKET, F.shiftright("h", HASH_BITS - RANGE_BITS).cast("int"))
+    return df.select(_class_of(by).alias(CLASS), h.alias("h"), F.col(key).alias("key"), h.cast("double").alias("pos"))
+
+
+def _key_rows(df: DataFrame, order: str, by: str | None) -> DataFrame:
+    key = F.col(order)
+    return df.select(_class_of(by).alias(CLASS), key.alias("key"), key.cast("double").alias("pos"))
 
 
-def split_sizes(counts: Mapping[str, int], fraction: float) -> dict[str, int]:
-    """Test rows per class: ceil(fraction * n) in all; the training rows are shared out by
-    largest remainder, ties to the first class."""
-    total = sum(counts.values())
+def split_sizes(classes: DataFrame, fraction: float) -> DataFrame:
+    """Add `n_test` to a table of `__class` and `n`: ceil(fraction * n) in all; the training rows are shared out by
+    largest remainder, ties to the first class. The classes are ranked in sorted ranges, never in one list."""
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    if not total:
+        return classes.withColumn("n_test", F.lit(0).cast("bigint"))
     train = total - math.ceil(total * fraction)
-    quota = {c: n * train / total for c, n in counts.items()}
-    base = {c: math.floor(q) for c, q in quota.items()}
-    left = train - sum(base.values())
-    for c in sorted(quota, key=lambda c: (-(quota[c] - base[c]), c))[:left]:
-        base[c] += 1
-    return {c: counts[c] - base[c] for c in counts}
+    quota = F.col("n").cast("double") * F.lit(float(train)) / F.lit(float(total))
+    shared = classes.withColumn("__quota", quota).withColumn("__base", F.floor("__quota"))
+    shared = shared.withColumn("__short", F.col("__base") - F.col("__quota"))
+    ranged = bucket_by_sort(shared, ["__short", CLASS])
+    left = train - ranged.agg(F.sum("__base").alias("n")).first()["n"]
+    ranked = dense_index(ranged, ["__short", CLASS], "__rank", bucket=BUCKET)
+    sizes = F.col("n") - F.col("__base") - (F.col("__rank") <= left).cast("int")
+    return ranked.select(*classes.columns, sizes.alias("n_test"))
 
 
 def exact_split(
@@ -138,17 +154,17 @@ def exact_split(
     seed: int = 42,
     by: str | None = None,
     out: str = "is_test",
+    most: int = MOST_ROWS,
 ) -> DataFrame:
     """Mark exactly ceil(fraction * n) rows, and in proportion within each class of `by`.
 
     The rows that come first in hash order are taken, so the split follows from key and seed
-    alone. `key` must be unique and not null."""
+    alone. `key` must be unique and not null. One task sorts at most about `most` rows of a class."""
     rows = _hash_rows(df, key, seed, by)
-    with _counted(rows) as (ranges, counts):
-        sizes = split_sizes(counts, fraction)
-        cuts = _rank_cuts(rows, ranges, ["h", "key"], {c: [n] for c, n in sizes.items()})
+    sizes = split_sizes(_classes(rows), fraction)
+    cuts = _cuts(rows, ["h", "key"], sizes.withColumn("ranks", F.array("n_test")), most)
     hashed = df.withColumn("__h", stable_hash(F.col(key), seed))  # once per row, for all comparisons
-    marked = _add_passed(hashed, by, ["__h", key], {c: [cuts[c, n]] for c, n in sizes.items()}, "__passed")
+    marked = _add_passed(hashed, by, ["__h", key], cuts, "__passed")
     return marked.withColumn(out, F.coalesce(F.col("__passed") == 0, F.lit(False))).drop("__h", "__passed")
 
 
@@ -165,36 +181,13 @@ def validation_split(df: DataFrame, key: str, fraction: float = 0.2, seed: int =
     return exact_split(df, key, fraction, seed + 1, by, out="is_validation")
 
 
-def _folds(
-    df: DataFrame,
-    rows: DataFrame,
-    names: list[str],
-    order: list[str],
-    by: str | None,
-    sizes: Callable[[dict[str, int]], dict[str, list[int]]],
-    out: str,
-    by_first: bool = False,
-) -> DataFrame:
-    """Number the folds by how many fold ends a row comes after. `sizes` gives the rows
-    per fold of each class from the class counts."""
-    with _counted(rows, by_first) as (ranges, counts):
-        ends = {c: [sum(s[: i + 1]) for i in range(len(s) - 1)] for c, s in sizes(counts).items()}
-        cuts = _rank_cuts(rows, ranges, names, ends)
-    return _add_passed(df, by, order, {c: [cuts[c, e] for e in es] for c, es in ends.items()}, out)
-
-
-def _range_rows(df: DataFrame, order: str, by: str | None) -> DataFrame:
-    return bucket_by_range(df.select(_class_of(by).alias(CLASS), F.col(order).alias("key")), "key")
-
-
-def kfold_contiguous(df: DataFrame, order: str, k: int = 5, out: str = "fold") -> DataFrame:
+def kfold_contiguous(df: DataFrame, order: str, k: int = 5, out: str = "fold", most: int = MOST_ROWS) -> DataFrame:
     """Folds of consecutive rows in `order` (numeric, unique, not null); the first `n % k`
     folds have one row more."""
-
-    def sizes(counts: dict[str, int]) -> dict[str, list[int]]:
-        return {c: [n // k + (1 if i < n % k else 0) for i in range(k)] for c, n in counts.items()}
-
-    return _folds(df, _range_rows(df, order, None), ["key"], [order], None, sizes, out)
+    rows = _key_rows(df, order, None)
+    ends = F.array(*[F.expr(f"{i} * (n div {k}) + least({i}, n % {k})") for i in range(1, k)])
+    wanted = _classes(rows).withColumn("ranks", ends.cast("array<bigint>"))
+    return _add_passed(df, None, [order], _cuts(rows, ["key"], wanted, most), out)
 
 
 def kfold_stratified(
@@ -204,23 +197,23 @@ def kfold_stratified(
     k: int = 5,
     seed: int | None = None,
     out: str = "fold",
+    most: int = MOST_ROWS,
 ) -> DataFrame:
-    """Folds that share out each class evenly: in consecutive runs of `order` (unique, not null),
+    """Folds that share out each class evenly: in consecutive runs of `order` (numeric, unique, not null),
     or in hash order of it when a seed is given. The classes, in the order of their first rows, are dealt over the
     folds one row at a time, which fixes how many rows of each class a fold gets."""
+    rows = _key_rows(df, order, label) if seed is None else _hash_rows(df, order, seed, label)
+    ranged = bucket_by_sort(_classes(rows), ["first", CLASS])
+    dealt = running(ranged, ["first", CLASS], sums={"past": F.col("n")})
 
-    def dealt(upto: int, fold: int) -> int:
-        return (upto - fold + k - 1) // k
-
-    def sizes(counts: dict[str, int]) -> dict[str, list[int]]:
-        shares, before = {}, 0
-        for name, n in counts.items():
-            shares[name] = [dealt(before + n, f) - dealt(before, f) for f in range(k)]
-            before += n
-        return shares
+    def upto(fold: int) -> Column:
+        """Rows of the class in the folds up to this one."""
+        shares = [f"(past - {f} + {k - 1}) div {k} - (past - n - {f} + {k - 1}) div {k}" for f in range(fold + 1)]
+        return F.expr(" + ".join(shares))
 
+    ends = F.array(*[upto(fold) for fold in range(k - 1)])
+    wanted = dealt.withColumn("ranks", ends.cast("array<bigint>"))
     if seed is None:
-        return _folds(df, _range_rows(df, order, label), ["key"], [order], label, sizes, out, by_first=True)
+        return _add_passed(df, label, [order], _cuts(rows, ["key"], wanted, most), out)
     hashed = df.withColumn("__h", stable_hash(F.col(order), seed))
-    rows = _hash_rows(df, order, seed, label)
-    return _folds(hashed, rows, ["h", "key"], ["__h", order], label, sizes, out, by_first=True).drop("__h")
+    return _add_passed(hashed, label, ["__h", order], _cuts(rows, ["h", "key"], wanted, most), out).drop("__h")

@@ -1,5 +1,7 @@
 """Order-dependent operators against plain Python, for several layouts and a hot key."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +81,44 @@ def test_approx_quantiles_are_near(spark):
     assert len(out) == 3
     for r in out:
         assert r["column"] == "a" and abs(r["value"] - r["prob"] * 100_000) < 500
+
+
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_exact_quantiles_cut_ranges_again(spark, most):
+    """Ranges are cut until small: skew, one value in most rows, infinities, signed zeros."""
+    rng = np.random.RandomState(5)
+    inf = float("inf")
+    a = np.concatenate([rng.lognormal(0, 6, 1500), np.full(3000, 2.5), [inf] * 40, [-inf] * 7])
+    b = np.concatenate([np.full(4000, -0.0), np.zeros(500), rng.randint(0, 1 << 40, 47).astype(float)])
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(3)
+    probs = [0.0, 0.01, 0.2, 0.3, 0.5, 0.75, 0.97, 0.995, 1.0]
+    got = {(r["column"], r["prob"]): r["value"] for r in O.exact_quantiles(df, ["a", "b"], probs, most=most).collect()}
+    assert len(got) == 2 * len(probs)
+    for name, data in (("a", np.sort(a)), ("b", np.sort(b))):
+        for p in probs:
+            at = (len(data) - 1) * p
+            low, high = data[int(np.floor(at))], data[int(np.ceil(at))]
+            assert got[name, p] == (low if low == high else pytest.approx(low + (high - low) * (at - np.floor(at))))
+
+
+def test_no_task_sorts_more_than_asked(spark, monkeypatch):
+    """Ten million rows of which nine are one value, the others within a range a millionth as wide as the whole."""
+    n, most = 10_000_000, 20_000
+    x = F.when(F.col("id") % 10 > 0, 7.0).when(F.col("id") == 0, 1e9).otherwise(7.0 + F.col("id") / (n * 1000.0))
+    df = spark.range(n).select(x.alias("x"))
+    sorted_, whole = [], O._counted_spans
+
+    def noted(long, part, spans, wanted):
+        if part == "value":
+            sorted_.extend(s.n for s in spans)
+        return whole(long, part, spans, wanted)
+
+    monkeypatch.setattr(O, "_counted_spans", noted)
+    got = {r["prob"]: r["value"] for r in O.exact_quantiles(df, ["x"], [0.5, 0.95, 0.99], most=most).collect()}
+    ranked = sorted(7.0 + i / (n * 1000.0) for i in range(10, n, 10)) + [1e9]
+    want = lambda at: ranked[at - 9_000_000] if at >= 9_000_000 else 7.0
+    for p in (0.5, 0.95, 0.99):
+        at = (n - 1) * p
+        low, high = want(math.floor(at)), want(math.ceil(at))
+        assert got[p] == low + (high - low) * (at - math.floor(at))
+    assert sorted_ and max(sorted_) <= most

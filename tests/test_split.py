@@ -78,3 +78,51 @@ def test_stratified_folds(spark, seed):
         for c in set(classes):
             in_order = [f for _, (y, f) in sorted(picks[0].items()) if y == c]
             assert in_order == sorted(in_order)
+
+
+@pytest.mark.parametrize("most", [1, 10, 100_000])
+def test_ranges_are_cut_until_small(spark, most):
+    """The same rows whatever the most rows that are sorted at once; a hot class, skewed and huge keys."""
+    hot = spark.range(2000).select(
+        F.when(F.col("id") < 1990, F.col("id")).otherwise(F.col("id") * F.lit(10**14)).alias("key"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("y"),
+    ).repartition(5)
+    rows = {r["key"]: r for r in X.kfold_contiguous(hot, "key", 7, most=most).collect()}
+    sizes = [286] * 5 + [285] * 2
+    assert [rows[k]["fold"] for k in sorted(rows)] == [i for i, n in enumerate(sizes) for _ in range(n)]
+    for mark in (
+        lambda m: X.exact_split(hot, "key", by="y", most=m),
+        lambda m: X.kfold_stratified(hot, "y", "key", 4, most=m),
+        lambda m: X.kfold_stratified(hot, "y", "key", 4, seed=5, most=m),
+    ):
+        assert sorted(map(tuple, mark(most).collect())) == sorted(map(tuple, mark(1_000_000).collect()))
+
+
+def test_largest_remainder_over_many_classes(spark):
+    """Shares of classes of many sizes against plain Python, ties to the first class in text order."""
+    counts = {f"k{i:04d}": 1 + i * i % 11 for i in range(900)}
+    df = spark.createDataFrame(list(counts.items()), "__class string, n bigint").repartition(9)
+    got = {r["__class"]: r["n_test"] for r in X.split_sizes(df, 0.3).collect()}
+    total = sum(counts.values())
+    train = total - math.ceil(total * 0.3)
+    quota = {c: n * train / total for c, n in counts.items()}
+    kept = {c: math.floor(q) for c, q in quota.items()}
+    for c in sorted(quota, key=lambda c: (kept[c] - quota[c], c))[: train - sum(kept.values())]:
+        kept[c] += 1
+    assert got == {c: n - kept[c] for c, n in counts.items()}
+    assert X.split_sizes(df.limit(0), 0.3).count() == 0
+
+
+def test_as_many_classes_as_rows(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 31 % 5000).alias("y"))
+    assert X.exact_split(df, "id", by="y").where("is_test").count() == 1000
+    folds = X.kfold_stratified(df, "y", "id", 5).groupBy("fold").count().collect()
+    assert {r["fold"]: r["count"] for r in folds} == {i: 1000 for i in range(5)}
+
+
+def test_no_rows(spark):
+    df = table(spark).limit(0)
+    assert X.exact_split(df, "key", by="y").count() == 0
+    assert X.exact_split(df, "key").count() == 0
+    assert X.kfold_stratified(df, "y", "key").count() == 0
+    assert X.kfold_contiguous(df, "key").count() == 0
