@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -18,10 +21,10 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from orrery.operators.evaluate import binary_metrics_by
+from orrery.operators.evaluate import binary_metrics_by, regression_metrics_by
 from orrery.sources.storage import written
 
 # The searched parameters.
@@ -277,13 +280,128 @@ def cross_validate(df: DataFrame, estimator: Estimator, fold: str, label: str =
     return binary_metrics_by(scores, fold, label, "prediction", "score")
 
 
+def staged_scores(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Rows `(keep..., round, score)`: the class-1 probability after each round of a boosted classifier.
+
+    One pass: the rows get their leaf in every tree, and the leaves' shares are summed up from tree to tree. What
+    the tasks need of the model is one number per leaf."""
+    leaves = [
+        np.array(re.findall(r"Predict: (\S+)", tree.toDebugString), dtype=float) * weight
+        for tree, weight in zip(model.trees, model.treeWeights)
+    ]
+
+    @F.pandas_udf("array<double>")
+    def stages(found: pd.Series) -> pd.Series:
+        if not len(found):
+            return pd.Series([], dtype=object)
+        at = np.stack(found.to_numpy()).astype(np.int64)
+        margins = np.cumsum(np.stack([share[at[:, i]] for i, share in enumerate(leaves)], axis=1), axis=1)
+        return pd.Series(list(1.0 / (1.0 + np.exp(-2.0 * margins))))
+
+    placed = model.copy().setLeafCol("__leaf").transform(df)
+    scores = placed.select(*keep, F.posexplode(stages(vector_to_array("__leaf"))).alias("round", "score"))
+    return scores.withColumn("round", F.col("round") + 1)
+
+
+CURVES = {"logLoss": False, "areaUnderPR": True, "areaUnderROC": True}  # metric: larger is better
+
+
+def validation_curve(model: Model, df: DataFrame, label: str = "label", metric: str = "logLoss") -> DataFrame:
+    """Rows `(round, value)`: a metric of a boosted classifier on `df` after each of its rounds. Exact: no bins of
+    scores. Null for a ranking metric where `df` has one class only; no rows for an empty `df`."""
+    if metric not in CURVES:
+        raise ValueError(f"unknown metric {metric}")
+    scores = staged_scores(model, df.where(F.col(label).isNotNull()), [label])
+    if metric == "logLoss":
+        p = F.greatest(F.least("score", F.lit(1 - 1e-15)), F.lit(1e-15))
+        loss = -F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))
+        return scores.groupBy("round").agg(F.avg(loss).alias("value"))
+    decided = written(scores.withColumn("prediction", (F.col("score") > 0.5).cast("double")), "stages")
+    name = {"areaUnderPR": "average_precision", "areaUnderROC": "roc_auc"}[metric]
+    return binary_metrics_by(decided, "round", label, "prediction", "score").select("round", F.col(name).alias("value"))
+
+
+def stopped_round(curve: DataFrame, patience: int, larger: bool, by: Sequence[str] = ()) -> DataFrame:
+    """Where boosting stops on a curve of `(round, value)`, per group of `by`: `(by..., best_round, best_value,
+    last_round)`.
+
+    It stops at the first round after `patience` rounds without a better value, or at the end; the best round is the
+    first with the best value up to there. Equal values are no improvement. Null and NaN values are no improvement either; a curve
+    of nothing else gives its first round with a null value."""
+    value = F.when(~F.isnan("value"), F.col("value") if larger else -F.col("value"))
+    rounds = W.partitionBy(*by).orderBy("round")  # a curve has one row per round
+    before = rounds.rowsBetween(W.unboundedPreceding, -1)
+    gain = F.col("__v").isNotNull() & F.coalesce(F.col("__v") > F.max("__v").over(before), F.lit(True))
+    first = F.min("round").over(W.partitionBy(*by))
+    marked = curve.withColumn("__v", value).withColumn("__gain", gain)
+    marked = marked.withColumn("__best", F.coalesce(F.max(F.when(F.col("__gain"), F.col("round"))).over(rounds), first))
+    past = F.count_if(F.col("round") - F.col("__best") >= patience).over(before)
+    seen = marked.withColumn("__past", F.coalesce(past, F.lit(0))).where(F.col("__past") == 0)
+    last = F.max_by(F.struct("__best", "round"), "round")
+    best = F.max_by(F.when(~F.isnan("value"), F.col("value")), F.when(F.col("__gain"), F.col("round")))
+    return seen.groupBy(*by).agg(last.alias("__last"), best.alias("best_value")).select(
+        *by, F.col("__last.__best").alias("best_round"), "best_value", F.col("__last.round").alias("last_round")
+    )
+
+
 def early_stopping(
-    df: DataFrame, estimator: GBTClassifier, validation: str, tol: float = 0.001
+    df: DataFrame, estimator: GBTClassifier, validation: str, patience: int = 50, metric: str = "logLoss"
 ) -> tuple[Model, int]:
-    """Boost until the validation error stops falling, then refit that many rounds on all rows."""
-    stopped = estimator.copy().setValidationIndicatorCol(validation).setParams(validationTol=tol).fit(df)
-    rounds = stopped.getNumTrees
-    return estimator.copy({estimator.maxIter: rounds}).fit(df), rounds
+    """Boost on the rows outside `validation`, stop after `patience` rounds without a better metric on the rows inside, and
+    refit the best number of rounds on all rows."""
+    label = estimator.getLabelCol()
+    fitted = estimator.fit(df.where(~F.col(validation)))
+    curve = validation_curve(fitted, df.where(F.col(validation)), label, metric)
+    stop = stopped_round(curve, patience, CURVES[metric]).first()
+    if stop is None:
+        raise ValueError("no validation rows")
+    return estimator.copy({estimator.maxIter: stop["best_round"]}).fit(df), stop["best_round"]
+
+
+def cross_validate_linear(
+    df: DataFrame, features: Sequence[str], label: str, fold: str, alpha: float = 0.0
+) -> DataFrame:
+    """Test metrics per fold of least squares (`alpha` 0) or ridge, fitted for all folds in one pass.
+
+    The cross-products of the rows are summed per fold; those of a training set are the total less the fold's own, so the
+    rows are read twice for any number of folds: for the sums and for the predictions. The driver gets
+    (features + 2)^2 numbers a fold. Columns without spread get the coefficient 0. Rows with a null feature, label or
+    fold are left out."""
+    cols = [*features, label]
+    rows = df.select(F.col(fold).alias("fold"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = rows.dropna()
+    size = len(cols) + 1
+    names = [f"c{i}" for i in range(len(cols))]
+    means = rows.agg(*[F.avg(c) for c in names]).first()
+    if means[0] is None:
+        return regression_metrics_by(rows.withColumn("p", F.lit(0.0)), "fold", names[-1], "p")
+    center = np.array(means, dtype=float)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            x = np.column_stack([np.ones(len(batch)), batch[names].to_numpy(dtype=float) - center])
+            for key, at in batch.groupby("fold").indices.items():
+                sums[key] = sums.get(key, 0.0) + x[at].T @ x[at]
+        if sums:
+            yield pd.DataFrame({"fold": list(sums), "gram": [g.ravel() for g in sums.values()]})
+
+    kind = rows.schema["fold"].dataType.simpleString()
+    cells = rows.mapInPandas(products, f"fold {kind}, gram array<double>").select("fold", F.posexplode("gram").alias("at", "v"))
+    grams: dict = {}
+    for r in cells.groupBy("fold", "at").agg(F.sum("v").alias("v")).collect():
+        grams.setdefault(r["fold"], np.zeros(size * size))[r["at"]] = r["v"]
+    total = sum(grams.values())
+    guess = F.lit(None).cast("double")
+    for key, own in grams.items():
+        g = (total - own).reshape(size, size)
+        n, s = max(g[0, 0], 1.0), g[0, 1:]
+        c = g[1:, 1:] - np.outer(s, s) / n
+        w = np.linalg.lstsq(c[:-1, :-1] + alpha * np.eye(size - 2), c[:-1, -1], rcond=None)[0]
+        start = center[-1] + s[-1] / n - w @ (center[:-1] + s[:-1] / n)
+        line = sum((F.lit(float(a)) * F.col(c) for a, c in zip(w, names)), F.lit(float(start)))
+        guess = F.when(F.col("fold") == key, line).otherwise(guess)
+    return regression_metrics_by(rows.withColumn("p", guess), "fold", names[-1], "p")
 
 
 def positive_probability(df: DataFrame, probability: str = "probability", out: str = "score") -> DataFrame:

@@ -139,14 +139,69 @@ def gbt_classifier(spark, sf):
 
 @query()
 def early_stopping(spark, sf):
-    """Rounds kept by the validation rows, and the metrics of the refitted model."""
+    """Rounds kept by ten rounds of patience on the precision-recall area of the validation rows, and the metrics of the
+    refitted model."""
     rows, _, _ = _prepared(spark, sf)
     marked = written(X.exact_split(rows, "doc_id", by="label", out="is_validation"), "marked")
-    model, rounds = M.early_stopping(marked, M.boosted_classifier(rounds=20, depth=3), "is_validation")
+    model, rounds = M.early_stopping(marked, M.boosted_classifier(depth=3), "is_validation", 10, "areaUnderPR")
     metrics = binary_metrics(model.transform(marked), "label", "prediction")
     return metrics.withColumn("rounds", F.lit(rounds))
 
 
+@query(
+    """WITH c AS (SELECT o_orderpriority, year(o_orderdate) * 12 + month(o_orderdate) AS round, avg(o_totalprice) AS v FROM orders GROUP BY 1, 2),
+    n AS (SELECT *, max(v) OVER (PARTITION BY o_orderpriority ORDER BY round ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS lately,
+      max(v) OVER (PARTITION BY o_orderpriority ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 6 PRECEDING) AS earlier FROM c),
+    e AS (SELECT o_orderpriority, coalesce(min(round) FILTER (lately <= earlier), max(round)) AS last_round FROM n GROUP BY 1),
+    b AS (SELECT o_orderpriority, last_round, max(v) AS top FROM c JOIN e USING (o_orderpriority) WHERE round <= last_round GROUP BY 1, 2)
+    SELECT o_orderpriority, CAST(min(round) AS INTEGER) AS best_round, round(any_value(top), 4) AS best_value,
+    CAST(any_value(last_round) AS INTEGER) AS last_round FROM c JOIN b USING (o_orderpriority) WHERE v = top GROUP BY 1"""
+)
+def early_stopping_rule(spark, sf):
+    """The stop on curves given by the tables: monthly mean order values per priority, with six rounds of patience."""
+    orders = Tables(spark, sf).orders
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    curve = orders.groupBy("o_orderpriority", month.alias("round")).agg(F.avg("o_totalprice").alias("value"))
+    return rounded(M.stopped_round(curve, 6, True, ["o_orderpriority"]), 4, "best_value")
+
+
+RIDGE = 50.0
+
+
+def _cv_sql() -> str:
+    """Ridge with three features by the rule of Cramer, on the training rows of each fold."""
+    xs = ["l_quantity", "l_discount", "l_tax"]
+    prod = [f"count(*) * covar_pop({a}, {b}) + {RIDGE if a == b else 0} AS s{i}{j}" for i, a in enumerate(xs) for j, b in enumerate(xs)]
+    prod += [f"count(*) * covar_pop({a}, l_extendedprice) AS t{i}" for i, a in enumerate(xs)]
+    prod += [f"avg({a}) AS m{i}" for i, a in enumerate(xs)]
+
+    def det(replaced: int | None) -> str:
+        m = [[f"t{i}" if j == replaced else f"s{i}{j}" for j in range(3)] for i in range(3)]
+        return (
+            f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))"
+        )
+
+    slopes = ", ".join(f"{det(i)} / {det(None)} AS w{i}" for i in range(3))
+    guess = " + ".join(f"w{i} * ({a} - m{i})" for i, a in enumerate(xs))
+    return f"""WITH r AS (SELECT l_orderkey % 5 AS fold, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
+      {", ".join(f"CAST({a} AS DOUBLE) AS {a}" for a in xs)} FROM lineitem),
+    g AS (SELECT f.fold, avg(l_extendedprice) AS my, {", ".join(prod)} FROM (SELECT DISTINCT fold FROM r) f JOIN r ON r.fold <> f.fold GROUP BY 1),
+    w AS (SELECT *, {slopes} FROM g),
+    p AS (SELECT r.fold, l_extendedprice AS y, my + {guess} AS p FROM r JOIN w ON r.fold = w.fold),
+    m AS (SELECT fold, sqrt(avg(pow(y - p, 2))) AS rmse, avg(abs(y - p)) AS mae, 1 - sum(pow(y - p, 2)) / (var_pop(y) * count(y)) AS r2 FROM p GROUP BY 1),
+    l AS (SELECT 'rmse' AS metric, rmse AS v FROM m UNION ALL SELECT 'mae', mae FROM m UNION ALL SELECT 'r2', r2 FROM m)
+    SELECT metric, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS std, count(*) AS folds FROM l GROUP BY 1"""
+
+
+@query(_cv_sql())
+def cross_validate_linear(spark, sf):
+    """Five folds of a ridge regression on three features, fitted from the cross-products of each fold."""
+    rows = Tables(spark, sf).lineitem.withColumn("fold", F.col("l_orderkey") % 5)
+    scores = M.cross_validate_linear(rows, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "fold", RIDGE)
+    return rounded(summarize_folds(scores, ["rmse", "mae", "r2"]), 4, "mean", "std")
+
+
 @query()
 def isotonic_calibration(spark, sf):
     """Calibrated on the validation rows, applied to all."""

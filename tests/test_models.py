@@ -200,3 +200,97 @@ def test_decide(spark):
     got = [(r["prediction"], r["confidence"]) for r in M.decide(df, "p").collect()]
     assert got == [("Approved", 50.0), ("Rejected", 80.0)]
     assert V.apply_threshold(df, "p", 0.5).where("prediction = 1").count() == 1
+
+
+@pytest.fixture(scope="module")
+def boosted(spark):
+    rng = np.random.RandomState(3)
+    x = rng.randn(400, 3)
+    y = (x[:, 0] + 0.7 * x[:, 1] * x[:, 2] + rng.randn(400) > 0).astype(float)
+    df = spark.createDataFrame(
+        [(i, float(b), i % 4 == 0, Vectors.dense(a)) for i, (a, b) in enumerate(zip(x, y))], ["id", "label", "held", "features"]
+    ).repartition(3).cache()
+    return df, M.boosted_classifier(rounds=12, depth=3).fit(df.where("NOT held"))
+
+
+def test_staged_scores_end_at_the_model(boosted):
+    """The last stage is the model's own probability, an earlier one that of the first trees alone."""
+    df, model = boosted
+    stages = {(r["id"], r["round"]): r["score"] for r in M.staged_scores(model, df, ["id"]).collect()}
+    assert len(stages) == 400 * 12
+    for r in M.positive_probability(model.transform(df)).collect():
+        assert stages[r["id"], 12] == pytest.approx(r["score"], rel=1e-12)
+    trees = [t.transform(df.select("id", "features")).select("id", "prediction").collect() for t in model.trees[:4]]
+    margin = {}
+    for weight, rows in zip(model.treeWeights, trees):
+        for r in rows:
+            margin[r["id"]] = margin.get(r["id"], 0.0) + weight * r["prediction"]
+    for i, m in margin.items():
+        assert stages[i, 4] == pytest.approx(1 / (1 + np.exp(-2 * m)), rel=1e-12)
+
+
+def test_validation_curves(boosted):
+    df, model = boosted
+    held = df.where("held")
+    losses = {r["round"]: r["value"] for r in M.validation_curve(model, held).collect()}
+    assert [2 * losses[i + 1] for i in range(12)] == pytest.approx(model.evaluateEachIteration(held), rel=1e-9)
+    scores = M.staged_scores(model, held, ["label"]).toPandas()
+    want = {}
+    for n, part in scores.groupby("round"):
+        pos, neg = part[part["label"] == 1]["score"].to_numpy(), part[part["label"] == 0]["score"].to_numpy()
+        want[n] = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+    areas = {r["round"]: r["value"] for r in M.validation_curve(model, held, metric="areaUnderROC").collect()}
+    assert areas == {n: pytest.approx(v) for n, v in want.items()}
+    assert M.validation_curve(model, held.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        M.validation_curve(model, held, metric="other")
+
+
+@pytest.mark.parametrize(
+    "values, patience, larger, want",
+    [
+        ([3, 2, 1, 2, 2, 0], 2, False, (3, 1.0, 5)),  # the later 0 is never seen
+        ([3, 2, 1, 2, 2, 0], 3, False, (6, 0.0, 6)),
+        ([1, 1, 1, 1], 2, True, (1, 1.0, 3)),  # equal is not better
+        ([1, float("nan"), 2, None, 3], 2, True, (5, 3.0, 5)),
+        ([None, 2, 1], 5, True, (2, 2.0, 3)),
+        ([None, float("nan")], 5, True, (1, None, 2)),
+        ([4], 1, True, (1, 4.0, 1)),
+        ([5, 4, 3, 2], 1, False, (4, 2.0, 4)),
+    ],
+)
+def test_stop_on_a_curve(spark, values, patience, larger, want):
+    rows = [(i + 1, None if v is None else float(v)) for i, v in enumerate(values)]
+    curve = spark.createDataFrame(rows, "round int, value double").repartition(3)
+    assert tuple(M.stopped_round(curve, patience, larger).first()) == want
+
+
+def test_rounds_follow_the_curve(boosted):
+    df, model = boosted
+    curve = M.validation_curve(model, df.where("held"), metric="areaUnderPR")
+    best = M.stopped_round(curve, 3, True).first()["best_round"]
+    fitted, rounds = M.early_stopping(df, M.boosted_classifier(rounds=12, depth=3), "held", 3, "areaUnderPR")
+    assert rounds == best == fitted.getNumTrees
+
+
+@pytest.mark.parametrize("alpha", [0.0, 25.0])
+def test_linear_folds_from_cross_products(spark, alpha):
+    """Against a solver per fold; a feature far from zero, one that repeats another, and rows with nulls."""
+    rng = np.random.RandomState(9)
+    x = rng.randn(300, 3) * [1, 50, 0.1] + [0, 1e6, 3]
+    y = x @ [2.0, 0.3, -7.0] + rng.randn(300)
+    data = [(i % 4, *map(float, a), float(a[0]), float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame([*data, (0, None, 1.0, 1.0, 1.0, 1.0), (None, 1.0, 1.0, 1.0, 1.0, 1.0)], "part int, a double, b double, c double, d double, y double")
+    got = {r["fold"]: r for r in M.cross_validate_linear(df.repartition(5), ["a", "b", "c", "d"], "y", "part", alpha).collect()}
+    assert set(got) == {0, 1, 2, 3}
+    full, part = np.column_stack([x, x[:, 0]]), np.arange(300) % 4
+    for f in range(4):
+        train, test = part != f, part == f
+        mx, my = full[train].mean(0), y[train].mean()
+        c = full[train] - mx
+        w = np.linalg.lstsq(c.T @ c + alpha * np.eye(4), c.T @ (y[train] - my), rcond=None)[0]
+        miss = y[test] - (my + (full[test] - mx) @ w)
+        assert got[f]["rmse"] == pytest.approx(np.sqrt((miss**2).mean()), rel=1e-6)
+        assert got[f]["mae"] == pytest.approx(np.abs(miss).mean(), rel=1e-6)
+        assert got[f]["r2"] == pytest.approx(1 - (miss**2).sum() / ((y[test] - y[test].mean()) ** 2).sum(), rel=1e-6)
+    assert M.cross_validate_linear(df.limit(0), ["a"], "y", "part").count() == 0
