@@ -326,21 +326,22 @@ def stopped_round(curve: DataFrame, patience: int, larger: bool, by: Sequence[st
     last_round)`.
 
     It stops at the first round after `patience` rounds without a better value, or at the end; the best round is the
-    first with the best value up to there. Equal values are no improvement. Null and NaN values are no improvement either; a curve
-    of nothing else gives its first round with a null value."""
+    first with the best value up to there. Rounds are counted as rows of the curve, whatever their numbers. Equal, null and
+    NaN values are no improvement; a curve of nothing else gives its first round with a null value."""
     value = F.when(~F.isnan("value"), F.col("value") if larger else -F.col("value"))
     rounds = W.partitionBy(*by).orderBy("round")  # a curve has one row per round
     before = rounds.rowsBetween(W.unboundedPreceding, -1)
     gain = F.col("__v").isNotNull() & F.coalesce(F.col("__v") > F.max("__v").over(before), F.lit(True))
-    first = F.min("round").over(W.partitionBy(*by))
-    marked = curve.withColumn("__v", value).withColumn("__gain", gain)
-    marked = marked.withColumn("__best", F.coalesce(F.max(F.when(F.col("__gain"), F.col("round"))).over(rounds), first))
-    past = F.count_if(F.col("round") - F.col("__best") >= patience).over(before)
+    at = F.struct(F.row_number().over(rounds).alias("i"), "round")
+    marked = curve.withColumn("__v", value).withColumn("__gain", gain).withColumn("__at", at)
+    best_yet = F.coalesce(F.max(F.when(F.col("__gain"), F.col("__at"))).over(rounds), F.min("__at").over(W.partitionBy(*by)))
+    marked = marked.withColumn("__best", best_yet)
+    past = F.count_if(F.col("__at.i") - F.col("__best.i") >= patience).over(before)
     seen = marked.withColumn("__past", F.coalesce(past, F.lit(0))).where(F.col("__past") == 0)
     last = F.max_by(F.struct("__best", "round"), "round")
     best = F.max_by(F.when(~F.isnan("value"), F.col("value")), F.when(F.col("__gain"), F.col("round")))
     return seen.groupBy(*by).agg(last.alias("__last"), best.alias("best_value")).select(
-        *by, F.col("__last.__best").alias("best_round"), "best_value", F.col("__last.round").alias("last_round")
+        *by, F.col("__last.__best.round").alias("best_round"), "best_value", F.col("__last.round").alias("last_round")
     )
 
 

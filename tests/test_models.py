@@ -263,6 +263,9 @@ def test_stop_on_a_curve(spark, values, patience, larger, want):
     rows = [(i + 1, None if v is None else float(v)) for i, v in enumerate(values)]
     curve = spark.createDataFrame(rows, "round int, value double").repartition(3)
     assert tuple(M.stopped_round(curve, patience, larger).first()) == want
+    spaced = curve.withColumn("round", F.col("round") * 10)
+    best, value, last = M.stopped_round(spaced, patience, larger).first()
+    assert (best / 10, value, last / 10) == want
 
 
 def test_rounds_follow_the_curve(boosted):
