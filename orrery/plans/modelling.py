@@ -127,7 +127,7 @@ def forest_regressor(spark, sf):
 def forest_classifier(spark, sf):
     rows, _, _ = _prepared(spark, sf)
     weighted = M.balanced_weight(rows, "label")
-    return _scores(M.forest_classifier(trees=30, depth=5, weight="weight").fit(weighted).transform(weighted))
+    return _scores(M.forest_classifier(weight="weight").fit(weighted).transform(weighted))
 
 
 @query()
@@ -216,11 +216,11 @@ def isotonic_calibration(spark, sf):
 
 @query()
 def grid_search(spark, sf):
-    """Strength and kind of penalty of a logistic model over three shuffled folds."""
+    """Strength and kind of penalty of a logistic model, the whole grid over five shuffled folds."""
     rows, _, _ = _prepared(spark, sf)
-    folds = X.kfold_stratified(rows, "label", "doc_id", k=3, seed=42)
-    lr = LogisticRegression(standardization=False, maxIter=50)
-    maps = M.logistic_maps(lr, rows.count(), {"C": [0.01, 1, 100], "penalty": ["l1", "l2"]})
+    folds = X.kfold_stratified(rows, "label", "doc_id", k=5, seed=42)
+    lr = LogisticRegression(standardization=False, maxIter=200)
+    maps = M.logistic_maps(lr, rows.count())
     return rounded(M.search_results(spark, M.search(folds, lr, maps, "fold")), 6, "score")
 
 
@@ -237,7 +237,7 @@ def random_search(spark, sf):
 @query()
 def importance_trees(spark, sf):
     rows, _, names = _prepared(spark, sf)
-    return I.importance_trees(spark, M.forest_classifier(trees=20, depth=5).fit(rows), names)
+    return I.importance_trees(spark, M.forest_classifier().fit(rows), names)
 
 
 @query()
