@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,7 +150,7 @@ def test_passages_repeated_in_each_document(docs_of, prose_of):
         rows += [(2 * i, " ".join(often)), (2 * i + 1, prose_of(7000 + i, 100) + " " + passage + " " + prose_of(8000 + i, 100))]
         want |= {(2 * i, 300 + 360 * j) for j in range(4)} | {(2 * i + 1, 100)}
     docs = docs_of(rows)
-    uids = {r["doc_id"]: r["uid"] for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid")).collect()}
+    uids = {r["doc_id"]: r["uid"] for r in docs.select("doc_id", F.xxhash64("text").alias("uid")).collect()}
     assert {uids[2 * i] < uids[2 * i + 1] for i in range(16)} == {True, False}
     got = P.repeated_passages(docs).collect()
     assert {(r["doc_id"], r["first_word"]) for r in got} == want
@@ -157,6 +158,51 @@ def test_passages_repeated_in_each_document(docs_of, prose_of):
     assert {(r["doc_id"], r["first_word"]) for r in apart} == want
 
 
+@pytest.mark.parametrize("held_too, place", [(40, "start"), (40, "middle"), (40, "end"), (45, "start")])
+def test_texts_with_a_part_of_a_passage_take_no_link(docs_of, prose_of, held_too, place):
+    rows, pairs = [], 60
+    fill = lambda seed, n: prose_of(seed, n, 10**6)
+    for i in range(pairs):
+        passage = fill(20_000 + i, 60).split()
+        at = {"start": 0, "middle": (60 - held_too) // 2, "end": 60 - held_too}[place]
+        part = " ".join(passage[at : at + held_too])
+        for j in range(12):
+            seed = 40_000 + 100 * i + 2 * j
+            rows.append((100 * i + j, " ".join([fill(seed, 100), " ".join(passage) if j in (3, 8) else part, fill(seed + 1, 100)])))
+    got = defaultdict(set)
+    for r in P.repeated_passages(docs_of(rows)).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert set(map(frozenset, got.values())) == {frozenset({100 * i + 3, 100 * i + 8}) for i in range(pairs)}
+
+
+def test_copied_texts_are_one_text(docs_of, prose_of):
+    passage = prose_of(30, 60)
+    own, shared, short = prose_of(31, 80), prose_of(32, 70) + " " + passage, prose_of(33, 49)
+    rows = [(i, own) for i in range(5)] + [(10 + i, shared) for i in range(4)] + [(20, passage + " " + prose_of(34, 90)), (21, short), (22, short), (30, own)]
+    got = {(r["doc_id"], r["first_word"], r["last_word"], r["class_id"], r["class_docs"]) for r in P.repeated_passages(docs_of(rows)).collect()}
+    assert got == {(i, 0, 79, 0, 6) for i in (0, 1, 2, 3, 4, 30)} | {(10 + i, 0, 129, 10, 5) for i in range(4)} | {(20, 0, 59, 10, 5)}
+
+
+def test_contexts_of_large_keys_in_blocks(monkeypatch, docs_of, prose_of):
+    """Blocks smaller than a key: its texts stay connected."""
+    passage = prose_of(35, 60)
+    rows = [(i, prose_of(9000 + 2 * i, 60) + " " + passage + " " + prose_of(9001 + 2 * i, 60)) for i in range(40)]
+    windows = [b for d in range(4) for b in P._windows(46)(iter([_batch(rows[d::4])]))]
+    key = lambda t: (t["key"], t["own"]["uid"], t["own"]["right"], t["own"]["left"])
+    table = pa.Table.from_pylist(sorted((r for b in windows for r in b.to_pylist()), key=key), schema=windows[0].schema)
+    monkeypatch.setattr(P, "BLOCK", 16)
+    links = [r for b in P._stars(iter(table.to_batches(max_chunksize=7))) for r in b.to_pylist()]
+    parent = list(range(40))
+    for r in links:
+        assert r["a"] < r["b"]
+        parent = [min(parent[r["a"]], parent[r["b"]]) if c in (parent[r["a"]], parent[r["b"]]) else c for c in parent]
+    assert set(parent) == {0}
+
+
+def _batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["uid", "text"])
+
+
 def held(doc_id):
     return doc_id is not None and binascii.crc32(str(doc_id).encode()) % 7 == 2
 
