@@ -175,6 +175,22 @@ def test_texts_with_a_part_of_a_passage_take_no_link(docs_of, prose_of, held_too
     assert set(map(frozenset, got.values())) == {frozenset({100 * i + 3, 100 * i + 8}) for i in range(pairs)}
 
 
+def test_texts_of_repeated_lines_have_few_places(docs_of, prose_of):
+    """Chains at all offsets between repeated lines are one place, and other passages of the two texts are still found."""
+    assert P._merged([[0, 99, 0, 99], [0, 99, 10, 90], [200, 260, 0, 60], [5, 104, 0, 99]]) == [[0, 104, 0, 99], [200, 260, 0, 60]]
+    line, passage = prose_of(50, 12) + "\n", " " + prose_of(51, 70) + "\n"
+    rows = [(1, line * 120 + passage + prose_of(52, 100)), (2, prose_of(53, 90) + "\n" + line * 80 + prose_of(54, 200) + passage)]
+    windows = list(P._windows(46)(iter([_batch(rows)])))
+    key = lambda r: (r["key"], r["own"]["uid"], r["own"]["right"], r["own"]["left"])
+    table = pa.Table.from_pylist(sorted((r for b in windows for r in b.to_pylist()), key=key), schema=windows[0].schema)
+    links = sorted((r for b in P._stars(iter(table.to_batches())) for r in b.to_pylist()), key=lambda r: (r["a"], r["b"]))
+    places = [r for b in P._join_intervals(iter(pa.Table.from_pylist(links).to_batches())) for r in b.to_pylist()]
+    assert 1 <= len(places) <= 6
+    got = [(r["doc_id"], r["first_word"], r["last_word"]) for r in P.repeated_passages(docs_of(rows)).collect()]
+    assert any(d == 1 and a <= 1440 and b >= 1509 for d, a, b in got) and any(d == 2 and a <= 1250 and b >= 1319 for d, a, b in got)
+    assert any(d == 1 and a <= 60 and b >= 840 for d, a, b in got) and any(d == 2 and a <= 150 and b >= 1040 for d, a, b in got)
+
+
 def test_copied_texts_are_one_text(docs_of, prose_of):
     passage = prose_of(30, 60)
     own, shared, short = prose_of(31, 80), prose_of(32, 70) + " " + passage, prose_of(33, 49)
