@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from orrery.llm import groups, words as T
 from orrery.llm.graph import components
+from orrery.llm.segments import spread
 from orrery.sources.storage import written
 
 K = 5  # words of a shingle
@@ -19,9 +21,13 @@ HASHES, ENOUGH = 4, 2  # of 4 minima 2 agree: always for equal passages, 95 time
 SLANT = 24  # places by which the offset of two passages may drift
 GAPS = [12, 6, 1]  # shingles from one with a counterpart to the next inside a run, tried in turn where no joined span is similar; 1: none left out
 CHUNK = 4 << 20  # bytes of text in which equal windows meet before the shuffle
+OFTEN = 64  # windows of a part from which a shingle is counted by a matrix product
 OVERLAP = 25  # words that two spans of a document share if they are one passage
 STEPS, STRIDE, BITS = 12, 4, 5  # of a window's context: shingles read beside its centre, places from one to the next, bits of each
 BLOCK = 1 << 18  # windows whose contexts are compared at once; a key that has more is cut
+PAIRS = 16  # windows of a key of which all are linked at once; in larger keys those that no passage connects are compared by shingles
+LARGE = 8  # no hash: a window of a larger key
+PART = 1024  # windows of a larger key compared with as many others in a task
 
 _MULTIPLY = np.random.default_rng(31).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64(0xFFFF)
@@ -31,69 +37,84 @@ WINDOW = "struct<uid:bigint,left:bigint,right:bigint>"
 
 def compact_windows(values: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """`(first, centre, last)`: all subsequences of at least `least` values that start in first..centre and end in
-    centre..last have their minimum at the centre. These are the nodes of the Cartesian tree over more than `least` values, found from
-    the root down; equal minima are told apart at random so that the tree stays flat in repetitive texts."""
-    shuffled = T.mix(np.arange(len(values), dtype=np.uint64)) & _LOW
-    order = (values & ~_LOW) | shuffled
-    out, stack = [], [(0, len(values))]
-    while stack:
-        low, high = stack.pop()
-        if high - low < least:
-            continue
-        centre = low + int(order[low:high].argmin())
-        out.append((low, centre, high - 1))
-        stack.append((low, centre))
-        stack.append((centre + 1, high))
-    return out
-
-
-def _contexts(shingles: np.ndarray, centres: np.ndarray, side: int) -> np.ndarray:
+    centre..last have their minimum at the centre. These are the nodes of the Cartesian tree over at least `least` values;
+    equal minima are told apart at random so that the tree stays flat in repetitive texts."""
+    return list(zip(*(x.tolist() for x in _all_windows(values, np.zeros(1, np.int64), np.array([len(values)]), least)[1:])))
+
+
+def _all_windows(values: np.ndarray, low: np.ndarray, size: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """The text, first, centre and last place in it of each compact window of the texts `values[low[i] : low[i] + size[i]]`."""
+    begin = np.cumsum(size + 1) - size  # the least number of all stands before, between and behind the texts
+    text = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(text)) - (np.cumsum(size) - size)[text]
+    order = np.zeros(len(text) + len(size) + 1, np.uint64)
+    order[begin[text] + place] = np.maximum(values[low[text] + place] & ~_LOW | T.mix(place.astype(np.uint64)) & _LOW, np.uint64(1))
+    # A centre is the minimum of a run of `least` values, and so is each smaller value that ends its window: others need no look.
+    peak = np.zeros(len(order), bool)
+    if len(order) > least:
+        lowest = _of_runs(np.minimum, order, least)
+        peak = order == _of_runs(np.maximum, np.concatenate([lowest[:1].repeat(least - 1), lowest, lowest[-1:].repeat(least - 1)]), least)
+    peak[0] = peak[-1] = True
+    peak[begin - 1] = True
+    at = np.flatnonzero(peak)
+    value = order[at]
+    before, after = np.arange(len(at)) - 1, np.arange(len(at)) + 1
+    inner = np.flatnonzero(value > 0)
+    todo = inner
+    while len(todo := todo[value[before[todo]] > value[todo]]):
+        before[todo] = before[before[todo]]
+    todo = inner
+    while len(todo := todo[value[after[todo]] >= value[todo]]):
+        after[todo] = after[after[todo]]
+    inner = inner[at[after[inner]] - at[before[inner]] > least]
+    text = np.searchsorted(begin, at[inner], side="right") - 1
+    return text, *(x - begin[text] for x in (at[before[inner]] + 1, at[inner], at[after[inner]] - 1))
+
+
+def _of_runs(pick: np.ufunc, values: np.ndarray, length: int) -> np.ndarray:
+    """The smallest or largest of each run of `length` neighbours."""
+    width = 1
+    while width < length:
+        step = min(width, length - width)
+        values = pick(values[:-step], values[step:])
+        width += step
+    return values
+
+
+def _contexts(shingles: np.ndarray, low: np.ndarray, high: np.ndarray, centres: np.ndarray, side: int) -> np.ndarray:
     """The shingles on one side (1: right, -1: left) of each centre as digits, the nearest first: the longer two texts agree
-    beside their centres, the more leading digits are equal. Beyond the text the digit is 0."""
-    at = centres[:, None] + side * STRIDE * np.arange(1, STEPS + 1)
-    inside = (at >= 0) & (at < len(shingles))
-    digits = np.where(inside, (shingles >> np.uint64(64 - BITS))[np.where(inside, at, 0)], np.uint64(0)).astype(np.int64)
-    return digits @ (np.int64(1) << (BITS * np.arange(STEPS - 1, -1, -1, dtype=np.int64)))
+    beside their centres, the more leading digits are equal. Beyond the text (`low` up to `high`) the digit is 0."""
+    out = np.zeros(len(centres), np.int64)
+    for k in range(1, STEPS + 1):
+        at = centres + side * STRIDE * k
+        inside = (at >= low) & (at < high)
+        out = out << BITS | np.where(inside, (shingles[np.where(inside, at, 0)] >> np.uint64(64 - BITS)).astype(np.int64), 0)
+    return out
 
 
 def _windows(least: int):
-    """Windows of each chunk. Windows with one key and context in a chunk are linked to the first there; only that one travels on, and
-    the first text's other windows if no other text has both."""
+    """Windows of each text, each text of a chunk once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in T.slices(batches, "text", CHUNK):
             part = part.take(pa.array(np.sort(np.unique(part.column("uid").to_numpy(), return_index=True)[1])))  # copies are one text
-            rows: list[np.ndarray] = []
-            keys: list[np.ndarray] = []
-            contexts: list[np.ndarray] = []
             for sub in T.slices([part], "text"):
                 w = T.words(sub.column("text"), T.SPACES)
                 all_ = T.grams(w.hash, K)
-                own = sub.column("uid").to_numpy()
-                for i in range(sub.num_rows):
-                    here = all_[w.first[i] : max(w.first[i], w.first[i + 1] - K + 1)]
-                    if len(here) < least:
-                        continue
-                    for j, m in enumerate(_MULTIPLY):
-                        value = T.mix(here * m)
-                        found = np.array(compact_windows(value, least), np.int64)
-                        keys.append((T.mix(value[found[:, 1]]) & ~np.uint64(7)) | np.uint64(j))
-                        rows.append(np.column_stack([np.full(len(found), own[i]), found]))
-                        contexts.append(_contexts(T.mix(here), found[:, 1], 1 if j % 2 else -1))
-            if not keys:
-                continue
-            key, row, context = np.concatenate(keys), np.concatenate(rows), np.concatenate(contexts)
-            order = np.lexsort((row[:, 2], row[:, 0], context, key))
-            key, row, context = key[order], row[order], context[order]
-            new, head, again, second = _stars_of([key, context], row.T)
-            here = np.arange(len(key))
-            keep = new | again | (row[:, 0] != row[head, 0])  # a text is not linked with itself
-            linked = ~new & ~(again & (second < 0))  # a further window of the head travels on if its key has no other document here
-            own, other = np.where(again & linked, second, here)[keep], np.where(again, here, head)[keep]
-            key, context, linked = key[keep], context[keep], linked[keep]
-            own, other = row[own], row[other]
-            cols = [pa.array(key.view(np.int64)), pa.array(context), _packed(own), _packed(other, linked)]
-            yield pa.RecordBatch.from_arrays(cols, ["key", "context", "own", "other"])
+                size = np.maximum(w.counts() - K + 1, 0)
+                long = np.flatnonzero(size >= least)
+                if not len(long):
+                    continue
+                own, low, size = sub.column("uid").to_numpy()[long], w.first[long], size[long]
+                mixed = T.mix(all_)
+                for j, m in enumerate(_MULTIPLY):
+                    value = T.mix(all_ * m)
+                    text, first, centre, last = _all_windows(value, low, size, least)
+                    at = low[text] + centre
+                    key = T.mix(value[at]) & ~np.uint64(7) | np.uint64(j)
+                    context = _contexts(mixed, low[text], low[text] + size[text], at, 1 if j % 2 else -1)
+                    cols = [pa.array(key.view(np.int64)), pa.array(context), _packed(np.column_stack([own[text], first, centre, last]))]
+                    yield pa.RecordBatch.from_arrays(cols, ["key", "context", "own"])
 
     return run
 
@@ -138,10 +159,10 @@ def _closest(key: np.ndarray, uid: np.ndarray, context: np.ndarray) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _packed(row: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+def _packed(row: np.ndarray) -> pa.Array:
     """uid and two numbers that hold first and centre, centre and last."""
     fields = [pa.array(row[:, 0]), pa.array(row[:, 1] << 32 | row[:, 2]), pa.array(row[:, 2] << 32 | row[:, 3])]
-    return pa.StructArray.from_arrays(fields, fields=list(_WINDOW), mask=None if valid is None else pa.array(~valid))
+    return pa.StructArray.from_arrays(fields, fields=list(_WINDOW))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,49 +181,70 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Link each window to the first of its key and to one with the closest context, and the first text's other windows to another
-    text; links made before the shuffle pass. Rows come sorted by key, text and place; repeated rows count once. Held are a key's first row and, until
-    another text comes, the other rows of its text."""
-    carried_key, carried = np.zeros(0, np.int64), [np.zeros(0, np.int64)] * 3
+def _stars(batches: Iterator[pa.RecordBatch], large: bool = False) -> Iterator[pa.RecordBatch]:
+    """Link all windows of a key of at most `PAIRS` windows that are of different texts. In a larger key link each to the first and to one with
+    the closest context, and the first text's other windows to another text; `large` gives the windows of larger keys as well, with `LARGE` for the hash
+    and the key for b, so that `_open_pairs` can compare them all. Rows come sorted by key, text and place; repeated rows count once. Held are a
+    key's first row and, until another text comes, the other rows of its text, or all rows of a key that has been small."""
+    names = ["hash", "a", "a_left", "a_right", "b", "b_left", "b_right"]
+    carried_key, carried, waiting = np.zeros(0, np.int64), [np.zeros(0, np.int64)] * 3, 0  # waiting: rows held of a small key
     past = None
     for block in _blocks(batches):
         key, context = (block.column(c).to_numpy() for c in ("key", "context"))
         own = [pc.struct_field(block.column("own"), i).to_numpy() for i in range(3)]
-        other = block.column("other")
-        linked = other.is_valid().to_numpy(zero_copy_only=False)
-        ends = [pc.fill_null(pc.struct_field(other, i), 0).to_numpy() for i in range(3)]
-        known = [key, *own, linked, *ends]
+        known = [key, *own]
         again = np.zeros(len(key), bool)
         again[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in known])
         again[0] = past is not None and past == [x[0] for x in known]
         past = [x[-1] for x in known]
-        heads = np.flatnonzero(~linked & ~again)
+        heads = np.flatnonzero(~again)
+        if not len(heads):
+            continue
+        key, context, own = key[heads], context[heads], [x[heads] for x in own]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(key)))
+        many = np.repeat((sizes > PAIRS) | np.isin(key[starts], carried_key[:1]), sizes)  # what goes on from the last block is large
         out: list[list[np.ndarray]] = []
-        if len(heads):
-            k = np.concatenate([carried_key, key[heads]])
-            rows = [np.concatenate([x, y[heads]]) for x, y in zip(carried, own)]
+
+        def link(i: np.ndarray, j: np.ndarray, k: np.ndarray, rows: Sequence[np.ndarray]) -> None:
+            swap = rows[0][i] < rows[0][j]  # the smaller uid first: a pair of texts is one group
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            out.append([k[i], *(x[j] for x in rows), *(x[i] for x in rows)])
+
+        at = np.flatnonzero(np.repeat(sizes > 1, sizes) & ~many)
+        for step in range(1, PAIRS):
+            i, j = at[: max(0, len(at) - step)], at[step:]
+            same = key[i] == key[j]
+            if not same.any():
+                break
+            same &= own[0][i] != own[0][j]
+            link(i[same], j[same], key, own)
+        if many.any():
+            k = np.concatenate([carried_key, key[many]])
+            rows = [np.concatenate([x, y[many]]) for x, y in zip(carried, own)]
             new, head, more, second = _stars_of([k], rows)
             far = np.flatnonzero((rows[0] != rows[0][head]) & (np.arange(len(k)) >= len(carried_key)))
             more = np.flatnonzero(more & (second >= 0))
-            p, q = _closest(key[heads], own[0][heads], context[heads])
+            p, q = _closest(key[many], own[0][many], context[many])
             p, q = p + len(carried_key), q + len(carried_key)
             p, q = p[q != head[p]], q[q != head[p]]
             for i, j in ((far, head[far]), (more, second[more]), (p, q)):
-                swap = rows[0][i] < rows[0][j]  # the smaller uid first: a pair of texts is one group
-                i, j = np.where(swap, j, i), np.where(swap, i, j)
-                out.append([k[i], *(x[j] for x in rows), *(x[i] for x in rows)])
+                link(i, j, k, rows)
+            if large:
+                before = waiting if many[0] and key[0] == carried_key[:1] else 0  # a key that has been small goes on
+                cols = [np.concatenate([x[:before], y[many]]) for x, y in zip([carried_key, *carried], [key, *own])]
+                none = pa.array(np.zeros(len(cols[0]), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), LARGE)), *(pa.array(x) for x in cols[1:]), pa.array(cols[0]), none, none], names)
+        if many[-1]:
             first = head[-1]
             hold = [first, second[-1]] if second[-1] >= 0 else [first, *range(first + 1, len(k))]
-            carried_key, carried = k[hold], [x[hold] for x in rows]
-        at = np.flatnonzero(linked & ~again)
-        if len(at):
-            swap = ends[0][at] > own[0][at]
-            out.append([key[at], *(np.where(swap, x[at], y[at]) for x, y in zip(own, ends)), *(np.where(swap, y[at], x[at]) for x, y in zip(own, ends))])
+            carried_key, carried, waiting = k[hold], [x[hold] for x in rows], 0
+        else:
+            carried_key, carried, waiting = key[starts[-1] :], [x[starts[-1] :] for x in own], sizes[-1]
         for cols in out:
             if len(cols[0]):
                 arrays = [pa.array(cols[0] & 7), *(pa.array(x) for x in cols[1:])]
-                yield pa.RecordBatch.from_arrays(arrays, ["hash", "a", "a_left", "a_right", "b", "b_left", "b_right"])
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
 
 def _join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,36 +490,267 @@ def _verify(least: int, percent: int):
     return run
 
 
+def _spans_of(pairs: DataFrame) -> DataFrame:
+    side = lambda s: F.struct(F.col(s).alias("uid"), F.col(f"{s}_first").alias("first"), F.col(f"{s}_last").alias("last"))
+    return pairs.select(F.explode(F.array(side("a"), side("b"))).alias("s")).select("s.*")
+
+
+def _classes(pairs: DataFrame, spans: DataFrame) -> DataFrame:
+    """`(uid, first_word, last_word, component)`: spans of a text that overlap are one passage, passages of a pair are one component."""
+    along = W.partitionBy("uid").orderBy("first", "last")
+    before = F.max("last").over(along.rowsBetween(W.unboundedPreceding, -1))
+    apart = F.coalesce((F.col("first") > before - OVERLAP + 1).cast("int"), F.lit(0))
+    marked = spans.withColumn("new", apart).withColumn("at", F.sum("new").over(along))
+    whole = W.partitionBy("uid", "at")
+    merged = written(
+        marked.select(
+            "uid", "first", "last", "at", F.min("first").over(whole).alias("first_word"), F.max("last").over(whole).alias("last_word")
+        ),
+        "spans",
+    )
+    passages = written(
+        merged.select("uid", "at", "first_word", "last_word").distinct().withColumn("passage", F.monotonically_increasing_id()),
+        "passages",
+    )
+    known = written(merged.join(passages.select("uid", "at", "passage"), ["uid", "at"]).select("uid", "first", "last", "passage"), "known")
+    end = lambda s, n: known.select(
+        F.col("uid").alias(s), F.col("first").alias(f"{s}_first"), F.col("last").alias(f"{s}_last"), F.col("passage").alias(n)
+    )
+    edges = pairs.join(end("b", "q"), ["b", "b_first", "b_last"]).join(end("a", "p"), ["a", "a_first", "a_last"])
+    classes = components(edges.select(F.col("p").alias("a"), F.col("q").alias("b")))
+    component = F.coalesce("component", "passage").alias("component")  # copies of a text that no other text shares
+    return passages.join(classes, passages["passage"] == classes["node"], "left").select("uid", "first_word", "last_word", component)
+
+
+def _verified(places: DataFrame, rows: DataFrame, least: int, percent: int) -> DataFrame:
+    """Pairs of passages of at least `least` shingles in candidate places."""
+    uids = places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct()
+    texts = written(rows.join(uids, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), "texts")
+    side = lambda c: texts.select(F.col("uid").alias(c), "text")
+    ranges = places.join(side("a"), "a").sortWithinPartitions("a").mapInArrow(
+        _ranges, "a long, b long, a_low long, a_high long, b_low long, b_high long, shingles binary"
+    )
+    both = ranges.join(side("b"), "b").sortWithinPartitions("b")
+    schema = "a long, a_first long, a_last long, b long, b_first long, b_last long, similarity double"
+    return written(both.mapInArrow(_verify(least, percent), schema), "pairs")
+
+
+def _fewest(shingles: np.ndarray, centre: int, least: int) -> int:
+    """The fewest distinct shingles of a run of `least` that holds the centre."""
+    values, code = np.unique(shingles, return_inverse=True)
+    if len(values) == len(shingles):
+        return least
+    order = np.argsort(code, kind="stable")
+    past = np.full(len(code), -1)
+    past[order[1:]] = np.where(code[order[1:]] == code[order[:-1]], order[:-1], -1)
+    starts = np.arange(max(0, centre - least + 1), min(centre, len(code) - least) + 1)
+    return int((past[starts[:, None] + np.arange(least)] < starts[:, None]).sum(axis=1).min())
+
+
+def _surroundings(least: int, percent: int):
+    """A row `(key, uid, class, left, right, need, shingles)` for each window of a text: its shingles so near the centre that a shortest passage
+    can hold them, and how many of them another text must have."""
+    far = -(-100 * least // percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sub in T.slices(batches, "text"):
+            w = T.words(sub.column("text"), T.SPACES)
+            grams = T.grams(w.hash, K)
+            lists = sub.column("windows")
+            of = pc.list_parent_indices(lists).to_numpy()
+            x = lists.flatten()
+            get = lambda c: x.field(names.index(c)).to_numpy()  # noqa: E731,B023
+            names = ["key", "class", "parts", "left", "centre", "right"]
+            first, centre = w.first[of], get("centre")
+            low, high = np.maximum(get("left"), centre - far), np.minimum(get("right"), centre + far) + 1
+            need = np.full(len(of), -(-percent * least // 100))
+            for i in range(sub.num_rows):
+                text = grams[w.first[i] : w.first[i + 1] - K + 1]
+                if len(np.unique(text)) < len(text):
+                    for j in np.flatnonzero(of == i).tolist():
+                        need[j] = -(-percent * _fewest(text[low[j] : high[j]], int(centre[j] - low[j]), least) // 100)
+            near, sizes = spread(grams.astype(np.uint32), first + low, high - low)  # equal digits of others only add candidates
+            at = np.concatenate([[0], np.cumsum(4 * sizes)]).astype(np.int32)
+            shingles = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(at), pa.py_buffer(near)])
+            cols = [x.field(0), sub.column("uid").take(pa.array(of)), *(x.field(i) for i in range(1, 6)), pa.array(need), shingles]
+            yield pa.RecordBatch.from_arrays(cols, ["key", "uid", *names[1:], "need", "shingles"])
+
+    return run
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the windows of a key in two of its parts, the pairs that no class connects and that have enough shingles in common. `tree`: one
+    of so many as connect all, those with the most in common first."""
+    for group in groups.in_order(batches, ["key", "i", "j"]):
+        if group.num_rows < 2:
+            continue
+        uid, left, centre, right, need, part = (group.column(c).to_numpy() for c in ("uid", "left", "centre", "right", "need", "part"))
+        class_ = group.column("class").fill_null(-1).to_numpy()
+        sizes = pc.binary_length(group.column("shingles")).to_numpy() // 4
+        data = np.concatenate([np.frombuffer(T.text_bytes(c.cast(pa.large_binary()))[0].tobytes(), np.uint32) for c in group.column("shingles").chunks])
+        window = np.repeat(np.arange(len(uid)), sizes)
+        while True:  # shingles of one window, and windows with too few others, have no part in a pair
+            values, code = np.unique(data, return_inverse=True)
+            held = np.unique(code * len(uid) + window)
+            code, window = held // len(uid), held % len(uid)
+            data = values[code]
+            use = np.bincount(code)[code] > 1
+            use &= (np.bincount(window[use], minlength=len(uid)) >= need)[window]
+            if use.all():
+                break
+            data, window = data[use], window[use]
+        if not len(window):
+            continue
+        at, window = np.unique(window, return_inverse=True)
+        uid, left, centre, right, need, part, class_ = (x[at] for x in (uid, left, centre, right, need, part, class_))
+        p, q, count = _common(code, window, need, class_)
+        keep = (uid[p] != uid[q]) & ((part[p] != part[q]) | (group.column("i")[0] == group.column("j")[0]))
+        order = np.flatnonzero(keep)[np.argsort(-count[keep], kind="stable")]
+        p, q = p[order], q[order]
+        tree = np.zeros(len(p), bool)
+        tree[_forest(*(np.where(class_[x] < 0, x, len(at) + class_[x]).tolist() for x in (p, q)))] = True
+        p, q = np.where(uid[p] > uid[q], q, p), np.where(uid[p] > uid[q], p, q)
+        if len(p):
+            cols = [uid[p], uid[q], left[p], right[p], left[q], right[q], centre[p], centre[q], tree]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "a_low", "a_high", "b_low", "b_high", "a_at", "b_at", "tree"])
+
+
+def _forest(a: list[int], b: list[int]) -> list[int]:
+    """Which edges connect what those before them do not."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    out = []
+    for i, (x, y) in enumerate(zip(a, b)):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            out.append(i)
+    return out
+
+
+def _common(code: np.ndarray, window: np.ndarray, need: np.ndarray, class_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of windows of no or different classes (-1: none) that have the shingles `need` asks for in common, and how many. Sorted by code and window."""
+    n = len(need)
+    known, of = np.unique(class_[class_ >= 0], return_counts=True)
+    open_ = np.flatnonzero(class_ != known[of.argmax()]) if len(known) else np.arange(n)  # one class needs no pair within
+    row = np.full(n, -1)
+    row[open_] = np.arange(len(open_))
+    use = (np.bincount(code, weights=row[window] >= 0) > 0)[code]
+    code, window = np.unique(code[use], return_inverse=True)[1], window[use]
+    often = np.bincount(code)[code] > OFTEN if len(code) else np.zeros(0, bool)
+    count = np.zeros((len(open_), n), np.float32)
+    which = np.unique(code[often], return_inverse=True)[1]
+    for low in range(0, int(which.max()) + 1 if len(which) else 0, 1024):
+        here = (which >= low) & (which < low + 1024)
+        held = np.zeros((n, 1024), np.float32)
+        held[window[often][here], which[here] - low] = 1
+        count += held[open_] @ held.T
+    code, window = code[~often], window[~often]
+    found = [np.zeros(0, np.int64)]
+    for step in range(1, OFTEN):
+        same = code[: max(0, len(code) - step)] == code[step:]
+        if not same.any():
+            break
+        p, q = window[: len(same)][same], window[step:][same]
+        for i, j in ((row[p], q), (row[q], p)):
+            found.append((i * n + j)[i >= 0])
+    count += np.bincount(np.concatenate(found), minlength=count.size).reshape(count.shape)
+    p, q = np.nonzero((count >= need[open_][:, None]) & (count >= need) & ((class_[open_][:, None] != class_) | (class_ < 0)))
+    shared, p = count[p, q], open_[p]
+    once = (row[q] < 0) | (p < q)
+    return p[once], q[once], shared[once]
+
+
+def _merged_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["a", "b", "a_low", "a_high", "b_low", "b_high"]
+    for group in groups.in_order(batches, ["a", "b"]):
+        found = _merged(list(set(zip(*(group.column(c).to_pylist() for c in names[2:])))))
+        ends = [[group.column(c)[0].as_py()] * len(found) for c in names[:2]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*ends, *zip(*found))], names)
+
+
+def _in_class(rows: DataFrame, passages: DataFrame, uid: str, at: str, name: str) -> DataFrame:
+    """The class of the passage that holds the shingle at place `at` of text `uid`; null without one."""
+    own = passages.select(F.col("uid").alias("_uid"), "first_word", "last_word", F.col("component").alias(name))
+    inside = (F.col(uid) == F.col("_uid")) & (F.col("first_word") <= F.col(at)) & (F.col("last_word") >= F.col(at) + K - 1)
+    return rows.join(own, inside, "left").drop("_uid", "first_word", "last_word")
+
+
+def _open_pairs(windows: DataFrame, rows: DataFrame, pairs: DataFrame, least: int, percent: int) -> DataFrame:
+    """`pairs` and those of windows of large keys: all pairs of windows of a key are compared but those whose centres `pairs` put into one class of passages.
+
+    Compared are the shingles beside the centre, in parts of `PART` windows; texts travel once, with the list of their windows. Of the pairs with
+    enough in common those that connect all are verified first, then all that are still of no or different classes."""
+    passages = _classes(pairs, _spans_of(pairs).distinct())
+    classed = _in_class(windows, passages, "uid", "centre", "class").groupBy("key", "uid", "left", "centre", "right").agg(F.min("class").alias("class"))
+    classed = written(classed, "classed")
+    none = F.count(F.lit(1)) > F.count("class")
+    keys = classed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"), (none | (F.min("class") < F.max("class"))).alias("open"))
+    lists = classed.join(keys.where("open"), "key").groupBy("uid").agg(
+        F.collect_list(F.struct("key", "class", "parts", "left", "centre", "right")).alias("windows")
+    )
+    lists = written(lists, "lists")
+    texts = rows.join(lists.select("uid"), "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text")
+    near = lists.join(texts, "uid").mapInArrow(
+        _surroundings(least, percent), "key long, uid long, class long, parts long, left long, centre long, right long, need long, shingles binary"
+    )
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+    dealt = near.withColumn("part", F.expr("pmod(xxhash64(uid, left), parts)")).select("*", other)
+    dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "other")
+    schema = "a long, b long, a_low long, a_high long, b_low long, b_high long"
+    alike = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_alike, f"{schema}, a_at long, b_at long, tree boolean")
+    alike = written(alike, "alike")
+
+    def checked(found: DataFrame) -> DataFrame:
+        places = found.select("a", "b", "a_low", "a_high", "b_low", "b_high").repartition("a", "b").sortWithinPartitions("a", "b")
+        return pairs.union(_verified(written(places.mapInArrow(_merged_places, schema), "places"), rows, least, percent)).distinct()
+
+    pairs = checked(alike.where("tree"))
+    rest = alike.where("not tree")
+    if rest.isEmpty():
+        return pairs
+    passages = _classes(pairs, _spans_of(pairs).distinct())
+    rest = _in_class(_in_class(rest, passages, "a", "a_at", "p"), passages, "b", "b_at", "q")
+    return checked(rest.where("p is null or q is null or p <> q"))
+
+
 def passage_pairs(docs: DataFrame, least: int = LEAST, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """Verified pairs of passages `(a, a_first, a_last, b, b_first, b_last, similarity)` of different texts, and all documents `(uid, doc_id)`.
 
-    Places are words from 0, both ends included; `a`, `b` and `uid` are hashes of texts."""
+    Places are words from 0, both ends included; `a`, `b` and `uid` are hashes of texts. Of windows of a large key that are in one class the pairs that connect them."""
     shingles = least - K + 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
         F.xxhash64("text").alias("uid"), "doc_id", "text"
     )
     names = written(rows.select("uid", "doc_id").distinct(), "names")
-    windows = rows.select("uid", "text").mapInArrow(_windows(shingles), f"key long, context long, own {WINDOW}, other {WINDOW}")
-    links = (
+    windows = rows.select("uid", "text").mapInArrow(_windows(shingles), f"key long, context long, own {WINDOW}")
+    links = written(
         windows.repartition("key")
-        .sortWithinPartitions("key", "own.uid", "own.right", "own.left", "other.uid", "other.right", "other.left")
-        .mapInArrow(_stars, "hash long, a long, a_left long, a_right long, b long, b_left long, b_right long")
+        .sortWithinPartitions("key", "own.uid", "own.right", "own.left")
+        .mapInArrow(partial(_stars, large=True), "hash long, a long, a_left long, a_right long, b long, b_left long, b_right long"),
+        "links",
     )
     places = written(
-        links.repartition("a", "b")
+        links.where(F.col("hash") != LARGE).repartition("a", "b")
         .sortWithinPartitions("a", "b")
         .mapInArrow(_join_intervals, "a long, b long, a_low long, a_high long, b_low long, b_high long"),
         "places",
     )
-    uids = places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct()
-    texts = written(rows.join(uids, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), "texts")
-    side = lambda c: texts.select(F.col("uid").alias(c), "text")
-    ranges = places.join(side("a"), "a").sortWithinPartitions("a").mapInArrow(
-        _ranges, "a long, b long, a_low long, a_high long, b_low long, b_high long, shingles binary"
+    pairs = _verified(places, rows, shingles, percent)
+    low = F.lit(0xFFFFFFFF)
+    large = links.where(F.col("hash") == LARGE).select(
+        F.col("b").alias("key"), F.col("a").alias("uid"), F.shiftright("a_left", 32).alias("left"),
+        F.col("a_left").bitwiseAND(low).alias("centre"), F.col("a_right").bitwiseAND(low).alias("right"),
     )
-    both = ranges.join(side("b"), "b").sortWithinPartitions("b")
-    schema = "a long, a_first long, a_last long, b long, b_first long, b_last long, similarity double"
-    return written(both.mapInArrow(_verify(shingles, percent), schema), "pairs"), names
+    if large.isEmpty():
+        return pairs, names
+    return _open_pairs(large, rows, pairs, shingles, percent), names
 
 
 def _copied_texts(docs: DataFrame, names: DataFrame, least: int) -> DataFrame:
@@ -505,32 +778,8 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, percent: int = 75) ->
        the shingles of both ranges; each text is hashed once a side.
     3. Spans of a document that overlap become one passage; classes are connected components."""
     pairs, names = passage_pairs(docs, least, percent)
-    side = lambda s: F.struct(F.col(s).alias("uid"), F.col(f"{s}_first").alias("first"), F.col(f"{s}_last").alias("last"))
-    spans = pairs.select(F.explode(F.array(side("a"), side("b"))).alias("s")).select("s.*").union(_copied_texts(docs, names, least)).distinct()
-    along = W.partitionBy("uid").orderBy("first", "last")
-    before = F.max("last").over(along.rowsBetween(W.unboundedPreceding, -1))
-    apart = F.coalesce((F.col("first") > before - OVERLAP + 1).cast("int"), F.lit(0))
-    marked = spans.withColumn("new", apart).withColumn("at", F.sum("new").over(along))
-    whole = W.partitionBy("uid", "at")
-    merged = written(
-        marked.select(
-            "uid", "first", "last", "at", F.min("first").over(whole).alias("first_word"), F.max("last").over(whole).alias("last_word")
-        ),
-        "spans",
-    )
-    passages = written(
-        merged.select("uid", "at", "first_word", "last_word").distinct().withColumn("passage", F.monotonically_increasing_id()),
-        "passages",
-    )
-    known = written(merged.join(passages.select("uid", "at", "passage"), ["uid", "at"]).select("uid", "first", "last", "passage"), "known")
-    end = lambda s, n: known.select(
-        F.col("uid").alias(s), F.col("first").alias(f"{s}_first"), F.col("last").alias(f"{s}_last"), F.col("passage").alias(n)
-    )
-    edges = pairs.join(end("b", "q"), ["b", "b_first", "b_last"]).join(end("a", "p"), ["a", "a_first", "a_last"])
-    classes = components(edges.select(F.col("p").alias("a"), F.col("q").alias("b")))
-    component = F.coalesce("component", "passage").alias("component")  # copies of a text that no other text shares
-    whole_ = passages.join(classes, passages["passage"] == classes["node"], "left").select("uid", "first_word", "last_word", component)
-    placed = written(whole_.join(names, "uid").select("doc_id", "first_word", "last_word", "component"), "placed")
+    whole = _classes(pairs, _spans_of(pairs).union(_copied_texts(docs, names, least)).distinct())
+    placed = written(whole.join(names, "uid").select("doc_id", "first_word", "last_word", "component"), "placed")
     named = placed.select("component", "doc_id").distinct().groupBy("component").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_docs")
     )

@@ -215,6 +215,36 @@ def test_contexts_of_large_keys_in_blocks(monkeypatch, docs_of, prose_of):
     assert set(parent) == {0}
 
 
+def test_all_windows_of_a_key_are_linked(prose_of):
+    part = prose_of(36, 50)
+    rows = [(i, " ".join([prose_of(9100 + 2 * i, 60), edited(part, random.Random(i), 1), prose_of(9101 + 2 * i, 60)])) for i in range(8)]
+    windows = list(P._windows(46)(iter([_batch(rows)])))
+    held = sorted((r for b in windows for r in b.to_pylist()), key=lambda r: (r["key"], r["own"]["uid"], r["own"]["right"], r["own"]["left"]))
+    texts = defaultdict(set)
+    for r in held:
+        texts[r["key"]].add((r["own"]["uid"], r["own"]["left"]))
+    want = {(x, y) for s in texts.values() for x in s for y in s if x[0] < y[0]}
+    table = pa.Table.from_pylist(held, schema=windows[0].schema)
+    got = {((r["a"], r["a_left"]), (r["b"], r["b_left"])) for b in P._stars(iter(table.to_batches())) for r in b.to_pylist()}
+    assert len(want) > 28 and got == want
+
+
+def test_near_passages_among_many_texts_with_their_middle(docs_of, prose_of):
+    """Beside the centre a pair of near passages agrees for less than each with the texts that hold only the middle."""
+    rows, pairs = [], 12
+    fill = lambda seed, n: prose_of(seed, n, 10**6)
+    for i in range(pairs):
+        passage = fill(60_000 + i, 80).split()
+        near = [f"x{i}" if j in (24, 60) else w for j, w in enumerate(passage)]
+        for j in range(26):
+            held = passage if j == 3 else near if j == 17 else passage[20:64]
+            rows.append((100 * i + j, " ".join([fill(70_000 + 100 * i + 2 * j, 100), *held, fill(70_001 + 100 * i + 2 * j, 100)])))
+    got = defaultdict(set)
+    for r in P.repeated_passages(docs_of(rows)).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert set(map(frozenset, got.values())) == {frozenset({100 * i + 3, 100 * i + 17}) for i in range(pairs)}
+
+
 def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["uid", "text"])
 
