@@ -770,10 +770,9 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, percent: int = 75) ->
     named by its smallest doc_id and given with its number of documents. Null, empty and short texts have no
     passages; rows equal in doc_id and text are one document; a null doc_id comes last in a class.
 
-    1. Compact windows of each whole text under `HASHES` hashes of its shingles; documents with equal texts are one text. Each window is linked to
-       the first of its key and to the first of those whose shingles beside the centre (on the right under one half of the hashes, on the left under
-       the other) agree longest with its own: at most two links a window, and a text that shares a part of a passage does not take the
-       link of two that share all of it. Contexts of a key with more than `BLOCK` windows are compared within blocks.
+    1. Compact windows of each whole text under `HASHES` hashes of its shingles; documents with equal texts are one text. All windows of a
+       key of at most `PAIRS` are linked. In a larger key each is linked to the first and to the first of those whose shingles beside the centre
+       agree longest with its own; once these are verified, all pairs that no class connects are compared by their shingles.
     2. Interval join: per pair of documents, chains of matching windows from `ENOUGH` hashes. Candidates are verified on
        the shingles of both ranges; each text is hashed once a side.
     3. Spans of a document that overlap become one passage; classes are connected components."""
