@@ -21,12 +21,14 @@ HASHES, ENOUGH = 4, 2  # of 4 minima 2 agree: always for equal passages, 95 time
 SLANT = 24  # places by which the offset of two passages may drift
 GAPS = [12, 6, 1]  # shingles from one with a counterpart to the next inside a run, tried in turn where no joined span is similar; 1: none left out
 CHUNK = 4 << 20  # bytes of text in which equal windows meet before the shuffle
+RUNS = 256  # runs of equal shingles of two texts of which all pairs are counted at once
 OFTEN = 64  # windows of a part from which a shingle is counted by a matrix product
 OVERLAP = 25  # words that two spans of a document share if they are one passage
 STEPS, STRIDE, BITS = 12, 4, 5  # of a window's context: shingles read beside its centre, places from one to the next, bits of each
 BLOCK = 1 << 18  # windows whose contexts are compared at once; a key that has more is cut
 PAIRS = 16  # windows of a key of which all are linked at once; in larger keys those that no passage connects are compared by shingles
 LARGE = 8  # no hash: a window of a larger key
+TABLE = 1 << 25  # shingles of windows marked at once
 PART = 1024  # windows of a larger key compared with as many others in a task
 
 _MULTIPLY = np.random.default_rng(31).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -247,38 +249,61 @@ def _stars(batches: Iterator[pa.RecordBatch], large: bool = False) -> Iterator[p
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
 
+def _whole_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by a and b in blocks of at least `BLOCK // 4` rows that end where a pair ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < BLOCK // 4:
+            continue
+        block = pa.concat_batches(held)
+        a, b = (block.column(c).to_numpy() for c in ("a", "b"))
+        ends = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        cut = int(ends[-1]) + 1 if len(ends) else 0
+        if cut:
+            yield block.slice(0, cut)
+        held = [block.slice(cut)]
+    if sum(b.num_rows for b in held):
+        yield pa.concat_batches(held)
+
+
 def _join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each pair of documents, chains of matching windows along similar offsets that overlap in both texts and come from enough
     hashes: where in either text a near-duplicate passage can lie."""
-    for group in groups.in_order(batches, ["a", "b"]):
-        if group.num_rows < ENOUGH:
+    for block in _whole_pairs(batches):
+        a, b, hash_, al, ar, bl, br = (block.column(c).to_numpy() for c in ("a", "b", "hash", "a_left", "a_right", "b_left", "b_right"))
+        starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        pair = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(a))))
+        hashes = np.bitwise_or.reduceat(np.int64(1) << hash_, starts)
+        use = np.flatnonzero((np.bitwise_count(hashes) >= ENOUGH)[pair])
+        if not len(use):
             continue
-        get = lambda c: group.column(c).to_numpy()
-        hash_ = get("hash")
-        (al, ar), (bl, br) = ((get(f"{s}_left"), get(f"{s}_right")) for s in "ab")
+        a, b, pair, hash_, al, ar, bl, br = (x[use] for x in (a, b, pair, hash_, al, ar, bl, br))
         low, mask = np.int64(32), np.int64(0xFFFFFFFF)
-        sides = [(left >> low, left & mask, right & mask) for left, right in ((al, ar), (bl, br))]
-        drift = sides[0][1] - sides[1][1]
-        by_drift = np.argsort(drift, kind="stable")
+        drift = (al & mask) - (bl & mask)
+        by_drift = np.lexsort((drift, pair))
         band = np.empty(len(drift), np.int64)
-        band[by_drift] = np.concatenate([[0], np.cumsum(np.diff(drift[by_drift]) > SLANT)])
-        order = np.lexsort((sides[0][0], band))
-        found = []
-        start = 0
-        reach = [-1, -1]
-        for at, i in enumerate([*order.tolist(), -1]):
-            if at and (i < 0 or band[i] != band[order[start]] or sides[0][0][i] > reach[0] or sides[1][0][i] > reach[1]):
-                chain = order[start:at]
-                if len(np.unique(hash_[chain])) >= ENOUGH:
-                    found.append([x for s in sides for x in (int(s[0][chain].min()), int(s[2][chain].max()))])
-                start, reach = at, [-1, -1]
-            if i >= 0:
-                reach = [max(r, int(s[2][i])) for r, s in zip(reach, sides)]
+        band[by_drift] = np.concatenate([[0], np.cumsum((np.diff(drift[by_drift]) > SLANT) | (np.diff(pair[by_drift]) > 0))])
+        order = np.lexsort((al >> low, band))
+        rows = zip(*(x[order].tolist() for x in (pair, band, hash_, al >> low, ar & mask, bl >> low, br & mask)))
+        found: dict[int, list[list[int]]] = {}
+        now = last = -1
+        seen, place = 0, [0, -1, 0, -1]
+        for of, band_, h, a_low, a_high, b_low, b_high in rows:
+            if band_ == last and a_low <= place[1] and b_low <= place[3]:
+                seen |= 1 << h
+                place = [min(place[0], a_low), max(place[1], a_high), min(place[2], b_low), max(place[3], b_high)]
+                continue
+            if seen.bit_count() >= ENOUGH:
+                found.setdefault(now, []).append(place)
+            now, last, seen, place = of, band_, 1 << h, [a_low, a_high, b_low, b_high]
+        if seen.bit_count() >= ENOUGH:
+            found.setdefault(now, []).append(place)
         if found:
-            found = _merged(found)
-            a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
-            cols = np.array(found, np.int64)
-            arrays = [pa.array([a] * len(found)), pa.array([b] * len(found)), *(pa.array(cols[:, i]) for i in range(4))]
+            merged = [_merged(x) if len(x) > 1 else x for x in found.values()]
+            at = np.repeat(np.searchsorted(pair, list(found)), [len(x) for x in merged])
+            cols = np.array([x for places in merged for x in places], np.int64)
+            arrays = [pa.array(a[at]), pa.array(b[at]), *(pa.array(cols[:, i]) for i in range(4))]
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "a_low", "a_high", "b_low", "b_high"])
 
 
@@ -311,14 +336,89 @@ def common_passages(x: np.ndarray, y: np.ndarray, least: int, percent: int) -> l
     Neighbouring runs of x with counterparts are joined, whatever lies between them, as long as the joined span and the
     span of its counterparts still reach `percent`; what no such span covers is searched by runs. Each place of x meets one
     place of y, so where shingles of x stand several times in y the places of y are searched as well."""
-    out = _one_way(x, y, least, percent)
-    ys = np.sort(y)
+    xs, order = np.sort(x), np.argsort(y)
+    ys = y[order]
     again = ys[1:][ys[1:] == ys[:-1]]
+    if not len(again) and not (xs[1:] == xs[:-1]).any():
+        found = _once_passages(x, ys, order, least, percent)
+        if found is not None:
+            return found
+    out = _one_way(x, y, least, percent)
     if len(again) and np.isin(again, x).any():
         out += sorted({(a, b, c, d, near) for c, d, a, b, near in _one_way(y, x, least, percent)} - set(out))
     return out
 
 
+def _once_passages(x: np.ndarray, ys: np.ndarray, order: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]] | None:
+    """`_one_way` of shingles that stand once in x and once in y: all pairs of a first and a last run are counted at once. None if there are too many runs."""
+    if min(len(x), len(ys)) < least:
+        return []
+    to = np.minimum(np.searchsorted(ys, x), len(ys) - 1)
+    at = np.flatnonzero(ys[to] == x)
+    if not len(at):
+        return []
+    place = order[to[at]]
+    cut = np.flatnonzero((at[1:] - at[:-1] != 1) | (place[1:] - place[:-1] != 1)) + 1
+    if not len(cut):
+        return [(int(at[0]), int(at[-1]), int(place[0]), int(place[-1]), 1.0)] if len(at) >= least else []
+    if len(cut) >= RUNS:
+        return None
+    first, last = np.append(0, cut), np.append(cut, len(at)) - 1
+    wide = at[last] - at[first][:, None] + 1  # from the start of run i to the end of run j
+    both = last - first[:, None] + 1
+    able = (wide >= least) & (100 * both >= percent * wide)
+    starts = np.flatnonzero(able.any(axis=1))
+    if not len(starts):
+        return []
+    upper = np.arange(len(first)) >= starts[:, None]
+    c = np.minimum.accumulate(np.where(upper, place[first], len(ys)), axis=1)
+    d = np.maximum.accumulate(np.where(upper, place[last], -1), axis=1)
+    other = d - c + 1
+    held = both[starts]
+    fit = able[starts] & (other >= least) & (100 * held >= percent * (wide[starts] + other - held))
+    out, reached = [], -1
+    ends = np.where(fit.any(axis=1), fit.shape[1] - 1 - fit[:, ::-1].argmax(axis=1), -1).tolist()
+    for i, (start, j) in enumerate(zip(starts.tolist(), ends)):
+        if j > reached:
+            n = int(held[i, j])
+            out.append((int(at[first[start]]), int(at[last[j]]), int(c[i, j]), int(d[i, j]), n / int(wide[start, j] + other[i, j] - n)))
+            reached = j
+    covered = np.zeros(len(x) + 1, np.int64)
+    for a, b, *_ in out:
+        covered[a + 1 : b + 2] = 1
+    upto = np.cumsum(covered)
+    if not (able & (upto[at[last] + 1] - upto[at[first]][:, None] < wide)).any():
+        return out
+    return out + _once_runs(at, place, upto, least, percent, GAPS)
+
+
+def _once_runs(at: np.ndarray, place: np.ndarray, upto: np.ndarray, least: int, percent: int, gaps: list[int]) -> list[tuple[int, int, int, int, float]]:
+    """`_run_passages` of shingles that stand once in x and once in y. `upto`: how many places of x before each are covered."""
+    cut = np.flatnonzero(at[1:] - at[:-1] > gaps[0]) + 1
+    ends = [(i, j) for i, j in _between(cut, len(at)) if at[j] - at[i] + 1 >= least and upto[at[j] + 1] - upto[at[i]] < at[j] - at[i] + 1]
+    if not ends:
+        return []
+    ys = np.sort(place)
+    y_cut = np.flatnonzero(ys[1:] - ys[:-1] > gaps[0]) + 1
+    y_first, y_last = ys[np.append(0, y_cut)], ys[np.append(y_cut, len(ys)) - 1]
+    out = []
+    for i, j in ends:
+        a, b = int(at[i]), int(at[j])
+        here = np.sort(place[i : j + 1])
+        n = len(here)
+        if 100 * n >= percent * (b - a + 1):
+            k = int(np.searchsorted(y_first, (here[(n - 1) // 2] + here[n // 2]) / 2, side="right")) - 1
+            c, d = int(y_first[k]), int(y_last[k])
+            both = int(np.searchsorted(here, d, side="right") - np.searchsorted(here, c))
+            all_ = b - a + 1 + d - c + 1 - both
+            if d - c + 1 >= least and 100 * both >= percent * all_:
+                out.append((a, b, c, d, both / all_))
+                continue
+        if len(gaps) > 1:
+            out += _once_runs(at[i : j + 1], place[i : j + 1], upto, least, percent, gaps[1:])
+    return out
+
+
 def _one_way(x: np.ndarray, y: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
     if min(len(x), len(y)) < least:
         return []
@@ -578,41 +678,101 @@ def _surroundings(least: int, percent: int):
     return run
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the windows of a key in two of its parts, the pairs that no class connects and that have enough shingles in common. `tree`: one
-    of so many as connect all, those with the most in common first."""
-    for group in groups.in_order(batches, ["key", "i", "j"]):
-        if group.num_rows < 2:
-            continue
-        uid, left, centre, right, need, part = (group.column(c).to_numpy() for c in ("uid", "left", "centre", "right", "need", "part"))
-        class_ = group.column("class").fill_null(-1).to_numpy()
-        sizes = pc.binary_length(group.column("shingles")).to_numpy() // 4
-        data = np.concatenate([np.frombuffer(T.text_bytes(c.cast(pa.large_binary()))[0].tobytes(), np.uint32) for c in group.column("shingles").chunks])
-        window = np.repeat(np.arange(len(uid)), sizes)
-        while True:  # shingles of one window, and windows with too few others, have no part in a pair
-            values, code = np.unique(data, return_inverse=True)
-            held = np.unique(code * len(uid) + window)
-            code, window = held // len(uid), held % len(uid)
-            data = values[code]
-            use = np.bincount(code)[code] > 1
-            use &= (np.bincount(window[use], minlength=len(uid)) >= need)[window]
-            if use.all():
-                break
-            data, window = data[use], window[use]
-        if not len(window):
-            continue
-        at, window = np.unique(window, return_inverse=True)
-        uid, left, centre, right, need, part, class_ = (x[at] for x in (uid, left, centre, right, need, part, class_))
-        p, q, count = _common(code, window, need, class_)
-        keep = (uid[p] != uid[q]) & ((part[p] != part[q]) | (group.column("i")[0] == group.column("j")[0]))
-        order = np.flatnonzero(keep)[np.argsort(-count[keep], kind="stable")]
-        p, q = p[order], q[order]
-        tree = np.zeros(len(p), bool)
-        tree[_forest(*(np.where(class_[x] < 0, x, len(at) + class_[x]).tolist() for x in (p, q)))] = True
-        p, q = np.where(uid[p] > uid[q], q, p), np.where(uid[p] > uid[q], p, q)
-        if len(p):
-            cols = [uid[p], uid[q], left[p], right[p], left[q], right[q], centre[p], centre[q], tree]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "a_low", "a_high", "b_low", "b_high", "a_at", "b_at", "tree"])
+def _alike(least: int, percent: int):
+    """Of the windows of a key in two of its parts, the pairs that no class connects, that have enough shingles in common and whose centres similar
+    passages can hold. `tree`: one of so many as connect all, those with the most in common first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups.in_order(batches, ["key", "i", "j"]):
+            if group.num_rows < 2:
+                continue
+            uid, left, centre, right, need, part = (group.column(c).to_numpy() for c in ("uid", "left", "centre", "right", "need", "part"))
+            class_ = group.column("class").fill_null(-1).to_numpy()
+            sizes = pc.binary_length(group.column("shingles")).to_numpy() // 4
+            data = np.concatenate([np.frombuffer(T.text_bytes(c.cast(pa.large_binary()))[0].tobytes(), np.uint32) for c in group.column("shingles").chunks])
+            window = np.repeat(np.arange(len(uid)), sizes)
+            own, spot = data, (np.arange(len(data)) - (np.cumsum(sizes) - sizes)[window] - np.minimum(centre - left, far)[window] + far)
+            while True:  # shingles of one window, and windows with too few others, have no part in a pair
+                values, code = np.unique(data, return_inverse=True)
+                held = np.unique(code * len(uid) + window)
+                code, window = held // len(uid), held % len(uid)
+                data = values[code]
+                use = np.bincount(code)[code] > 1
+                use &= (np.bincount(window[use], minlength=len(uid)) >= need)[window]
+                if use.all():
+                    break
+                data, window = data[use], window[use]
+            if not len(window):
+                continue
+            at, window = np.unique(window, return_inverse=True)
+            uid, left, centre, right, need, part, class_ = (x[at] for x in (uid, left, centre, right, need, part, class_))
+            p, q, count = _common(code, window, need, class_)
+            keep = (uid[p] != uid[q]) & ((part[p] != part[q]) | (group.column("i")[0] == group.column("j")[0]))
+            if not keep.any():
+                continue
+            known = np.minimum(np.searchsorted(values, own), len(values) - 1)
+            beyond = len(values) + 1
+            shingles = np.full((len(sizes), 2 * far + 1), beyond)  # from `far` before the centre on
+            shingles[np.repeat(np.arange(len(sizes)), sizes), spot] = np.where(values[known] == own, known, len(values))
+            again = _repeats(own, sizes, spot, shingles.shape)
+            keep[keep] = _can_be_similar(p[keep], q[keep], shingles[at], again[at], beyond, code, window, least, percent)
+            order = np.flatnonzero(keep)[np.argsort(-count[keep], kind="stable")]
+            p, q = p[order], q[order]
+            tree = np.zeros(len(p), bool)
+            tree[_forest(*(np.where(class_[x] < 0, x, len(at) + class_[x]).tolist() for x in (p, q)))] = True
+            p, q = np.where(uid[p] > uid[q], q, p), np.where(uid[p] > uid[q], p, q)
+            if len(p):
+                cols = [uid[p], uid[q], left[p], right[p], left[q], right[q], centre[p], centre[q], tree]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "a_low", "a_high", "b_low", "b_high", "a_at", "b_at", "tree"])
+
+    far = -(-100 * least // percent)
+    return run
+
+
+def _repeats(own: np.ndarray, sizes: np.ndarray, spot: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """How often the shingle at each spot of a window stands in the window."""
+    window = np.repeat(np.arange(len(sizes)), sizes)
+    out = np.ones(shape, np.int64)
+    order = np.lexsort((own, window))
+    new = np.append(True, (own[order][1:] != own[order][:-1]) | (window[order][1:] != window[order][:-1]))[: len(order)]
+    starts = np.flatnonzero(new)
+    counts = np.diff(np.append(starts, len(order)))
+    out[window[order], spot[order]] = np.repeat(counts, counts)
+    return out
+
+
+def _can_be_similar(
+    p: np.ndarray, q: np.ndarray, shingles: np.ndarray, again: np.ndarray, beyond: int, code: np.ndarray, window: np.ndarray, least: int, percent: int
+) -> np.ndarray:
+    """Whether runs of at least `least` shingles that hold the centres of windows p and q can be similar. With n and m distinct shingles and s in both,
+    s / (n + m - s) reaches the percentage if (100 + percent) * 2s >= 2 * percent * (n + m): a shingle of either run that the other window has
+    adds 100 - percent, another takes 2 * percent, shared out if it stands there more than once. The best runs of both windows must not sum up to less than 0."""
+    cost = (-(2 * percent // again)).astype(np.int32)
+    cost[shingles == beyond] = -(1 << 20)
+    total = np.zeros(len(p), np.int64)
+    held = np.argsort(window, kind="stable")
+    code, window = code[held], window[held]
+    rows = min(len(shingles), max(1, TABLE // (beyond + 1)))
+    half = shingles.shape[1] // 2
+    first = np.arange(half + 1)
+    end = np.maximum(half, first + least - 1)
+    for x, y in ((p, q), (q, p)):
+        by = np.argsort(y, kind="stable")
+        for low in range(0, len(shingles), rows):
+            here = by[np.searchsorted(y, low, sorter=by) : np.searchsorted(y, low + rows, sorter=by)]
+            if not len(here):
+                continue
+            part = slice(*np.searchsorted(window, [low, low + rows]))
+            table = np.zeros((rows, beyond + 1), bool)
+            table[window[part] - low, code[part]] = True
+            for at in range(0, len(here), 1 << 12):
+                pair = here[at : at + (1 << 12)]
+                value = np.where(table[y[pair, None] - low, shingles[x[pair]]], np.int32(100 - percent), cost[x[pair]])
+                upto = np.zeros((len(pair), value.shape[1] + 1), np.int32)
+                np.cumsum(value, axis=1, out=upto[:, 1:])
+                best = np.maximum.accumulate(upto[:, :0:-1], axis=1)[:, ::-1]  # the largest sum up to an end from each place on
+                total[pair] += (best[:, end] - upto[:, first]).max(axis=1)
+    return total >= 0
 
 
 def _forest(a: list[int], b: list[int]) -> list[int]:
@@ -704,7 +864,9 @@ def _open_pairs(windows: DataFrame, rows: DataFrame, pairs: DataFrame, least: in
     dealt = near.withColumn("part", F.expr("pmod(xxhash64(uid, left), parts)")).select("*", other)
     dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "other")
     schema = "a long, b long, a_low long, a_high long, b_low long, b_high long"
-    alike = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_alike, f"{schema}, a_at long, b_at long, tree boolean")
+    alike = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+        _alike(least, percent), f"{schema}, a_at long, b_at long, tree boolean"
+    )
     alike = written(alike, "alike")
 
     def checked(found: DataFrame) -> DataFrame:

@@ -245,6 +245,52 @@ def test_near_passages_among_many_texts_with_their_middle(docs_of, prose_of):
     assert set(map(frozenset, got.values())) == {frozenset({100 * i + 3, 100 * i + 17}) for i in range(pairs)}
 
 
+def test_windows_without_a_passage_at_their_centres_are_no_pair():
+    """Texts that share many shingles, but nowhere around the centre enough of them, need no verification."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 1 << 32, 125, dtype=np.uint32)
+    fresh = lambda: rng.integers(1, 1 << 32, 125, dtype=np.uint32)
+    third = np.where(np.arange(125) % 3 == 2, base, fresh())  # the centre and 41 others, none of them neighbours
+    near = np.where(np.isin(np.arange(125), range(40, 45)), fresh(), base)
+    rows = [(1, base), (2, third), (3, near), (4, fresh())]
+    batch = pa.RecordBatch.from_pylist(
+        [{"key": 1, "i": 0, "j": 0, "uid": u, "class": None, "left": 0, "centre": 62, "right": 124, "need": 35, "part": 0, "shingles": x.tobytes()} for u, x in rows],
+        pa.schema([(c, pa.int64()) for c in ("key", "i", "j", "uid", "class", "left", "centre", "right", "need", "part")] + [("shingles", pa.binary())]),
+    )
+    got = [(r["a"], r["b"], r["tree"]) for b in P._alike(46, 75)(iter([batch])) for r in b.to_pylist()]
+    assert got == [(1, 3, True)]
+
+
+def test_near_copies_of_one_text_are_compared_where_they_can_be_similar(monkeypatch, docs_of, prose_of):
+    """Of 40 texts of which any two are similar in few places only a part of the pairs is verified."""
+    base = prose_of(37, 300, 10**6).split()
+    rows = [(i, " ".join(w if (j * 7 + i * 5) % 19 > 1 or 100 <= j < 104 else f"x{i}y{j}" for j, w in enumerate(base))) for i in range(40)]
+    seen, verified = [], P._verified
+    monkeypatch.setattr(P, "_verified", lambda places, *args: seen.append(places.count()) or verified(places, *args))
+    P.passage_pairs(docs_of(rows))
+    assert seen and sum(seen[1:]) < 40
+
+
+def test_passages_of_single_shingles_are_those_of_any():
+    rng = random.Random(9)
+    some = 0
+    for _ in range(300):
+        words = [rng.randrange(1 << 60) for _ in range(rng.randrange(50, 400))]
+        other = list(words)
+        for _ in range(rng.randrange(0, 14)):
+            at, n = rng.randrange(len(other)), rng.choice([1, 1, 1, 2, 8, 20])
+            other[at : at + rng.choice([0, n])] = [rng.randrange(1 << 60) for _ in range(n)]
+        if rng.random() < 0.3:
+            cut = rng.randrange(len(other))
+            other = other[cut:] + other[:cut]
+        x, y = (np.array([hash(tuple(t[i : i + 5])) & ((1 << 62) - 1) for i in range(len(t) - 4)], np.uint64) for t in (words, other))
+        order = np.argsort(y)
+        want = P._one_way(x, y, 46, 75)
+        assert P._once_passages(x, y[order], order, 46, 75) == want == P.common_passages(x, y, 46, 75)
+        some += len(want)
+    assert some > 200
+
+
 def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["uid", "text"])
 
