@@ -28,11 +28,13 @@ STEPS, STRIDE, BITS = 12, 4, 5  # of a window's context: shingles read beside it
 BLOCK = 1 << 18  # windows whose contexts are compared at once; a key that has more is cut
 PAIRS = 16  # windows of a key of which all are linked at once; in larger keys those that no passage connects are compared by shingles
 LARGE = 8  # no hash: a window of a larger key
-TABLE = 1 << 25  # shingles of windows marked at once
 PART = 1024  # windows of a larger key compared with as many others in a task
+BUCKET = 1 << 14  # windows of a key whose shingles are looked up in each other's at once; of more by ranges of shingles
+TRIES = 2  # window pairs of two texts tried in a task; those left over are verified on the texts
 
 _MULTIPLY = np.random.default_rng(31).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64(0xFFFF)
+_NEVER, _BEYOND = 1 << 28, 1 << 20  # larger than any sum over a window's shingles; a place outside the window
 _WINDOW = pa.struct([("uid", pa.int64()), ("left", pa.int64()), ("right", pa.int64())])
 WINDOW = "struct<uid:bigint,left:bigint,right:bigint>"
 
@@ -249,16 +251,20 @@ def _stars(batches: Iterator[pa.RecordBatch], large: bool = False) -> Iterator[p
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _whole_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by a and b in blocks of at least `BLOCK // 4` rows that end where a pair ends."""
+def _changes(cols: Sequence[np.ndarray]) -> np.ndarray:
+    """Where rows begin that differ from the row before."""
+    return np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in cols]))[: len(cols[0])]
+
+
+def _whole(batches: Iterator[pa.RecordBatch], names: Sequence[str], rows: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by `names` in blocks of at least so many rows that end where a group ends."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) < BLOCK // 4:
+        if sum(b.num_rows for b in held) < rows:
             continue
         block = pa.concat_batches(held)
-        a, b = (block.column(c).to_numpy() for c in ("a", "b"))
-        ends = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        ends = np.flatnonzero(_changes([block.column(c).to_numpy() for c in names])[1:])
         cut = int(ends[-1]) + 1 if len(ends) else 0
         if cut:
             yield block.slice(0, cut)
@@ -270,7 +276,7 @@ def _whole_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _join_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each pair of documents, chains of matching windows along similar offsets that overlap in both texts and come from enough
     hashes: where in either text a near-duplicate passage can lie."""
-    for block in _whole_pairs(batches):
+    for block in _whole(batches, ["a", "b"], BLOCK // 4):
         a, b, hash_, al, ar, bl, br = (block.column(c).to_numpy() for c in ("a", "b", "hash", "a_left", "a_right", "b_left", "b_right"))
         starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         pair = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(a))))
@@ -469,12 +475,27 @@ def _joined_passages(x: np.ndarray, y: np.ndarray, least: int, percent: int) ->
     at_last, first_place, last_place, fallen = at[last], place[first], place[last], -ahead
     out: list[tuple[int, int, int, int, float]] = []
     reached = -1
-    for i in np.flatnonzero(ahead >= 100 * before - percent * at[first]).tolist():
-        if reached == len(first) - 1:
-            break
-        end = int(np.searchsorted(fallen, percent * at[first[i]] - 100 * before[i], side="right"))  # no later end reaches it
-        if end <= reached + 1 or at[last[end - 1]] - at[first[i]] + 1 < least:
-            continue
+    starts = np.flatnonzero(ahead >= 100 * before - percent * at[first])
+    ends = np.searchsorted(fallen, percent * at[first[starts]] - 100 * before[starts], side="right")  # no later end reaches it
+
+    def able() -> Iterator[tuple[int, int]]:
+        """Starts and ends between which some span beyond what is reached has the counts, looked for from many starts at once."""
+        done, some = 0, 1
+        while done < len(starts) and reached < len(first) - 1:
+            i, end = starts[done : done + some], ends[done : done + some]
+            cols = np.arange(i[0], max(end.max(), i[0] + 1))
+            ahead_ = cols >= i[:, None]
+            c = np.minimum.accumulate(np.where(ahead_, first_place[cols], len(y)), axis=1)
+            other = np.maximum.accumulate(np.where(ahead_, last_place[cols], -1), axis=1) - c + 1
+            wide, both = at_last[cols] - at[first[i]][:, None] + 1, upto[cols] - before[i][:, None]
+            fit = ahead_ & (cols < end[:, None]) & (wide >= least) & (other >= least) & (100 * both >= percent * (wide + other - both))
+            top = np.where(fit.any(axis=1), cols[-1] - fit[:, ::-1].argmax(axis=1), -1)
+            for k in np.flatnonzero(top >= 0).tolist():
+                if top[k] > reached:
+                    yield int(i[k]), int(end[k])
+            done, some = done + some, min(4 * some, max(1, (1 << 16) // len(first)))
+
+    for i, end in able():
         low = max(reached + 1 - i, int(np.searchsorted(at_last[i:end], at[first[i]] + least - 1)))  # earlier ends are known or too near
         c = np.minimum.accumulate(first_place[i:end])
         d = np.maximum.accumulate(last_place[i:end])
@@ -488,7 +509,9 @@ def _joined_passages(x: np.ndarray, y: np.ndarray, least: int, percent: int) ->
         if (fit >= straight).sum() > 1:
             fit = fit[_possible(x[a : a + int(wide[top - 1])], wide[fit], y[c[top - 1] : d[top - 1] + 1], percent)]
         same, all_ = _growing(x[a : a + int(wide[straight - 1])], wide[:straight], y[c[0] : d[straight - 1] + 1], other[:straight])
-        for j in fit[::-1].tolist():
+        near = fit[fit < straight]
+        near = near[100 * same[near] >= percent * all_[near]]
+        for j in [*fit[fit >= straight][::-1].tolist(), *near[-1:].tolist()]:
             b = int(at[last[i + j]])
             n, m = (int(same[j]), int(all_[j])) if j < straight else _similarity(x[a : b + 1], y[c[j] : d[j] + 1])
             if 100 * n >= percent * m:
@@ -622,9 +645,14 @@ def _classes(pairs: DataFrame, spans: DataFrame) -> DataFrame:
     return passages.join(classes, passages["passage"] == classes["node"], "left").select("uid", "first_word", "last_word", component)
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for sub in T.slices(batches, "text"):
+        yield pa.RecordBatch.from_arrays([sub.column("uid"), sub.column("doc_id"), pa.array(T.counts(sub.column("text"), T.SPACES))], ["uid", "doc_id", "words"])
+
+
 def _verified(places: DataFrame, rows: DataFrame, least: int, percent: int) -> DataFrame:
     """Pairs of passages of at least `least` shingles in candidate places."""
-    uids = places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct()
+    uids = written(places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct(), "uids")
     texts = written(rows.join(uids, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), "texts")
     side = lambda c: texts.select(F.col("uid").alias(c), "text")
     ranges = places.join(side("a"), "a").sortWithinPartitions("a").mapInArrow(
@@ -635,177 +663,344 @@ def _verified(places: DataFrame, rows: DataFrame, least: int, percent: int) -> D
     return written(both.mapInArrow(_verify(least, percent), schema), "pairs")
 
 
-def _fewest(shingles: np.ndarray, centre: int, least: int) -> int:
-    """The fewest distinct shingles of a run of `least` that holds the centre."""
-    values, code = np.unique(shingles, return_inverse=True)
-    if len(values) == len(shingles):
-        return least
-    order = np.argsort(code, kind="stable")
-    past = np.full(len(code), -1)
-    past[order[1:]] = np.where(code[order[1:]] == code[order[:-1]], order[:-1], -1)
-    starts = np.arange(max(0, centre - least + 1), min(centre, len(code) - least) + 1)
-    return int((past[starts[:, None] + np.arange(least)] < starts[:, None]).sum(axis=1).min())
+def _fewest(shingles: np.ndarray, text: np.ndarray, low: np.ndarray, centre: np.ndarray, high: np.ndarray, least: int) -> np.ndarray:
+    """For each centre the fewest distinct shingles of a run of `least` in low..high - 1 that holds it. `text`: that of each shingle; runs lie in one text."""
+    order = np.argsort(shingles, kind="stable")
+    again = np.flatnonzero((shingles[order][1:] == shingles[order][:-1]) & (text[order][1:] == text[order][:-1]))
+    past, here = order[again], order[again + 1]
+    begin = np.maximum(here - least + 1, 0)  # runs from `begin` to `past` hold the shingle twice
+    past, begin = past[begin <= past], begin[begin <= past]
+    if not len(past):
+        return np.full(len(centre), least)
+    n = len(shingles)
+    twice = np.cumsum(np.bincount(begin, minlength=n + 1) - np.bincount(past + 1, minlength=n + 1))[:n]
+    first, last = np.maximum(low, centre - least + 1), np.minimum(centre, high - least)
+    out = np.zeros(len(centre), np.int64)
+    level = np.frexp(last - first + 1)[1] - 1
+    for k in np.unique(level).tolist():
+        most, of = _of_runs(np.maximum, twice, 1 << k), np.flatnonzero(level == k)
+        out[of] = least - np.maximum(most[first[of]], most[last[of] - (1 << k) + 1])
+    return out
+
+
+def _beside(batches: Iterator[pa.RecordBatch], far: int) -> Iterator[tuple]:
+    """Of each slice of texts: the uid of each window, the windows, and of the shingles of all texts in 32 bits (equal digits of others only add candidates) those at
+    most `far` from each centre, one window after another, and their numbers; then the whole shingles, the text of each, and the places where each
+    window's begin, have the centre and end."""
+    for sub in T.slices(batches, "text"):
+        w = T.words(sub.column("text"), T.SPACES)
+        grams = T.grams(w.hash, K)
+        of = pc.list_parent_indices(sub.column("windows")).to_numpy()
+        x = sub.column("windows").flatten()
+        left, centre, right = (x.field(c).to_numpy() for c in ("left", "centre", "right"))
+        low, high = np.maximum(left, centre - far), np.minimum(right, centre + far) + 1
+        low, centre, high = (w.first[of] + c for c in (low, centre, high))
+        near, sizes = spread(grams.astype(np.uint32), low, high - low)
+        text = np.repeat(np.arange(sub.num_rows), w.counts())[: len(grams)]
+        yield sub.column("uid").take(pa.array(of)), x, near, sizes, grams, text, low, centre, high
+
+
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Values in pieces of so many each."""
+    at = np.concatenate([[0], np.cumsum(values.itemsize * sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([np.frombuffer(T.text_bytes(c.cast(pa.large_binary()))[0].tobytes(), kind) for c in chunks])
 
 
 def _surroundings(least: int, percent: int):
-    """A row `(key, uid, class, left, right, need, shingles)` for each window of a text: its shingles so near the centre that a shortest passage
-    can hold them, and how many of them another text must have."""
-    far = -(-100 * least // percent)
+    """A row for each window of a text: its shingles so near the centre that a shortest passage can hold them, and how many of them another text must have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sub in T.slices(batches, "text"):
-            w = T.words(sub.column("text"), T.SPACES)
-            grams = T.grams(w.hash, K)
-            lists = sub.column("windows")
-            of = pc.list_parent_indices(lists).to_numpy()
-            x = lists.flatten()
-            get = lambda c: x.field(names.index(c)).to_numpy()  # noqa: E731,B023
-            names = ["key", "class", "parts", "left", "centre", "right"]
-            first, centre = w.first[of], get("centre")
-            low, high = np.maximum(get("left"), centre - far), np.minimum(get("right"), centre + far) + 1
-            need = np.full(len(of), -(-percent * least // 100))
-            for i in range(sub.num_rows):
-                text = grams[w.first[i] : w.first[i + 1] - K + 1]
-                if len(np.unique(text)) < len(text):
-                    for j in np.flatnonzero(of == i).tolist():
-                        need[j] = -(-percent * _fewest(text[low[j] : high[j]], int(centre[j] - low[j]), least) // 100)
-            near, sizes = spread(grams.astype(np.uint32), first + low, high - low)  # equal digits of others only add candidates
-            at = np.concatenate([[0], np.cumsum(4 * sizes)]).astype(np.int32)
-            shingles = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(at), pa.py_buffer(near)])
-            cols = [x.field(0), sub.column("uid").take(pa.array(of)), *(x.field(i) for i in range(1, 6)), pa.array(need), shingles]
-            yield pa.RecordBatch.from_arrays(cols, ["key", "uid", *names[1:], "need", "shingles"])
+        names = ["key", "class", "parts", "more", "open", "left", "centre", "right"]
+        for uid, x, near, sizes, *around in _beside(batches, -(-100 * least // percent)):
+            need = -(-percent * _fewest(*around, least) // 100)
+            cols = [uid, *(x.field(c) for c in names), pa.array(need), _binary(near, sizes)]
+            yield pa.RecordBatch.from_arrays(cols, ["uid", *names, "need", "shingles"])
 
     return run
 
 
-def _alike(least: int, percent: int):
-    """Of the windows of a key in two of its parts, the pairs that no class connects, that have enough shingles in common and whose centres similar
-    passages can hold. `tree`: one of so many as connect all, those with the most in common first."""
+def _scattered(least: int, percent: int):
+    """A row for each window of a text and bucket of its key: the shingles beside the centre whose values are of that bucket, and where they stand there."""
+    far = -(-100 * least // percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups.in_order(batches, ["key", "i", "j"]):
-            if group.num_rows < 2:
-                continue
-            uid, left, centre, right, need, part = (group.column(c).to_numpy() for c in ("uid", "left", "centre", "right", "need", "part"))
-            class_ = group.column("class").fill_null(-1).to_numpy()
-            sizes = pc.binary_length(group.column("shingles")).to_numpy() // 4
-            data = np.concatenate([np.frombuffer(T.text_bytes(c.cast(pa.large_binary()))[0].tobytes(), np.uint32) for c in group.column("shingles").chunks])
-            window = np.repeat(np.arange(len(uid)), sizes)
-            own, spot = data, (np.arange(len(data)) - (np.cumsum(sizes) - sizes)[window] - np.minimum(centre - left, far)[window] + far)
-            while True:  # shingles of one window, and windows with too few others, have no part in a pair
-                values, code = np.unique(data, return_inverse=True)
-                held = np.unique(code * len(uid) + window)
-                code, window = held // len(uid), held % len(uid)
-                data = values[code]
-                use = np.bincount(code)[code] > 1
-                use &= (np.bincount(window[use], minlength=len(uid)) >= need)[window]
-                if use.all():
-                    break
-                data, window = data[use], window[use]
-            if not len(window):
-                continue
-            at, window = np.unique(window, return_inverse=True)
-            uid, left, centre, right, need, part, class_ = (x[at] for x in (uid, left, centre, right, need, part, class_))
-            p, q, count = _common(code, window, need, class_)
-            keep = (uid[p] != uid[q]) & ((part[p] != part[q]) | (group.column("i")[0] == group.column("j")[0]))
-            if not keep.any():
-                continue
-            known = np.minimum(np.searchsorted(values, own), len(values) - 1)
-            beyond = len(values) + 1
-            shingles = np.full((len(sizes), 2 * far + 1), beyond)  # from `far` before the centre on
-            shingles[np.repeat(np.arange(len(sizes)), sizes), spot] = np.where(values[known] == own, known, len(values))
-            again = _repeats(own, sizes, spot, shingles.shape)
-            keep[keep] = _can_be_similar(p[keep], q[keep], shingles[at], again[at], beyond, code, window, least, percent)
-            order = np.flatnonzero(keep)[np.argsort(-count[keep], kind="stable")]
-            p, q = p[order], q[order]
-            tree = np.zeros(len(p), bool)
-            tree[_forest(*(np.where(class_[x] < 0, x, len(at) + class_[x]).tolist() for x in (p, q)))] = True
-            p, q = np.where(uid[p] > uid[q], q, p), np.where(uid[p] > uid[q], p, q)
-            if len(p):
-                cols = [uid[p], uid[q], left[p], right[p], left[q], right[q], centre[p], centre[q], tree]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "a_low", "a_high", "b_low", "b_high", "a_at", "b_at", "tree"])
+        names = ["key", "class", "left", "centre", "right"]
+        for uid, x, near, sizes, _, _, low, centre, _ in _beside(batches, far):
+            window = np.repeat(np.arange(len(sizes)), sizes)
+            spot = (np.arange(len(near)) + (low - centre + far - np.cumsum(sizes) + sizes)[window]).astype(np.uint16)
+            bucket = near % x.field("parts").to_numpy()[window]
+            order = np.lexsort((bucket, window))
+            near, spot, window, bucket = (c[order] for c in (near, spot, window, bucket))
+            starts = np.flatnonzero(_changes([window, bucket]))
+            sizes, of = np.diff(np.append(starts, len(near))), pa.array(window[starts])
+            cols = [uid.take(of), *(x.field(c).take(of) for c in names), pa.array(bucket[starts]), _binary(near, sizes), _binary(spot, sizes)]
+            yield pa.RecordBatch.from_arrays(cols, ["uid", *names, "bucket", "shingles", "spots"])
 
-    far = -(-100 * least // percent)
     return run
 
 
-def _repeats(own: np.ndarray, sizes: np.ndarray, spot: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    """How often the shingle at each spot of a window stands in the window."""
-    window = np.repeat(np.arange(len(sizes)), sizes)
-    out = np.ones(shape, np.int64)
-    order = np.lexsort((own, window))
-    new = np.append(True, (own[order][1:] != own[order][:-1]) | (window[order][1:] != window[order][:-1]))[: len(order)]
-    starts = np.flatnonzero(new)
-    counts = np.diff(np.append(starts, len(order)))
-    out[window[order], spot[order]] = np.repeat(counts, counts)
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the windows of a key and bucket the places of those shingles that stand in the key's windows more than once."""
+    names = ["key", "uid", "class", "left", "centre", "right"]
+    for group in groups.in_order(batches, ["key", "bucket"]):
+        data, spots = _values(group.column("shingles"), np.uint32), _values(group.column("spots"), np.uint16)
+        window = np.repeat(np.arange(group.num_rows), pc.binary_length(group.column("shingles")).to_numpy() // 4)
+        values, code, count = np.unique(data, return_inverse=True, return_counts=True)
+        held = count[code] > 1
+        found = _binary(spots[held], np.bincount(window[held], minlength=group.num_rows))
+        yield pa.RecordBatch.from_arrays([*(group.column(c).combine_chunks() for c in names), found], [*names, "spots"])
+
+
+def _best(value: np.ndarray, may: np.ndarray, least: int) -> np.ndarray:
+    """The largest sum of values of a run of at least `least` places over the middle one, from a place to a place that `may` begin and end it; a column for each window."""
+    half, n = len(value) // 2, value.shape[1]
+    upto = np.zeros((len(value) + 1, n), np.int32)
+    for i in range(len(value)):  # along the windows: many at once
+        np.add(upto[i], value[i], out=upto[i + 1])
+    low = np.where(may[: half + 1], upto[: half + 1], _NEVER)
+    for i in range(half):
+        np.minimum(low[i], low[i + 1], out=low[i + 1])
+    end = np.arange(max(half, least - 1), len(value))
+    return (np.where(may[end], upto[end + 1], -_NEVER) - low[np.minimum(half, end - least + 1)]).max(axis=0)
+
+
+def _edges(left: np.ndarray, centre: np.ndarray, right: np.ndarray, far: int) -> np.ndarray:
+    """The first and last place beside a centre, where the window goes on: passages that hold the centre may do so too."""
+    out = np.zeros((len(centre), 2 * far + 1), bool)
+    out[:, 0], out[:, -1] = centre - left > far, right - centre > far
     return out
 
 
-def _can_be_similar(
-    p: np.ndarray, q: np.ndarray, shingles: np.ndarray, again: np.ndarray, beyond: int, code: np.ndarray, window: np.ndarray, least: int, percent: int
-) -> np.ndarray:
-    """Whether runs of at least `least` shingles that hold the centres of windows p and q can be similar. With n and m distinct shingles and s in both,
-    s / (n + m - s) reaches the percentage if (100 + percent) * 2s >= 2 * percent * (n + m): a shingle of either run that the other window has
-    adds 100 - percent, another takes 2 * percent, shared out if it stands there more than once. The best runs of both windows must not sum up to less than 0."""
-    cost = (-(2 * percent // again)).astype(np.int32)
-    cost[shingles == beyond] = -(1 << 20)
-    total = np.zeros(len(p), np.int64)
-    held = np.argsort(window, kind="stable")
-    code, window = code[held], window[held]
-    rows = min(len(shingles), max(1, TABLE // (beyond + 1)))
-    half = shingles.shape[1] // 2
-    first = np.arange(half + 1)
-    end = np.maximum(half, first + least - 1)
-    for x, y in ((p, q), (q, p)):
-        by = np.argsort(y, kind="stable")
-        for low in range(0, len(shingles), rows):
-            here = by[np.searchsorted(y, low, sorter=by) : np.searchsorted(y, low + rows, sorter=by)]
-            if not len(here):
-                continue
-            part = slice(*np.searchsorted(window, [low, low + rows]))
-            table = np.zeros((rows, beyond + 1), bool)
-            table[window[part] - low, code[part]] = True
-            for at in range(0, len(here), 1 << 12):
-                pair = here[at : at + (1 << 12)]
-                value = np.where(table[y[pair, None] - low, shingles[x[pair]]], np.int32(100 - percent), cost[x[pair]])
-                upto = np.zeros((len(pair), value.shape[1] + 1), np.int32)
-                np.cumsum(value, axis=1, out=upto[:, 1:])
-                best = np.maximum.accumulate(upto[:, :0:-1], axis=1)[:, ::-1]  # the largest sum up to an end from each place on
-                total[pair] += (best[:, end] - upto[:, first]).max(axis=1)
-    return total >= 0
+def _able(least: int, percent: int):
+    """Windows of which a run that holds the centre can be a similar passage by what the key's other windows have: a run of n distinct shingles with s in another's
+    needs s >= percent of all in either, so (100 - percent) * s >= percent * (n - s), and begins and ends with one of them."""
+    far = -(-100 * least // percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, centre, right = (batch.column(c).to_numpy() for c in ("left", "centre", "right"))
+            spots = batch.column("spots").flatten()
+            row = np.repeat(pc.list_parent_indices(batch.column("spots")).to_numpy(), pc.binary_length(spots).to_numpy() // 2)
+            value = np.full((batch.num_rows, 2 * far + 1), -percent, np.int32)
+            value[row, _values(spots, np.uint16)] = 100 - percent
+            place = np.arange(-far, far + 1)
+            value[(place < (left - centre)[:, None]) | (place > (right - centre)[:, None])] = -_BEYOND
+            keep = _best(value.T.copy(), ((value > 0) | _edges(left, centre, right, far)).T, least) >= 0
+            yield batch.select(["key", "uid", "class", "left", "centre", "right"]).filter(pa.array(keep))
 
+    return run
 
-def _forest(a: list[int], b: list[int]) -> list[int]:
-    """Which edges connect what those before them do not."""
-    parent: dict[int, int] = {}
+
+def _alike(least: int, percent: int):
+    """Pairs of windows of a key in two of its parts that no class connects, that have enough shingles in common and whose centres similar
+    passages can hold. `tree`: pairs with a passage beside the centres, so many as connect all that have one, those with the most in common first. Others are given for
+    texts that these do not connect, if their windows go on beyond the shingles or have not been tried: as places, put together by texts."""
+    far = -(-100 * least // percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "a_low", "a_high", "b_low", "b_high", "tree", "a_from", "a_to", "b_from", "b_to"]
+        for block in _whole(batches, ["key", "i", "j"], PART):
+            starts = np.flatnonzero(_changes([block.column(c).to_numpy() for c in ("key", "i", "j")]))
+            for low, high in _together(starts.tolist(), block.num_rows, PART // 2):
+                rows = _connecting(block.slice(low, high - low), least, percent, far)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.bool_() if x == "tree" else pa.int64()) for x, c in zip(names, zip(*rows))], names)
+
+    return run
+
+
+def _together(starts: list[int], n: int, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of groups of at most `most` rows together, or of one group. So many small groups need no more calls than a large one."""
+    low = before = 0
+    for end in [*starts[1:], n]:
+        if end - low > most and before > low:
+            yield low, before
+            low = before
+        before = end
+    yield low, n
+
+
+def _connecting(rows: pa.RecordBatch, least: int, percent: int, far: int) -> list[tuple]:
+    get = lambda c: rows.column(c).to_numpy()
+    uid, left, centre, right, need, part = (get(c) for c in ("uid", "left", "centre", "right", "need", "part"))
+    class_, alone = rows.column("class").fill_null(-1).to_numpy(), get("i") == get("j")
+    group = np.cumsum(_changes([get(c) for c in ("key", "i", "j")])) - 1
+    sizes = pc.binary_length(rows.column("shingles")).to_numpy() // 4
+    data = _values(rows.column("shingles"), np.uint32)
+    window = np.repeat(np.arange(len(uid)), sizes)
+    value = group[window] << 32 | data.astype(np.int64)
+    order = np.argsort(value, kind="stable")
+    all_ = np.cumsum(_changes([value[order]])) - 1
+    own = _changes([all_, window[order]])  # the first of its kind in the window
+    code, held = all_[own], window[order][own]
+    while len(code):  # shingles of one window, and windows with too few others, have no part in a pair
+        use = np.bincount(code)[code] > 1
+        use &= (np.bincount(held[use], minlength=len(uid)) >= need)[held]
+        if use.all():
+            break
+        code, held = code[use], held[use]
+    if not len(code):
+        return []
+    at, held = np.unique(held, return_inverse=True)
+    known, code = np.unique(code, return_inverse=True)
+    group, alone, uid, left, centre, right, need, part, class_ = (x[at] for x in (group, alone, uid, left, centre, right, need, part, class_))
+    p, q, count = _common(code, held, need, class_, np.flatnonzero(~_most(group, class_)), percent)
+    keep = (uid[p] != uid[q]) & ((part[p] != part[q]) | alone[p])
+    if not keep.any():
+        return []
+    row = np.full(len(sizes), -1)
+    row[at] = np.arange(len(at))
+    number = np.full(all_[-1] + 1, len(known))  # of the shingles that no other window has
+    number[known] = np.arange(len(known))
+    spot = (np.arange(len(data)) - (np.cumsum(sizes) - sizes)[window])[order] + (far - np.minimum(get("centre") - get("left"), far))[window[order]]
+    inside = row[window[order]] >= 0
+    to = row[window[order]][inside], spot[inside]
+    shingles, again = np.full((len(at), 2 * far + 1), len(known)), np.zeros((len(at), 2 * far + 1), np.int64)  # outside the window: none
+    shingles[to] = number[all_][inside]
+    again[to] = np.bincount(np.cumsum(own) - 1)[np.cumsum(own) - 1][inside]
+    edges = _edges(left, centre, right, far)
+    shingles, again, may = (np.ascontiguousarray(x.T) for x in (shingles, again, edges))
+    cost, both = _cost(again, 2 * percent), shingles < len(known)  # with all other windows for one
+    look = (shingles, cost, may, _marks(code, held, len(at), len(known) + 1))
+    able, most = (_best(np.where(both, 100 - percent, x), both | may, least) for x in (_cost(again, percent), cost))
+    keep &= (able >= 0)[p] & (able >= 0)[q] & (most[p] + most[q] >= 0)
+    todo = np.flatnonzero(keep)[np.argsort(-count[keep], kind="stable")]
+    begin = (np.cumsum(sizes) - sizes)[at]
+    beside = lambda i: data[begin[i] : begin[i] + sizes[at[i]]]
+    goes_on = edges.any(axis=1)
+    # Windows of a class are one node.
+    classes, of = np.unique(class_, return_inverse=True)
+    node = np.where(class_ < 0, np.arange(len(at)), len(at) + of)
+    up = np.arange(len(at) + len(classes))
 
     def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = up
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = int(up[x])
         return x
 
+    out: list[tuple] = []
+    tries: dict[tuple[int, int], int] = {}
+    left_over: list[int] = []
+    step = 1
+    while True:  # of each window the pairs with the most in common first; what these connect needs no more
+        while not (up[up] == up).all():
+            up[:] = up[up]
+        todo = todo[up[node[p[todo]]] != up[node[q[todo]]]]
+        if not len(todo):
+            break
+        by = np.argsort(p[todo], kind="stable")
+        new = _changes([p[todo][by]])
+        now = np.zeros(len(todo), bool)
+        now[by] = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0)) < step
+        todo, now = todo[~now], todo[now]
+        step *= 8
+        now = now[_can_be_similar(p[now], q[now], *look, least, percent)]
+        for k, i, j in zip(now.tolist(), p[now].tolist(), q[now].tolist()):
+            x, y = root(int(node[i])), root(int(node[j]))
+            if x == y:
+                continue
+            if uid[i] > uid[j]:
+                i, j = j, i
+            texts = int(uid[i]), int(uid[j])
+            tries[texts] = tries.get(texts, 0) + 1
+            if tries[texts] > TRIES:
+                left_over.append(k)
+            elif common_passages(beside(i), beside(j), least, percent):
+                up[max(x, y)] = min(x, y)
+                ends = (int(c) for w in (i, j) for c in (max(left[w], centre[w] - far), min(right[w], centre[w] + far)))
+                out.append((*texts, int(left[i]), int(right[i]), int(left[j]), int(right[j]), True, *ends))
+            elif goes_on[i] or goes_on[j]:
+                left_over.append(k)
+    apart: dict[tuple[int, int], set[tuple[int, int, int, int]]] = {}
+    for i, j in zip(p[left_over].tolist(), q[left_over].tolist()):
+        if up[node[i]] != up[node[j]]:
+            if uid[i] > uid[j]:
+                i, j = j, i
+            apart.setdefault((int(uid[i]), int(uid[j])), set()).add((int(left[i]), int(right[i]), int(left[j]), int(right[j])))
+    for texts, places in apart.items():
+        out += [(*texts, *place, False, None, None, None, None) for place in _merged(_outer(np.array(list(places))).tolist())]
+    return out
+
+
+def _outer(places: np.ndarray) -> np.ndarray:
+    """Places that do not lie within another: windows of a text under one hash lie within each other or apart."""
+    places = places[np.lexsort((places[:, 2] - places[:, 3], places[:, 0] - places[:, 1]))]
     out = []
-    for i, (x, y) in enumerate(zip(a, b)):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[x] = y
-            out.append(i)
+    while len(places):
+        low_a, high_a, low_b, high_b = out_ = places[0]
+        out.append(out_)
+        places = places[(places[:, 0] < low_a) | (places[:, 1] > high_a) | (places[:, 2] < low_b) | (places[:, 3] > high_b)]
+    return np.array(out)
+
+
+def _most(group: np.ndarray, class_: np.ndarray) -> np.ndarray:
+    """Whether each row is of the class that most rows of its group are of (-1: of none)."""
+    order = np.lexsort((class_, group))
+    new = _changes([group[order], class_[order]])
+    count = np.where(class_[order][new] < 0, 0, np.diff(np.append(np.flatnonzero(new), len(order))))
+    by = np.lexsort((-count, group[order][new]))
+    top = np.zeros(len(count), bool)
+    top[by[_changes([group[order][new][by]])]] = True
+    out = np.empty(len(group), bool)
+    out[order] = (top & (count > 0))[np.cumsum(new) - 1]
     return out
 
 
-def _common(code: np.ndarray, window: np.ndarray, need: np.ndarray, class_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of windows of no or different classes (-1: none) that have the shingles `need` asks for in common, and how many. Sorted by code and window."""
+def _marks(code: np.ndarray, window: np.ndarray, windows: int, codes: int) -> np.ndarray:
+    """A bit for each window and code: whether the window has it."""
+    out = np.zeros((windows, -(-codes // 8)), np.uint8)
+    order = np.argsort(window, kind="stable")
+    code, window = code[order], window[order]
+    for low in range(0, windows, 128):
+        here = slice(*np.searchsorted(window, [low, low + 128]))
+        held = np.zeros((min(128, windows - low), codes), bool)
+        held[window[here] - low, code[here]] = True
+        out[low : low + 128] = np.packbits(held, axis=1, bitorder="little")
+    return out
+
+
+def _cost(again: np.ndarray, each: int) -> np.ndarray:
+    """What shingles take that another window does not have, shared out if they stand in their window more than once (0: outside)."""
+    return np.where(again > 0, -(each // np.maximum(again, 1)), -_BEYOND).astype(np.int32)
+
+
+def _can_be_similar(
+    p: np.ndarray, q: np.ndarray, shingles: np.ndarray, cost: np.ndarray, edges: np.ndarray, marks: np.ndarray, least: int, percent: int
+) -> np.ndarray:
+    """Whether runs of at least `least` shingles that hold the centres of windows p and q can be similar. With n and m distinct shingles and s in both,
+    s / (n + m - s) reaches the percentage if (100 + percent) * 2s >= 2 * percent * (n + m): a shingle of either run that the other window has
+    adds 100 - percent, another takes 2 * percent, shared out if it stands there more than once. The best runs of both windows must not sum up to less than 0.
+    A passage begins and ends with a shingle of both, or goes on beyond the known ones. `shingles`, `cost` (of `_cost`) and `edges`: a column for each window."""
+    byte, bit = (shingles >> 3).astype(np.int64), np.left_shift(1, shingles & 7).astype(np.uint8)
+    flat, gain = marks.ravel(), np.int32(100 - percent)
+    total = np.zeros(len(p), np.int64)
+    for at in range(0, len(p), 1 << 9):
+        here = slice(at, at + (1 << 9))
+        for x, y in ((p[here], q[here]), (q[here], p[here])):
+            both = (flat[byte[:, x] + y * marks.shape[1]] & bit[:, x]) > 0
+            total[here] += _best(np.where(both, gain, cost[:, x]), both | edges[:, x], least)
+    return total >= 0
+
+
+def _common(
+    code: np.ndarray, window: np.ndarray, need: np.ndarray, class_: np.ndarray, open_: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of windows, one of them in `open_`, of no or different classes (-1: none) that have so many shingles in common as two shortest passages must, and how
+    many. Sorted by code and window."""
     n = len(need)
-    known, of = np.unique(class_[class_ >= 0], return_counts=True)
-    open_ = np.flatnonzero(class_ != known[of.argmax()]) if len(known) else np.arange(n)  # one class needs no pair within
     row = np.full(n, -1)
     row[open_] = np.arange(len(open_))
     use = (np.bincount(code, weights=row[window] >= 0) > 0)[code]
-    code, window = np.unique(code[use], return_inverse=True)[1], window[use]
+    code, window = np.cumsum(_changes([code[use]])) - 1, window[use]
     often = np.bincount(code)[code] > OFTEN if len(code) else np.zeros(0, bool)
     count = np.zeros((len(open_), n), np.float32)
-    which = np.unique(code[often], return_inverse=True)[1]
+    which = np.cumsum(_changes([code[often]])) - 1
     for low in range(0, int(which.max()) + 1 if len(which) else 0, 1024):
         here = (which >= low) & (which < low + 1024)
         held = np.zeros((n, 1024), np.float32)
@@ -821,9 +1016,12 @@ def _common(code: np.ndarray, window: np.ndarray, need: np.ndarray, class_: np.n
         for i, j in ((row[p], q), (row[q], p)):
             found.append((i * n + j)[i >= 0])
     count += np.bincount(np.concatenate(found), minlength=count.size).reshape(count.shape)
-    p, q = np.nonzero((count >= need[open_][:, None]) & (count >= need) & ((class_[open_][:, None] != class_) | (class_ < 0)))
+    fewest = (need - 1) * 100 // percent + 1  # shingles of a passage
+    p, q = np.nonzero(count >= np.maximum(need[open_][:, None], need))
+    keep = (100 + percent) * count[p, q] >= percent * (fewest[open_][p] + fewest[q])
+    p, q = p[keep], q[keep]
     shared, p = count[p, q], open_[p]
-    once = (row[q] < 0) | (p < q)
+    once = ((row[q] < 0) | (p < q)) & ((class_[p] != class_[q]) | (class_[p] < 0))
     return p[once], q[once], shared[once]
 
 
@@ -843,54 +1041,75 @@ def _in_class(rows: DataFrame, passages: DataFrame, uid: str, at: str, name: str
 
 
 def _open_pairs(windows: DataFrame, rows: DataFrame, pairs: DataFrame, least: int, percent: int) -> DataFrame:
-    """`pairs` and those of windows of large keys: all pairs of windows of a key are compared but those whose centres `pairs` put into one class of passages.
+    """`pairs` and those of windows of large keys whose centres `pairs` do not put into one class of passages: compared are the shingles beside the centre.
 
-    Compared are the shingles beside the centre, in parts of `PART` windows; texts travel once, with the list of their windows. Of the pairs with
-    enough in common those that connect all are verified first, then all that are still of no or different classes."""
+    Of a key with more than `PART` windows those go first that have no run of a passage's length around the centre that other windows of the key have, too. Then
+    the windows of the key's largest class are dealt to parts of `PART`, and so are the others; each part of others is compared with all parts. Texts travel
+    once, with the list of their windows. Verified are pairs that connect all which have a passage there, and places where there may be a longer one."""
     passages = _classes(pairs, _spans_of(pairs).distinct())
+    names = ["key", "uid", "class", "left", "centre", "right"]
     classed = _in_class(windows, passages, "uid", "centre", "class").groupBy("key", "uid", "left", "centre", "right").agg(F.min("class").alias("class"))
-    classed = written(classed, "classed")
-    none = F.count(F.lit(1)) > F.count("class")
-    keys = classed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"), (none | (F.min("class") < F.max("class"))).alias("open"))
-    lists = classed.join(keys.where("open"), "key").groupBy("uid").agg(
-        F.collect_list(F.struct("key", "class", "parts", "left", "centre", "right")).alias("windows")
+    classed = written(classed.select(names), "classed")
+
+    def sized(held: DataFrame) -> DataFrame:
+        """Windows of keys of which not all are in one class, with the number of the key's windows, its largest class, and how many are not in that."""
+        most = F.max(F.when(F.col("class").isNotNull(), F.struct("n", "class")))
+        of_class = held.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+        of_key = of_class.groupBy("key").agg(F.sum("n").alias("size"), most.alias("most")).select(
+            "key", "size", F.col("most.class").alias("largest"), (F.col("size") - F.coalesce("most.n", F.lit(0))).alias("others")
+        )
+        return held.join(of_key.where("others > 0"), "key")
+
+    def beside(held: DataFrame, run, schema: str) -> DataFrame:
+        lists = written(held.groupBy("uid").agg(F.collect_list(F.struct(*(c for c in held.columns if c != "uid"))).alias("windows")), "lists")
+        texts = rows.join(lists.select("uid"), "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text")
+        return lists.join(texts, "uid").mapInArrow(run(least, percent), schema)
+
+    all_ = sized(classed)
+    large = all_.where(F.col("size") > PART).select(*names, F.ceil(F.col("size") / BUCKET).alias("parts"))
+    own = "key long, class long, left long, centre long, right long"
+    scattered = beside(large, _scattered, f"uid long, {own}, bucket long, shingles binary, spots binary")
+    shared = scattered.repartition("key", "bucket").sortWithinPartitions("key", "bucket").mapInArrow(
+        _shared, "key long, uid long, class long, left long, centre long, right long, spots binary"
     )
-    lists = written(lists, "lists")
-    texts = rows.join(lists.select("uid"), "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text")
-    near = lists.join(texts, "uid").mapInArrow(
-        _surroundings(least, percent), "key long, uid long, class long, parts long, left long, centre long, right long, need long, shingles binary"
+    shared = shared.groupBy(names).agg(F.collect_list("spots").alias("spots")).mapInArrow(
+        _able(least, percent), "key long, uid long, class long, left long, centre long, right long"
     )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
-    dealt = near.withColumn("part", F.expr("pmod(xxhash64(uid, left), parts)")).select("*", other)
-    dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "other")
+    kept = all_.where(F.col("size") <= PART).union(sized(written(shared, "shared")).select(all_.columns))
+    small = F.col("size") <= PART
+    dealt = kept.withColumns({
+        "open": small | F.col("class").isNull() | (F.col("class") != F.col("largest")),
+        "parts": F.when(small, 1).otherwise(F.ceil(F.col("others") / PART)),
+        "more": F.when(small, 0).otherwise(F.ceil((F.col("size") - F.col("others")) / PART)),
+    })
+    near = beside(
+        dealt.select(*names, "parts", "more", "open"), _surroundings,
+        "uid long, key long, class long, parts long, more long, open boolean, left long, centre long, right long, need long, shingles binary",
+    )
+    at = F.xxhash64("uid", "left")
+    part = F.when(F.col("open"), F.pmod(at, "parts")).otherwise(F.col("parts") + F.pmod(at, F.greatest("more", F.lit(1))))
+    others = F.when(F.col("open"), F.col("parts") + F.col("more")).otherwise(F.col("parts"))
+    dealt = near.withColumn("part", part).select("*", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other"))
+    dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "more", "open", "other")
     schema = "a long, b long, a_low long, a_high long, b_low long, b_high long"
     alike = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
-        _alike(least, percent), f"{schema}, a_at long, b_at long, tree boolean"
+        _alike(least, percent), f"{schema}, tree boolean, a_from long, a_to long, b_from long, b_to long"
     )
     alike = written(alike, "alike")
-
-    def checked(found: DataFrame) -> DataFrame:
-        places = found.select("a", "b", "a_low", "a_high", "b_low", "b_high").repartition("a", "b").sortWithinPartitions("a", "b")
-        return pairs.union(_verified(written(places.mapInArrow(_merged_places, schema), "places"), rows, least, percent)).distinct()
-
-    pairs = checked(alike.where("tree"))
-    rest = alike.where("not tree")
-    if rest.isEmpty():
-        return pairs
-    passages = _classes(pairs, _spans_of(pairs).distinct())
-    rest = _in_class(_in_class(rest, passages, "a", "a_at", "p"), passages, "b", "b_at", "q")
-    return checked(rest.where("p is null or q is null or p <> q"))
+    whole = alike.select("a", "b", "a_low", "a_high", "b_low", "b_high").repartition("a", "b").sortWithinPartitions("a", "b")
+    places = whole.mapInArrow(_merged_places, schema).union(alike.where("tree").select("a", "b", "a_from", "a_to", "b_from", "b_to")).distinct()
+    return pairs.union(_verified(written(places, "places"), rows, least, percent)).distinct()
 
 
 def passage_pairs(docs: DataFrame, least: int = LEAST, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Verified pairs of passages `(a, a_first, a_last, b, b_first, b_last, similarity)` of different texts, and all documents `(uid, doc_id)`.
+    """Verified pairs of passages `(a, a_first, a_last, b, b_first, b_last, similarity)` of different texts, and all documents `(uid, doc_id, words)`.
 
-    Places are words from 0, both ends included; `a`, `b` and `uid` are hashes of texts. Of windows of a large key that are in one class the pairs that connect them."""
+    Places are words from 0, both ends included; `a`, `b` and `uid` are hashes of texts. Of windows of a large key the pairs that connect them."""
     shingles = least - K + 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
         F.xxhash64("text").alias("uid"), "doc_id", "text"
     )
-    names = written(rows.select("uid", "doc_id").distinct(), "names")
+    names = written(rows.mapInArrow(_counted, "uid long, doc_id long, words long").distinct(), "names")
     windows = rows.select("uid", "text").mapInArrow(_windows(shingles), f"key long, context long, own {WINDOW}")
     links = written(
         windows.repartition("key")
@@ -915,13 +1134,10 @@ def passage_pairs(docs: DataFrame, least: int = LEAST, percent: int = 75) -> tup
     return _open_pairs(large, rows, pairs, shingles, percent), names
 
 
-def _copied_texts(docs: DataFrame, names: DataFrame, least: int) -> DataFrame:
+def _copied_texts(names: DataFrame, least: int) -> DataFrame:
     """`(uid, first, last)`: the whole text, for texts of at least `least` words that several documents have."""
-    uids = names.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("uid")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    sizes = docs.select(F.xxhash64(text).alias("uid"), text.alias("text")).join(uids, "uid", "left_semi")
-    counted = sizes.select("uid", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
-    return counted.where(F.col("words") >= least).distinct().select("uid", F.lit(0).cast("long").alias("first"), (F.col("words") - 1).alias("last"))
+    counted = names.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("words")).where(f"n > 1 and words >= {least}")
+    return counted.select("uid", F.lit(0).cast("long").alias("first"), (F.col("words") - 1).alias("last"))
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, percent: int = 75) -> DataFrame:
@@ -934,12 +1150,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, percent: int = 75) ->
 
     1. Compact windows of each whole text under `HASHES` hashes of its shingles; documents with equal texts are one text. All windows of a
        key of at most `PAIRS` are linked. In a larger key each is linked to the first and to the first of those whose shingles beside the centre
-       agree longest with its own; once these are verified, all pairs that no class connects are compared by their shingles.
+       agree longest with its own; once these are verified, those that no class connects are compared by their shingles.
     2. Interval join: per pair of documents, chains of matching windows from `ENOUGH` hashes. Candidates are verified on
        the shingles of both ranges; each text is hashed once a side.
     3. Spans of a document that overlap become one passage; classes are connected components."""
     pairs, names = passage_pairs(docs, least, percent)
-    whole = _classes(pairs, _spans_of(pairs).union(_copied_texts(docs, names, least)).distinct())
+    whole = _classes(pairs, _spans_of(pairs).union(_copied_texts(names, least)).distinct())
     placed = written(whole.join(names, "uid").select("doc_id", "first_word", "last_word", "component"), "placed")
     named = placed.select("component", "doc_id").distinct().groupBy("component").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_docs")

@@ -271,6 +271,81 @@ def test_near_copies_of_one_text_are_compared_where_they_can_be_similar(monkeypa
     assert seen and sum(seen[1:]) < 40
 
 
+def _of_key(rows, **more):
+    """Windows `(uid, class, shingles)` of one key with the centre in the middle."""
+    names = ("key", "i", "j", "uid", "class", "left", "centre", "right", "need", "part", *more)
+    schema = pa.schema([(c, pa.int64()) for c in names] + [("shingles", pa.binary())])
+    fixed = {"key": 1, "i": 0, "j": 0, "left": 0, "centre": 62, "right": 124, "need": 35, "part": 0, **more}
+    return pa.RecordBatch.from_pylist([fixed | {"uid": u, "class": c, "shingles": x.tobytes()} for u, c, x in rows], schema)
+
+
+def test_near_copies_of_a_key_give_pairs_that_connect_them():
+    """Not all pairs: their number would grow with the square of the key's texts. Texts that are too different give none, whatever their number."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: rng.integers(1, 1 << 32, n, dtype=np.uint32)
+    base, other = fresh(125), fresh(125)
+
+    def near(x, *places):
+        x = x.copy()
+        for at in places:
+            x[at : at + 5] = fresh(5)
+        return x
+
+    rows = [(i, 7 if i < 20 else None, near(base, rng.choice([3, 115]))) for i in range(60)]
+    rows += [(100 + i, None, near(other, *range(2 + i % 3, 120, 11))) for i in range(40)]
+    got = [r for b in P._alike(46, 75)(iter([_of_key(rows)])) for r in b.to_pylist()]
+    assert len(got) == 40 and all(r["tree"] for r in got)  # one class and 40 texts
+    parent = list(range(60))
+    for r in got:
+        a, b = (0 if x < 20 else x for x in (r["a"], r["b"]))
+        parent = [parent[a] if c == parent[b] else c for c in parent]
+    assert len({0 if i < 20 else parent[i] for i in range(60)} | {parent[0]}) == 1
+
+
+def test_windows_unlike_all_others_of_a_large_key_go_first():
+    rng = np.random.default_rng(6)
+    fresh = lambda: rng.integers(1, 1 << 32, 125, dtype=np.uint32)
+    base, centre = fresh(), np.arange(125) == 62
+    line = np.isin(np.arange(125), range(45, 85))  # 40 shingles that many have: no passage
+    found = {1: base, 2: np.where(np.isin(np.arange(125), range(90, 125)), fresh(), base)}
+    rows = found | {10 + i: np.where(centre, base, fresh()) for i in range(20)} | {50 + i: np.where(line, base[::-1], fresh()) for i in range(20)}
+    names = ["key", "uid", "class", "left", "centre", "right"]
+    held = []
+    for bucket in range(3):  # as dealt by values
+        for uid, x in rows.items():
+            at = np.flatnonzero(x % 3 == bucket).astype(np.uint16)
+            held.append({"key": 1, "bucket": bucket, "uid": uid, "class": None, "left": 0, "centre": 62, "right": 124, "shingles": x[at].tobytes(), "spots": at.tobytes()})
+    schema = [(c, pa.int64()) for c in [*names, "bucket"]]
+    shared = P._shared(iter([pa.RecordBatch.from_pylist(held, pa.schema([*schema, ("shingles", pa.binary()), ("spots", pa.binary())]))]))
+    spots = defaultdict(list)
+    for b in shared:
+        for r in b.to_pylist():
+            spots[r["uid"]].append(r["spots"])
+    lists = [{"key": 1, "uid": u, "class": None, "left": 0, "centre": 62, "right": 124, "spots": x} for u, x in spots.items()]
+    batch = pa.RecordBatch.from_pylist(lists, pa.schema([*schema[:-1], ("spots", pa.list_(pa.binary()))]))
+    assert [r["uid"] for b in P._able(46, 75)(iter([batch])) for r in b.to_pylist()] == [1, 2]
+
+
+def test_passages_of_large_keys_in_parts(monkeypatch, docs_of, prose_of):
+    """Keys larger than a part: all their near passages are found, in one class of many and among texts with a line of it."""
+    monkeypatch.setattr(P, "PART", 6)
+    monkeypatch.setattr(P, "BUCKET", 10)
+    fill = lambda seed, n: prose_of(seed, n, 10**6)
+    rows, want = [], set()
+    for i in range(4):
+        passage = fill(90_000 + i, 80).split()
+        near = [f"x{i}" if j in (24, 60) else w for j, w in enumerate(passage)]
+        full = {3, 17} if i % 2 else set(range(3, 18))
+        want.add(frozenset(100 * i + j for j in full))
+        for j in range(30):
+            held = passage[20:64] if j not in full else near if j == 17 else passage
+            rows.append((100 * i + j, " ".join([fill(91_000 + 100 * i + 2 * j, 100), *held, fill(91_001 + 100 * i + 2 * j, 100)])))
+    got = defaultdict(set)
+    for r in P.repeated_passages(docs_of(rows)).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert set(map(frozenset, got.values())) == want
+
+
 def test_passages_of_single_shingles_are_those_of_any():
     rng = random.Random(9)
     some = 0

@@ -33,3 +33,10 @@ def test_slices_cover_all_rows():
     parts = list(T.slices([batch, batch.slice(0, 0)], "text", 500))
     assert sum(p.num_rows for p in parts) == 200 and len(parts) > 10
     assert [x for p in parts for x in p.column("text").to_pylist()] == batch.column("text").to_pylist()
+
+
+@pytest.mark.parametrize("separators", [T.SPACES, T.NOT_ALNUM])
+def test_counts_are_those_of_words(separators):
+    texts = pa.array(["cut off", *TEXTS]).slice(1)
+    assert T.counts(texts, separators).tolist() == T.words(texts, separators).counts().tolist()
+    assert T.counts(pa.array([], pa.string()), separators).tolist() == []
