@@ -647,13 +647,16 @@ def _classes(pairs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for sub in T.slices(batches, "text"):
-        yield pa.RecordBatch.from_arrays([sub.column("uid"), sub.column("doc_id"), pa.array(T.counts(sub.column("text"), T.SPACES))], ["uid", "doc_id", "words"])
+        yield pa.RecordBatch.from_arrays([sub.column("uid"), sub.column("doc_id"), pa.array(T.counts(sub.column("text"), T.SPACES, lower=False))], ["uid", "doc_id", "words"])
+
+
+def _ends(places: DataFrame) -> DataFrame:
+    return places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct()
 
 
 def _verified(places: DataFrame, rows: DataFrame, least: int, percent: int) -> DataFrame:
     """Pairs of passages of at least `least` shingles in candidate places."""
-    uids = written(places.select(F.col("a").alias("uid")).union(places.select(F.col("b").alias("uid"))).distinct(), "uids")
-    texts = written(rows.join(uids, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), "texts")
+    texts = written(rows.join(_ends(places), "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), "texts")
     side = lambda c: texts.select(F.col("uid").alias(c), "text")
     ranges = places.join(side("a"), "a").sortWithinPartitions("a").mapInArrow(
         _ranges, "a long, b long, a_low long, a_high long, b_low long, b_high long, shingles binary"
@@ -1098,7 +1101,9 @@ def _open_pairs(windows: DataFrame, rows: DataFrame, pairs: DataFrame, least: in
     alike = written(alike, "alike")
     whole = alike.select("a", "b", "a_low", "a_high", "b_low", "b_high").repartition("a", "b").sortWithinPartitions("a", "b")
     places = whole.mapInArrow(_merged_places, schema).union(alike.where("tree").select("a", "b", "a_from", "a_to", "b_from", "b_to")).distinct()
-    return pairs.union(_verified(written(places, "places"), rows, least, percent)).distinct()
+    places = written(places, "places")
+    few = rows.join(written(_ends(places), "ends"), "uid", "left_semi")  # small enough to be sent to all, mostly
+    return pairs.union(_verified(places, few, least, percent)).distinct()
 
 
 def passage_pairs(docs: DataFrame, least: int = LEAST, percent: int = 75) -> tuple[DataFrame, DataFrame]:
